@@ -71,6 +71,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(expr: Column, body) -> Column:
+    """Evaluate ``expr`` once and pass it to ``body`` as a lambda variable.
+
+    A derived column referenced inside a lambda would otherwise be re-evaluated for every
+    array element."""
+    return F.transform(F.array(expr), body)[0]
+
+
 def contraction_pattern() -> str:
     return "(" + "|".join(re.escape(k) for k, _ in CONTRACTIONS) + ")"
 
@@ -110,43 +118,56 @@ def word_count(c) -> Column:
     return F.size(split_words(c))
 
 
-def chunk_words(words: Column, k: int) -> Column:
-    """WN1: consecutive chunks of ``k`` words, each joined by one blank."""
-    n = F.size(words)
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((n - 1) / k).cast("int")),
-        lambda i: F.array_join(F.slice(words, i * k + 1, F.lit(k)), " "),
-    )
-    return F.when(n > 0, chunks).otherwise(F.array().cast("array<string>"))
+def normalize_spaces(c) -> Column:
+    """Words separated by exactly one blank, no leading/trailing space (``' '.join(s.split())``)."""
+    return F.regexp_replace(F.regexp_replace(F.coalesce(_col(c), F.lit("")), WS, " "), r"^ | $", "")
+
+
+def chunk_text(c, k: int) -> Column:
+    """WN1: consecutive chunks of ``k`` words, each joined by one blank.
+
+    One linear regex pass over the blank-normalised text: every match takes up to ``k``
+    words, and the next match starts at the following word.
+    """
+    return F.regexp_extract_all(normalize_spaces(c), F.lit(r"[^ ]+(?: [^ ]+){0,%d}" % (k - 1)), 0)
+
+
+def chunk_words(words, k: int) -> Column:
+    """WN1 on an array of words (bound once as a lambda variable, never re-evaluated)."""
+    def chunks(w):
+        n = F.size(w)
+        return F.when(n > 0, F.transform(
+            F.sequence(F.lit(0), F.floor((n - 1) / k).cast("int")),
+            lambda i: F.array_join(F.slice(w, i * k + 1, F.lit(k)), " "))).otherwise(
+            F.array().cast("array<string>"))
+    return let(_col(words), chunks)
 
 
 def force_sentences(c, max_words: int = 20) -> Column:
     """STR7: strip everything but letters/digits/whitespace, then cut into ``max_words`` chunks.
 
     The cleaning removes periods before the period split, so that split never cuts
-    (quirk Q1): the chunks run across sentence ends. We therefore split words directly.
+    (quirk Q1): the chunks run across sentence ends. We therefore chunk the words directly.
     """
-    cleaned = keep_text_chars(F.coalesce(_col(c), F.lit("")), keep_period=False)
-    return chunk_words(split_words(cleaned), max_words)
+    return chunk_text(keep_text_chars(F.coalesce(_col(c), F.lit("")), keep_period=False), max_words)
 
 
 def split_sentences(c, min_words: int = 20, long_words: int = 100, chunk: int = 50) -> Column:
     """STR8: sentence split; drop sentences under ``min_words``; cut sentences over
-    ``long_words`` into ``chunk``-word pieces, keeping pieces of at least ``min_words``."""
-    pieces = F.split(F.coalesce(_col(c), F.lit("")), SENTENCE_BREAK)
+    ``long_words`` into ``chunk``-word pieces, keeping pieces of at least ``min_words``.
+
+    Each piece is normalised once and bound as a lambda variable, so nothing is
+    re-evaluated per chunk.
+    """
+    pieces = F.transform(F.split(F.coalesce(_col(c), F.lit("")), SENTENCE_BREAK), normalize_spaces)
 
     def per_sentence(p):
-        w = split_words(p)
-        n = F.size(w)
-        parts = F.transform(
-            F.filter(
-                F.transform(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("int")),
-                            lambda i: F.slice(w, i * chunk + 1, F.lit(chunk))),
-                lambda part: F.size(part) >= min_words),
-            lambda part: F.array_join(part, " "))
+        n = F.when(p == "", F.lit(0)).otherwise(F.size(F.split(p, " ")))
+        parts = F.filter(F.regexp_extract_all(p, F.lit(r"[^ ]+(?: [^ ]+){0,%d}" % (chunk - 1)), 0),
+                         lambda part: F.size(F.split(part, " ")) >= min_words)
         return (F.when(n < min_words, F.array().cast("array<string>"))
                  .when(n > long_words, parts)
-                 .otherwise(F.array(F.array_join(w, " "))))
+                 .otherwise(F.array(p)))
 
     return F.flatten(F.transform(pieces, per_sentence))
 

@@ -8,6 +8,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .ranking import md5_key, md5_unit, size_checked_broadcast, sorted_index
 
 
@@ -27,13 +28,20 @@ def bow_counts(df: DataFrame, vocab: DataFrame, tokens: str = "tokens",
     return tf.join(size_checked_broadcast(vocab.select("token", "idx")), "token")
 
 
-def bow_scale_stats(counts: DataFrame, n_rows: Column | int, key: str = "doc_id") -> DataFrame:
+def bow_scale_stats(counts: DataFrame, n_rows) -> DataFrame:
     """AG12: per-term population std over ``n_rows`` rows (absent = 0), no centring;
-    a constant term keeps scale 1 (it is left unscaled)."""
-    n = F.lit(n_rows) if isinstance(n_rows, int) else n_rows
+    a constant term keeps scale 1 (it is left unscaled).
+
+    ``n_rows`` is an int or a one-row DataFrame with column ``n`` (kept distributed).
+    """
     s = counts.groupBy("token", "idx").agg(F.sum("tf").cast("double").alias("s1"),
                                            F.sum(F.col("tf") * F.col("tf")).cast("double").alias("s2"),
                                            F.count(F.lit(1)).alias("df"))
+    if isinstance(n_rows, DataFrame):
+        s = s.crossJoin(F.broadcast(n_rows.select(F.col("n").cast("double").alias("_n"))))  # one row
+    else:
+        s = s.withColumn("_n", F.lit(float(n_rows)))
+    n = F.col("_n")
     var = F.greatest(F.col("s2") / n - F.pow(F.col("s1") / n, 2), F.lit(0.0))
     std = F.sqrt(var)
     return s.select("token", "idx", "df", "s1", "s2", std.alias("std"),
@@ -52,8 +60,10 @@ def hash_vector(word: Column, dim: int, seed: int = 7, low: float = -0.25, high:
 
 def l2_normalize(v: Column, eps: float = 1e-12) -> Column:
     """MTH2: v / max(||v||, eps); a zero vector stays zero."""
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(v, lambda x: x / F.greatest(norm, F.lit(eps)))
+    def scaled(u):
+        norm = F.sqrt(F.aggregate(u, F.lit(0.0), lambda a, x: a + x * x))
+        return let(norm, lambda n: F.transform(u, lambda x: x / F.greatest(n, F.lit(eps))))
+    return let(v, scaled)
 
 
 def word_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 7,

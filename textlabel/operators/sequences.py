@@ -15,9 +15,9 @@ def prepare_documents(df: DataFrame, text: str = "text", key: str = "doc_id",
 
     One projection, no shuffle: STR1-STR3, STR7, ARR1, STR9, STR10.
     """
-    cleaned = T.clean_text(text)
-    sentences = T.pad_truncate(T.force_sentences(cleaned, max_words), n_sentences)
-    return df.select(key, sentences.alias("sentences")).withColumn(
+    chunks = df.select(key, T.force_sentences(T.clean_text(text), max_words).alias("_chunks"))
+    # pad_truncate reads the chunks twice: keep them behind a projection boundary
+    return chunks.select(key, T.pad_truncate("_chunks", n_sentences).alias("sentences")).withColumn(
         "tokens", T.tokenize_sentences("sentences"))
 
 

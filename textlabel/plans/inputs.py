@@ -24,7 +24,7 @@ N_RUNS = 3
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").select("doc_id", "text", "n_chars")
+    return read_table(spark, d, "documents", spread=True).select("doc_id", "text", "n_chars")
 
 
 def _yn(c: str) -> Column:

@@ -275,11 +275,11 @@ _add("expand_contractions", f"""SELECT doc_id, {expand('lower(t)')} AS expanded
 _add("word_count", f"SELECT doc_id, len({words('text')})::BIGINT AS n_words FROM documents")
 _add("force_sentences", f"""SELECT doc_id, len(s)::BIGINT AS n_chunks, md5(array_to_string(s, '|')) AS chunks_md5 FROM
   (SELECT doc_id, {force(clean('text'))} AS s FROM documents)""")
-_SS = f"""(SELECT flatten(list_transform(regexp_split_to_array(cl, '\\.\\s+|\\.$'), lambda p:
-    (SELECT CASE WHEN len(w) < 20 THEN []::VARCHAR[]
-                 WHEN len(w) > 100 THEN list_transform(list_filter(list_transform(range(0, (len(w) - 1) // 50 + 1),
-                      lambda i: w[i * 50 + 1 : i * 50 + 50]), lambda ch: len(ch) >= 20), lambda ch: array_to_string(ch, ' '))
-                 ELSE [array_to_string(w, ' ')] END FROM (SELECT {words('p')} AS w))))"""
+_SS = f"""flatten(list_transform(list_transform(regexp_split_to_array(cl, '\\.\\s+|\\.$'), lambda p: {words('p')}), lambda w:
+    CASE WHEN len(w) < 20 THEN []::VARCHAR[]
+         WHEN len(w) > 100 THEN list_transform(list_filter(list_transform(range(0, (len(w) - 1) // 50 + 1),
+              lambda i: w[i * 50 + 1 : i * 50 + 50]), lambda ch: len(ch) >= 20), lambda ch: array_to_string(ch, ' '))
+         ELSE [array_to_string(w, ' ')] END))"""
 _add("sentence_split", f"""SELECT doc_id, len(s)::BIGINT AS n_sentences, md5(array_to_string(s, '|')) AS sentences_md5 FROM
   (SELECT doc_id, {_SS} AS s FROM (SELECT doc_id, {clean('text')} AS cl FROM documents))""")
 _add("pad_truncate", w(PREP) + """SELECT doc_id, len(sentences)::BIGINT AS n_sentences,
@@ -408,7 +408,7 @@ _PARSED = _ANS[:-1] + ",\n" + parsed_sql("ans") + "\n"
 _add("answer_parse", _PARSED + "SELECT doc_id, parse_ok, quality, toxic FROM parsed")
 _add("answers_kept", _PARSED + "SELECT doc_id, quality, toxic FROM lab WHERE doc_id IN (SELECT doc_id FROM parsed WHERE parse_ok)")
 _add("answers_missed", _PARSED + "SELECT doc_id, quality, toxic FROM lab WHERE doc_id NOT IN (SELECT doc_id FROM parsed WHERE parse_ok)")
-_add("miss_rate", _PARSED + """SELECT count(CASE WHEN NOT parse_ok THEN 1 END)::BIGINT AS n_missed, count(*)::BIGINT AS n_total,
+_add("miss_rate", _PARSED + f"""SELECT count(CASE WHEN NOT parse_ok THEN 1 END)::BIGINT AS n_missed, count(*)::BIGINT AS n_total,
   round(count(CASE WHEN NOT parse_ok THEN 1 END){D} / count(*), 6) AS miss_rate FROM parsed""")
 
 _EXP = w(
@@ -430,15 +430,15 @@ _EXP = w(
         FROM parsed p JOIN smp s ON p.doc_id = s.doc_id WHERE p.parse_ok)""",
     metrics_sql("ecells"))
 _add("prompt_experiment", _EXP + "SELECT metric, trait, round(avg(value), 6) AS value, count(DISTINCT run)::BIGINT AS n_runs FROM mt GROUP BY metric, trait")
-_add("embed_lookup", w(PREP, FREQ, VOCAB, WORDVEC) + """SELECT token, idx, known, round(list_sum(vector), 4) AS vec_sum,
-  round(vector[1], 6) AS vec_first FROM wv""")
+_add("embed_lookup", w(PREP, FREQ, VOCAB, WORDVEC) + """SELECT token, idx, known, round(list_sum(vector), 4) + 0.0 AS vec_sum,
+  round(vector[1], 6) + 0.0 AS vec_first FROM wv""")
 _add("embed_normalize", w(PREP, FREQ, VOCAB, WORDVEC, NORM) + """SELECT token, idx,
-  round(sqrt(list_sum(list_transform(u, lambda x: x * x))), 6) AS norm, round(list_sum(u), 5) AS vec_sum FROM wvn""")
+  round(sqrt(list_sum(list_transform(u, lambda x: x * x))), 6) AS norm, round(list_sum(u), 5) + 0.0 AS vec_sum FROM wvn""")
 _add("doc_embedding", w(
     PREP, FREQ, VOCAB, WORDVEC, NORM,
     """dc AS (SELECT t.doc_id, s.si, unnest(t.tokens[s.si]) AS token FROM tok t, LATERAL (SELECT unnest(range(1, len(t.tokens) + 1)) AS si) s)""",
     """dv AS (SELECT dc.doc_id, dc.si, n.u FROM dc LEFT JOIN vocab v ON dc.token = v.token JOIN wvn n ON n.idx = coalesce(v.idx, 0))""",
     """dd AS (SELECT doc_id, si, g.dim, avg(u[g.dim + 1]) AS sv FROM dv, LATERAL (SELECT unnest(range(64)) AS dim) g GROUP BY ALL)""",
     """de AS (SELECT doc_id, dim, avg(sv) AS v FROM dd GROUP BY ALL)""")
-    + """SELECT doc_id, round(sum(v), 5) AS emb_sum, round(max(CASE WHEN dim = 0 THEN v END), 5) AS emb_first,
+    + """SELECT doc_id, round(sum(v), 5) + 0.0 AS emb_sum, round(max(CASE WHEN dim = 0 THEN v END), 5) + 0.0 AS emb_first,
   round(sqrt(sum(v * v)), 5) AS emb_norm FROM de GROUP BY doc_id""")

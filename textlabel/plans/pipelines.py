@@ -33,7 +33,7 @@ def bag_of_words_models(df: DataFrame, label_cols: list[str], test_size: float =
     test = sp.filter(F.col("split") == "test")
     vocab = FE.bow_vocabulary(train)
     n_train = train.count()
-    stats = FE.bow_scale_stats(FE.bow_counts(train, vocab, key=key), n_train, key)
+    stats = FE.bow_scale_stats(FE.bow_counts(train, vocab, key=key), n_train)
     # The linear models keep one coefficient per term on the driver, so the ordered
     # vocabulary and its scales (same size) are brought there once.
     rows = stats.select("idx", "token", "scale").orderBy("idx").collect()

@@ -199,7 +199,7 @@ def bow_scale_stats(spark, d):
     vocab = FE.bow_vocabulary(train)
     n_train = train.agg(F.count(F.lit(1)).alias("n"))
     counts = FE.bow_counts(train, vocab)
-    st = FE.bow_scale_stats(counts.crossJoin(F.broadcast(n_train)), F.col("n"))
+    st = FE.bow_scale_stats(counts, n_train)
     return st.select("token", F.col("df").cast("long"), _r("s1").alias("s1"), _r("s2").alias("s2"),
                      _r("std").alias("std"), _r("scale").alias("scale"))
 

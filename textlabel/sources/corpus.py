@@ -59,9 +59,19 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str, id_col: st
     return spark.read.parquet(out_path)
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """SRC3: one Parquet table of the corpus folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """SRC3: one Parquet table of the corpus folder.
+
+    ``spread``: for CPU-heavy text work, a scan that yields fewer splits than the cluster
+    has cores (a small file with one row group) is spread round-robin over the cores.
+    Large inputs already scan as many splits and are left alone (no shuffle).
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def read_word_vectors(spark: SparkSession, path: str, word: str = "word", vector: str = "vector") -> DataFrame:
