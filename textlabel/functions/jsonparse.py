@@ -9,6 +9,7 @@ Arrow-batched pandas UDF that only validates and canonicalises the extracted tex
 from __future__ import annotations
 
 import json
+import math
 
 import pandas as pd
 from pyspark.sql import Column
@@ -48,7 +49,10 @@ def _canonical(s: str | None):
         return None
     if not isinstance(obj, dict):
         return None
-    return json.dumps(obj)
+    # NaN / Infinity are valid for Python but not for Spark's parser; they never equal
+    # 0 or 1, exactly like null
+    clean = {k: (None if isinstance(v, float) and not math.isfinite(v) else v) for k, v in obj.items()}
+    return json.dumps(clean)
 
 
 @F.pandas_udf(StringType())
