@@ -79,16 +79,28 @@ def word_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 7,
 
 def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, dim: int,
                    key: str = "doc_id", tokens: str = "tokens", seed: int = 7,
-                   unk_idx: int = 0) -> DataFrame:
-    """ML3 features: mean of L2-normalised word vectors per sentence, then mean over the
-    sentences of a document. Vectors are aggregated by Summarizer (partial aggregation)."""
+                   unk_idx: int = 0, max_broadcast_bytes: int = 256 << 20) -> DataFrame:
+    """ML3 features: mean over the sentences of a document of the mean of its
+    L2-normalised word vectors.
+
+    The mean of means is one weighted mean: token t of sentence s weighs
+    1 / (non-empty sentences x tokens in s), known before the explode. So there is a single
+    token -> vector join (broadcast when the vector table is proven small, else a
+    sort-merge join that AQE splits on hot tokens) and a single aggregation per document
+    (Summarizer, map-side partial aggregation).
+    """
     wv = word_vectors(vocab, vectors, dim, seed).select(
-        "idx", array_to_vector(l2_normalize(F.col("vector"))).alias("v"))
-    cells = (tokens_df.select(key, F.posexplode(tokens).alias("s", "sent"))
-             .select(key, "s", F.explode("sent").alias("token")))
-    ids = cells.join(size_checked_broadcast(vocab.select("token", "idx")), "token", "left").select(
-        key, "s", F.coalesce("idx", F.lit(unk_idx)).alias("idx"))
-    with_vec = ids.join(wv, "idx")
-    per_sentence = with_vec.groupBy(key, "s").agg(Summarizer.mean(F.col("v")).alias("sv"))
-    per_doc = per_sentence.groupBy(key).agg(Summarizer.mean(F.col("sv")).alias("features"))
+        "token", "idx", array_to_vector(l2_normalize(F.col("vector"))).alias("v"))
+    unk = wv.filter(F.col("idx") == unk_idx).select(F.col("v").alias("_unk"))  # one row
+    sizes = F.transform(F.col(tokens), lambda s: F.size(s))
+    n_sent = F.size(F.filter(sizes, lambda n: n > 0))
+    cells = (tokens_df.select(key, F.posexplode(tokens).alias("s", "sent"), n_sent.alias("_ns"))
+             .select(key, (F.lit(1.0) / (F.col("_ns") * F.size("sent"))).alias("w"),
+                     F.explode("sent").alias("token")))
+    side = wv.select("token", "v")
+    if wv.count() * dim * 8 <= max_broadcast_bytes:
+        side = F.broadcast(side)
+    with_vec = (cells.join(side, "token", "left").crossJoin(F.broadcast(unk))
+                .select(key, "w", F.coalesce(F.col("v"), F.col("_unk")).alias("v")))
+    per_doc = with_vec.groupBy(key).agg(Summarizer.mean(F.col("v"), F.col("w")).alias("features"))
     return per_doc.withColumn("embedding", vector_to_array("features"))

@@ -105,6 +105,14 @@ def _prepared(spark, d):
     return SQ.prepare_documents(I.documents(spark, d))
 
 
+def _prepared_once(spark, d):
+    """The prepared table when a query reads it twice (vocabulary + lookup): written once
+    to the checkpoint folder (at most 12 x 20 words per document), lineage cut."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return _prepared(spark, d).checkpoint(eager=True)
+
+
 def pad_truncate(spark, d):
     p = _prepared(spark, d)
     return p.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
@@ -133,7 +141,7 @@ def vocabulary(spark, d):
 
 
 def _indexed(spark, d):
-    p = _prepared(spark, d)
+    p = _prepared_once(spark, d)
     vocab = V.build_vocabulary(p)
     return V.index_tokens(p, vocab)
 
@@ -453,7 +461,7 @@ def embed_normalize(spark, d):
 
 
 def _doc_embeddings(spark, d):
-    p = _prepared(spark, d)
+    p = _prepared_once(spark, d)
     vocab = V.build_vocabulary(p)
     return FE.doc_embeddings(p, vocab, read_table(spark, d, "embeddings"), EMB_DIM)
 
