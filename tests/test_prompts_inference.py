@@ -79,3 +79,12 @@ def test_batch_infer_stub(spark):
     assert rows[22]["status"] == "ok" and rows[22]["attempts"] == 2
     assert rows[3]["raw"] == '{"quality": 0, "toxic": 0}'
     assert rows[99]["status"] == "no_prompt"
+
+
+def test_exclude_self(spark):
+    df = _frame(spark)
+    ex = df.filter("doc_id in (1, 2)")
+    got = {r["doc_id"]: r["prompt"] for r in PR.few_shot_prompts(df, ex, TRAITS2, ["quality", "toxic"],
+                                                                 exclude_self=True).collect()}
+    assert '"first essay"' not in got[1] and '"second one"' in got[1]
+    assert '"first essay"' in got[3] and '"second one"' in got[3]

@@ -74,3 +74,18 @@ def test_logreg_matches_c1_optimum(spark, tmpdir_path):
     pred = M.predict_per_label(models, df).collect()
     acc = np.mean([r["t"] == y[r["doc_id"]] for r in pred])
     assert acc > 0.8
+
+
+def test_bucketed_join_has_no_shuffle(spark, tmpdir_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+        labs = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+        d = C.save_bucketed(docs, "tl_docs", buckets=4, path=os.path.join(tmpdir_path, "d"))
+        lb = C.save_bucketed(labs, "tl_labels", buckets=4, path=os.path.join(tmpdir_path, "l"))
+        j = d.join(lb, "doc_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert j.count() == labs.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

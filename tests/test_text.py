@@ -114,3 +114,7 @@ def test_chunk_words_array(spark):
     got = [r[0] for r in df.select(T.chunk_words(F.col("w"), 20)).collect()]
     assert got[0] == [" ".join(f"w{i}" for i in range(a, min(a + 20, 45))) for a in (0, 20, 40)]
     assert got[1] == []
+
+
+def test_fold_curly_quotes_option(spark):
+    assert _col(spark, ["Don’t"], T.clean_text("t", fold_curly_quotes=True)) == ["do not"]

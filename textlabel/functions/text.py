@@ -104,9 +104,21 @@ def keep_text_chars(c, keep_period: bool = True) -> Column:
     return F.regexp_replace(_col(c), pattern, "")
 
 
-def clean_text(c) -> Column:
-    """STR1 + STR2 + STR3: lower, expand contractions, keep letters/digits/space/period."""
-    return keep_text_chars(expand_contractions(F.lower(_col(c))), keep_period=True)
+def fold_quotes(c) -> Column:
+    """Curly single quotes -> straight apostrophe (option for quirk Q16)."""
+    return F.translate(_col(c), "‘’ʼ", "'" * 3)
+
+
+def clean_text(c, fold_curly_quotes: bool = False) -> Column:
+    """STR1 + STR2 + STR3: lower, expand contractions, keep letters/digits/space/period.
+
+    Only straight apostrophes are in the contraction table, so by default a curly one is
+    simply stripped (``don’t`` -> ``dont``, quirk Q16); ``fold_curly_quotes`` folds it first.
+    """
+    text = F.lower(_col(c))
+    if fold_curly_quotes:
+        text = fold_quotes(text)
+    return keep_text_chars(expand_contractions(text), keep_period=True)
 
 
 def split_words(c) -> Column:

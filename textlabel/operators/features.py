@@ -67,14 +67,18 @@ def l2_normalize(v: Column, eps: float = 1e-12) -> Column:
 
 
 def word_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 7,
-                 vec_key: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+                 vec_key: str = "vec_id", vec_col: str = "embedding",
+                 zero_tokens: tuple = ()) -> DataFrame:
     """JN2: (token, idx, known, vector) — the vector row whose key equals the vocabulary
-    index, else a hash vector."""
+    index, else a hash vector. ``zero_tokens`` (e.g. ``("<pad>",)``) get zero vectors
+    instead (option for quirk Q14, where specials get random vectors)."""
     v = vectors.select(F.col(vec_key).cast("int").alias("idx"),
                        F.col(vec_col).cast("array<double>").alias("_vec"))
+    vec = F.coalesce("_vec", hash_vector(F.col("token"), dim, seed))
+    if zero_tokens:
+        vec = F.when(F.col("token").isin(*zero_tokens), F.array_repeat(F.lit(0.0), dim)).otherwise(vec)
     return (vocab.select("token", "idx").join(v, "idx", "left")
-            .select("token", "idx", F.col("_vec").isNotNull().alias("known"),
-                    F.coalesce("_vec", hash_vector(F.col("token"), dim, seed)).alias("vector")))
+            .select("token", "idx", F.col("_vec").isNotNull().alias("known"), vec.alias("vector")))
 
 
 def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, dim: int,

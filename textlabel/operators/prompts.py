@@ -87,7 +87,7 @@ def examples_row(examples: DataFrame, label_cols: list[str], text: str = "text",
         example_block(F.col(text), labels, label_cols, style).alias("block"))
     folded = blocks.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_k", key, "block"))).alias("_ex"))
     return folded.select(
-        *by,
+        *by, "_ex",
         F.array_join(F.transform("_ex", lambda e: e["block"]), "").alias("examples_text"),
         F.coalesce(F.aggregate(F.transform("_ex", lambda e: approx_tokens(e["block"])),
                                F.lit(0), lambda a, b: a + b), F.lit(0)).alias("examples_tokens"),
@@ -102,7 +102,7 @@ def zero_shot_prompts(df: DataFrame, traits, text: str = "text", key: str = "doc
 def few_shot_prompts(df: DataFrame, examples: DataFrame, traits, label_cols: list[str],
                      text: str = "text", key: str = "doc_id", seed: int = 0,
                      budget: int | None = DEFAULT_BUDGET, style: str = "chat",
-                     by: list[str] | None = None) -> DataFrame:
+                     by: list[str] | None = None, exclude_self: bool = False) -> DataFrame:
     """STR15/STR16 + JN3 + STR18: the same examples before every target.
 
     ``by``: the examples carry a group column (e.g. ``run``); every target gets one prompt
@@ -114,7 +114,16 @@ def few_shot_prompts(df: DataFrame, examples: DataFrame, traits, label_cols: lis
     # one row per group (k examples each): a proven-small broadcast side
     ex = F.broadcast(examples_row(examples, label_cols, text, key, seed, style, by))
     target = target_block(F.col(text))
-    out = df.select(key, text).crossJoin(ex).select(
+    joined = df.select(key, text).crossJoin(ex)
+    if exclude_self:
+        # a target never sees itself as an example (option for quirk Q15)
+        own = F.filter("_ex", lambda e: e[key] != F.col(key))
+        joined = (joined
+                  .withColumn("examples_text", F.array_join(F.transform(own, lambda e: e["block"]), ""))
+                  .withColumn("examples_tokens", F.coalesce(F.aggregate(
+                      F.transform(own, lambda e: approx_tokens(e["block"])), F.lit(0), lambda a, b: a + b), F.lit(0)))
+                  .withColumn("n_examples", F.size(own)))
+    out = joined.select(
         *by, key, F.concat(F.lit(header), F.col("examples_text"), target).alias("_prompt"),
         (F.lit(0) + approx_tokens(F.lit(header)) + F.col("examples_tokens") + approx_tokens(target)).alias("n_tokens"),
         "n_examples")

@@ -77,3 +77,15 @@ def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False
 def read_word_vectors(spark: SparkSession, path: str, word: str = "word", vector: str = "vector") -> DataFrame:
     """SRC4: pretrained vectors stored as Parquet (word string, vector array<float>)."""
     return spark.read.parquet(path).select(word, vector)
+
+
+def save_bucketed(df: DataFrame, table: str, key: str = "doc_id", buckets: int = 512,
+                  path: str | None = None) -> DataFrame:
+    """Write a corpus table bucketed and sorted by ``key`` so that later joins on the key
+    (documents x labels, answers x actual) are co-located: no shuffle of the text.
+    Both sides of a join must use the same bucket count."""
+    w = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)
