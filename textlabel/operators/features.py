@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let
+from ..session import spread
 from .ranking import md5_key, md5_unit, size_checked_broadcast, sorted_index
 
 
@@ -74,6 +75,7 @@ def word_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 7,
     instead (option for quirk Q14, where specials get random vectors)."""
     v = vectors.select(F.col(vec_key).cast("int").alias("idx"),
                        F.col(vec_col).cast("array<double>").alias("_vec"))
+    vocab = spread(vocab)  # 64 hashes per unknown word: use every core even for a small vocabulary
     vec = F.coalesce("_vec", hash_vector(F.col("token"), dim, seed))
     if zero_tokens:
         vec = F.when(F.col("token").isin(*zero_tokens), F.array_repeat(F.lit(0.0), dim)).otherwise(vec)
@@ -102,7 +104,8 @@ def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, d
              .select(key, (F.lit(1.0) / (F.col("_ns") * F.size("sent"))).alias("w"),
                      F.explode("sent").alias("token")))
     side = wv.select("token", "v")
-    if wv.count() * dim * 8 <= max_broadcast_bytes:
+    # one vector per vocabulary row: count the (materialised) vocabulary, not the vectors
+    if vocab.count() * dim * 8 <= max_broadcast_bytes:
         side = F.broadcast(side)
     with_vec = (cells.join(side, "token", "left").crossJoin(F.broadcast(unk))
                 .select(key, "w", F.coalesce(F.col("v"), F.col("_unk")).alias("v")))

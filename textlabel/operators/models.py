@@ -30,6 +30,11 @@ def fit_per_label(train: DataFrame, label_cols: list[str], features: str = "feat
     if reg_param is None:
         n_train = n_train if n_train is not None else train.count()
         reg_param = 1.0 / (C * max(n_train, 1))
+    # iterative fits: one partition per core keeps the per-iteration gradient merge small
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() > cores:
+        train = train.coalesce(cores)
+
     def fit(label):
         lr = LogisticRegression(featuresCol=features, labelCol=label, regParam=reg_param,
                                 elasticNetParam=elastic_net, standardization=False,

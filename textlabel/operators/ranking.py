@@ -60,8 +60,12 @@ def hash_rank(df: DataFrame, key: str, tiebreak: str, rank_col: str = "rank",
 def sorted_index(df: DataFrame, order: list[Column], index_col: str = "idx",
                  start: int = 0) -> DataFrame:
     """Dense 0-based (+ ``start``) position of each row in ``order`` (must be a total order)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    laid_out = (df.orderBy(*order)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    # An explicit range repartition keeps the configured width: AQE would coalesce a small
+    # sorted result into one partition and every later per-row step would run on one core.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
     part = F.shiftright(F.col("_mid"), 33)

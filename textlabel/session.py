@@ -49,3 +49,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(folder)
         return folder
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/DBFS)")
+
+
+def spread(df):
+    """Spread a DataFrame with fewer partitions than the cluster has cores (a small table
+    after AQE coalescing, a one-row-group file) round-robin over the cores before CPU-heavy
+    per-row work. Anything already split wider is returned as is (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import spread as spread_wide
+
 REFERENCE_LABELS = ["cEXT", "cNEU", "cAGR", "cCON", "cOPN"]
 
 
@@ -67,11 +69,7 @@ def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False
     Large inputs already scan as many splits and are left alone (no shuffle).
     """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    return spread_wide(df) if spread else df
 
 
 def read_word_vectors(spark: SparkSession, path: str, word: str = "word", vector: str = "vector") -> DataFrame:
