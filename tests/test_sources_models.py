@@ -89,3 +89,17 @@ def test_bucketed_join_has_no_shuffle(spark, tmpdir_path):
         assert j.count() == labs.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bow_feature_scaling_is_population_std(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "b"]), (2, ["a"]), (3, ["b", "c"]), (4, ["a", "a"])],
+                               "doc_id long, tokens array<string>")
+    model = M.bow_feature_model(df, 4)
+    vocab = model.stages[0].vocabulary
+    rows = {r["doc_id"]: r["features"].toArray() for r in model.transform(df).collect()}
+    counts = {1: {"a": 1, "b": 2}, 2: {"a": 1}, 3: {"b": 1, "c": 1}, 4: {"a": 2}}
+    for j, term in enumerate(vocab):
+        col = np.array([counts[i].get(term, 0) for i in (1, 2, 3, 4)], dtype=float)
+        std = col.std()  # population std, as scikit-learn's StandardScaler
+        for i in (1, 2, 3, 4):
+            assert rows[i][j] == pytest.approx(col[i - 1] / (std if std > 0 else 1.0))

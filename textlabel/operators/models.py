@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import math
 import random
+
+import numpy as np
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -61,16 +64,22 @@ def predict_per_label(models: dict, df: DataFrame, key: str = "doc_id") -> DataF
     return out.select(*cols)
 
 
-def bow_feature_model(vocab_tokens: list[str], scales: list[float], tokens: str = "tokens") -> PipelineModel:
-    """AG11 + AG12 as fitted transformers: counts over the train vocabulary, then division
-    by the train-set population std (sklearn ``StandardScaler(with_mean=False)``).
+def bow_feature_model(train: DataFrame, n_train: int, tokens: str = "tokens") -> PipelineModel:
+    """AG11 + AG12 as fitted transformers, all fitted on the training rows inside the JVM:
+    term counts over the training vocabulary, then division by each term's population std
+    (scikit-learn's ``StandardScaler(with_mean=False)``; a constant term keeps scale 1).
 
-    The vocabulary and scale vector live on the driver because the linear models hold one
-    coefficient per term there anyway; cap the vocabulary with ``min_df`` upstream if needed.
+    Spark's sample variance is rescaled by (n - 1) / n. The term order of the count vector
+    does not change the fitted predictions (the L2 penalty is order invariant); the sorted
+    vocabulary of ``features.bow_vocabulary`` is the long-form equivalent.
     """
-    cv = CountVectorizerModel.from_vocabulary(vocab_tokens, inputCol=tokens, outputCol="counts")
-    ew = ElementwiseProduct(scalingVec=Vectors.dense([1.0 / s for s in scales]),
-                            inputCol="counts", outputCol="features")
+    cv = CountVectorizer(inputCol=tokens, outputCol="counts", vocabSize=1 << 30, minDF=1.0).fit(train)
+    summary = cv.transform(train).select(
+        Summarizer.metrics("variance").summary(F.col("counts")).alias("s")).first()["s"]
+    var = summary["variance"].toArray() * ((n_train - 1) / n_train if n_train > 0 else 0.0)
+    std = np.sqrt(np.maximum(var, 0.0))
+    scale = np.where(std > 0, std, 1.0)
+    ew = ElementwiseProduct(scalingVec=Vectors.dense(1.0 / scale), inputCol="counts", outputCol="features")
     return PipelineModel(stages=[cv, ew])
 
 

@@ -28,16 +28,11 @@ def bag_of_words_models(df: DataFrame, label_cols: list[str], test_size: float =
     lab = df.select(key, "text", *[L.encode_lenient(c).alias(c) for c in label_cols])
     sp = S.train_test_split(lab, key, seed, test_size).withColumn("tokens", T.bow_tokens("text"))
     ensure_checkpoint_dir(df.sparkSession)
-    sp = sp.checkpoint(eager=True)  # split + tokens reused by vocabulary, stats and fits
+    sp = sp.checkpoint(eager=True)  # split + tokens reused by the vocabulary, the scales and the fits
     train = sp.filter(F.col("split") == "train")
     test = sp.filter(F.col("split") == "test")
-    vocab = FE.bow_vocabulary(train)
     n_train = train.count()
-    stats = FE.bow_scale_stats(FE.bow_counts(train, vocab, key=key), n_train)
-    # The linear models keep one coefficient per term on the driver, so the ordered
-    # vocabulary and its scales (same size) are brought there once.
-    rows = stats.select("idx", "token", "scale").orderBy("idx").collect()
-    model = M.bow_feature_model([r["token"] for r in rows], [r["scale"] for r in rows])
+    model = M.bow_feature_model(train, n_train)
     train_f = model.transform(train).select(key, "features", *label_cols).cache()
     test_f = model.transform(test).select(key, "features", *label_cols)
     models = M.fit_per_label(train_f, label_cols, C=C, max_iter=max_iter, n_train=n_train)
