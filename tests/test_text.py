@@ -118,3 +118,8 @@ def test_chunk_words_array(spark):
 
 def test_fold_curly_quotes_option(spark):
     assert _col(spark, ["Don’t"], T.clean_text("t", fold_curly_quotes=True)) == ["do not"]
+
+
+def test_python_whitespace_set(spark):
+    cases = ["a\x1cb c d", "x​y"]  # U+200B is not whitespace for Python
+    assert _col(spark, cases, T.split_words("t")) == [c.split() for c in cases]

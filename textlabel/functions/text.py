@@ -58,13 +58,17 @@ BASIC_ENGLISH_RULES: list[tuple[str, str]] = [
     (r"\:", " "),
     (r"\s+", " "),
 ]
+
+# The code points Python treats as whitespace (``str.isspace``, ``re`` \s),
+# as a Java character-class body. Java's own (?U)\s is slower and omits U+001C-U+001F.
+PY_SPACE = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 # ---------------------------------------------------------------------------
 
 # Sentinels that bracket a contraction matched by the single regex pass.
 _OPEN, _CLOSE = "\u0001", "\u0002"
-# (?U): Unicode \s and \w, as Python's `re` uses for str patterns.
-WS = r"(?U)\s+"
-SENTENCE_BREAK = r"(?U)\.\s+|\.$"
+WS = "[" + PY_SPACE + "]+"
+SENTENCE_BREAK = r"\.[" + PY_SPACE + r"]+|\.$"
 
 
 def _col(c) -> Column:
@@ -100,7 +104,7 @@ def expand_contractions(c) -> Column:
 
 def keep_text_chars(c, keep_period: bool = True) -> Column:
     """STR3 (letters, digits, whitespace, period) / STR4 (period removed too)."""
-    pattern = r"(?U)[^a-zA-Z0-9\s.]" if keep_period else r"(?U)[^a-zA-Z0-9\s]"
+    pattern = "[^a-zA-Z0-9" + PY_SPACE + (".]" if keep_period else "]")
     return F.regexp_replace(_col(c), pattern, "")
 
 
@@ -195,7 +199,7 @@ def basic_english_tokens(c) -> Column:
     """STR10: the `basic_english` tokenizer as a fold of native regex replaces."""
     line = F.lower(_col(c))
     for pattern, repl in BASIC_ENGLISH_RULES:
-        line = F.regexp_replace(line, "(?U)" + pattern, repl)
+        line = F.regexp_replace(line, pattern.replace(r"\s", "[" + PY_SPACE + "]"), repl)
     return split_words(line)
 
 
@@ -216,4 +220,4 @@ def text_length(c) -> Column:
 
 def strip(c) -> Column:
     """STR13: Python ``str.strip()``."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), "^" + WS + "|" + WS + "$", "")
