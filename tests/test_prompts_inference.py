@@ -88,3 +88,22 @@ def test_exclude_self(spark):
                                                                  exclude_self=True).collect()}
     assert '"first essay"' not in got[1] and '"second one"' in got[1]
     assert '"first essay"' in got[3] and '"second one"' in got[3]
+
+
+def test_prompt_experiment_calls_predictor_once_per_row(spark):
+    from textlabel.plans import inputs as I
+    from textlabel.plans.pipelines import prompt_experiment
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counting:
+        def answer(self, key, prompt):
+            calls.add(1)
+            return '{"quality": 1, "toxic": 0}'
+
+    lab = I.labelled_yn(spark, "/root/testdata/sf0.001")
+    n = lab.count()
+    out = prompt_experiment(lab, I.TRAITS, I.LABELS, Counting, frac=0.5, runs=2, example_count=1,
+                            max_attempts=1, wait_min=0, wait_max=0)
+    rows = {(r["metric"], r["trait"]): r["value"] for r in out.collect()}
+    assert calls.value == 2 * round(0.5 * n)
+    assert rows[("recall", "quality")] == 1.0 and rows[("precision", "toxic")] == 0.0

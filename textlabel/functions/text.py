@@ -59,16 +59,17 @@ BASIC_ENGLISH_RULES: list[tuple[str, str]] = [
     (r"\s+", " "),
 ]
 
-# The code points Python treats as whitespace (``str.isspace``, ``re`` \s),
-# as a Java character-class body. Java's own (?U)\s is slower and omits U+001C-U+001F.
-PY_SPACE = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 # ---------------------------------------------------------------------------
 
+# Python's whitespace (``str.isspace``, ``re`` \s on str) is Java's Unicode \s plus
+# U+001C-U+001F, as a character-class body. Used with the (?U) flag: Java matches a long
+# explicit list of ranges several times slower, especially inside a negated class.
+PY_SPACE = r"\s\x1C-\x1F"
+WS = r"(?U)[" + PY_SPACE + "]+"
+SENTENCE_BREAK = r"(?U)\.[" + PY_SPACE + r"]+|\.$"
+
 # Sentinels that bracket a contraction matched by the single regex pass.
 _OPEN, _CLOSE = "\u0001", "\u0002"
-WS = "[" + PY_SPACE + "]+"
-SENTENCE_BREAK = r"\.[" + PY_SPACE + r"]+|\.$"
 
 
 def _col(c) -> Column:
@@ -104,7 +105,7 @@ def expand_contractions(c) -> Column:
 
 def keep_text_chars(c, keep_period: bool = True) -> Column:
     """STR3 (letters, digits, whitespace, period) / STR4 (period removed too)."""
-    pattern = "[^a-zA-Z0-9" + PY_SPACE + (".]" if keep_period else "]")
+    pattern = "(?U)[^a-zA-Z0-9" + PY_SPACE + (".]" if keep_period else "]")
     return F.regexp_replace(_col(c), pattern, "")
 
 
@@ -199,7 +200,7 @@ def basic_english_tokens(c) -> Column:
     """STR10: the `basic_english` tokenizer as a fold of native regex replaces."""
     line = F.lower(_col(c))
     for pattern, repl in BASIC_ENGLISH_RULES:
-        line = F.regexp_replace(line, pattern.replace(r"\s", "[" + PY_SPACE + "]"), repl)
+        line = F.regexp_replace(line, "(?U)" + pattern.replace(r"\s", "[" + PY_SPACE + "]"), repl)
     return split_words(line)
 
 
@@ -220,4 +221,4 @@ def text_length(c) -> Column:
 
 def strip(c) -> Column:
     """STR13: Python ``str.strip()``."""
-    return F.regexp_replace(_col(c), "^" + WS + "|" + WS + "$", "")
+    return F.regexp_replace(_col(c), "(?U)^[" + PY_SPACE + "]+|[" + PY_SPACE + "]+$", "")

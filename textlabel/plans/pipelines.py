@@ -84,6 +84,10 @@ def prompt_experiment(df: DataFrame, traits, label_cols: list[str], predictor_fa
         prompts = PR.zero_shot_prompts(sample, traits, key=key).crossJoin(
             sample.sparkSession.range(runs).select(F.col("id").cast("int").alias("run")))
     answers = batch_infer(prompts, predictor_factory, key=key, passthrough=["run"], **infer_kw)
+    # Store the answers once: the metric table reads them through several aggregations,
+    # and a recomputation (or a lost executor) must not call the predictor again.
+    ensure_checkpoint_dir(df.sparkSession)
+    answers = answers.checkpoint(eager=True)
     parsed = A.parse_answers(answers, label_cols).filter("parse_ok")
     actual = sample.select(key, *[L.encode_lenient(c).alias(c) for c in label_cols])
     cells = E.long_cells(actual, parsed.select("run", key, *label_cols), label_cols, key, run="run")
