@@ -17,6 +17,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
