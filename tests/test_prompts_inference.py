@@ -107,3 +107,19 @@ def test_prompt_experiment_calls_predictor_once_per_row(spark):
     rows = {(r["metric"], r["trait"]): r["value"] for r in out.collect()}
     assert calls.value == 2 * round(0.5 * n)
     assert rows[("recall", "quality")] == 1.0 and rows[("precision", "toxic")] == 0.0
+
+
+def test_pluggable_token_counter(spark):
+    import pandas as pd
+    from pyspark.sql.types import IntegerType
+
+    @F.pandas_udf(IntegerType())
+    def words(s: pd.Series) -> pd.Series:
+        return s.str.split().str.len()
+
+    df = _frame(spark)
+    ex = df.filter("doc_id = 2")
+    rows = {r["doc_id"]: r for r in PR.few_shot_prompts(df, ex, TRAITS2, ["quality", "toxic"], budget=10_000,
+                                                         token_counter=words).collect()}
+    native = {r["doc_id"]: r for r in PR.few_shot_prompts(df, ex, TRAITS2, ["quality", "toxic"], budget=10_000).collect()}
+    assert rows[1]["n_tokens"] == len(native[1]["prompt"].split())

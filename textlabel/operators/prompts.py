@@ -102,7 +102,8 @@ def zero_shot_prompts(df: DataFrame, traits, text: str = "text", key: str = "doc
 def few_shot_prompts(df: DataFrame, examples: DataFrame, traits, label_cols: list[str],
                      text: str = "text", key: str = "doc_id", seed: int = 0,
                      budget: int | None = DEFAULT_BUDGET, style: str = "chat",
-                     by: list[str] | None = None, exclude_self: bool = False) -> DataFrame:
+                     by: list[str] | None = None, exclude_self: bool = False,
+                     token_counter=None) -> DataFrame:
     """STR15/STR16 + JN3 + STR18: the same examples before every target.
 
     ``by``: the examples carry a group column (e.g. ``run``); every target gets one prompt
@@ -123,10 +124,15 @@ def few_shot_prompts(df: DataFrame, examples: DataFrame, traits, label_cols: lis
                   .withColumn("examples_tokens", F.coalesce(F.aggregate(
                       F.transform(own, lambda e: approx_tokens(e["block"])), F.lit(0), lambda a, b: a + b), F.lit(0)))
                   .withColumn("n_examples", F.size(own)))
-    out = joined.select(
-        *by, key, F.concat(F.lit(header), F.col("examples_text"), target).alias("_prompt"),
-        (F.lit(0) + approx_tokens(F.lit(header)) + F.col("examples_tokens") + approx_tokens(target)).alias("n_tokens"),
-        "n_examples")
+    prompt = F.concat(F.lit(header), F.col("examples_text"), target)
+    if token_counter is None:
+        # additive native estimate: header + examples (counted once, in the one-row fold) + target
+        n_tokens = F.lit(0) + approx_tokens(F.lit(header)) + F.col("examples_tokens") + approx_tokens(target)
+    else:
+        # any Column -> Column counter (e.g. a pandas UDF around a BPE encoder), applied to the
+        # full prompt: the prefix with every example is the largest one checked
+        n_tokens = token_counter(prompt)
+    out = joined.select(*by, key, prompt.alias("_prompt"), n_tokens.alias("n_tokens"), "n_examples")
     if budget is None or style != "chat":
         return out.select(*by, key, F.col("_prompt").alias("prompt"), "n_tokens")
     # the reference only counts when an example is added; zero examples never overflow
@@ -140,3 +146,17 @@ def chat_messages(prompts: DataFrame, key: str = "doc_id", prompt: str = "prompt
     msgs = F.array(F.struct(F.lit("system").alias("role"), F.lit(SYSTEM_MESSAGE).alias("content")),
                    F.struct(F.lit("user").alias("role"), F.col(prompt).alias("content")))
     return prompts.select(key, F.to_json(msgs).alias("messages"))
+
+
+def bpe_token_counter(encoding: str = "cl100k_base"):
+    """Exact BPE counts as an Arrow-batched pandas UDF (needs the ``tiktoken`` encoding files;
+    the encoder is loaded once per Python worker)."""
+    import pandas as pd
+    from pyspark.sql.types import IntegerType
+
+    @F.pandas_udf(IntegerType())
+    def count(s: pd.Series) -> pd.Series:
+        import tiktoken
+        enc = tiktoken.get_encoding(encoding)
+        return s.map(lambda t: None if t is None else len(enc.encode(t)))
+    return count
