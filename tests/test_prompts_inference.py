@@ -123,3 +123,14 @@ def test_pluggable_token_counter(spark):
                                                          token_counter=words).collect()}
     native = {r["doc_id"]: r for r in PR.few_shot_prompts(df, ex, TRAITS2, ["quality", "toxic"], budget=10_000).collect()}
     assert rows[1]["n_tokens"] == len(native[1]["prompt"].split())
+
+
+def test_batch_predictor(spark):
+    class Batch:
+        def answer_batch(self, keys, prompts):
+            return [f'{{"n": {len(p)}}}' for p in prompts]
+
+    prompts = spark.createDataFrame([(1, "ab"), (2, None), (3, "abcd")], "doc_id long, prompt string")
+    rows = {r["doc_id"]: r for r in batch_infer(prompts, Batch, wait_min=0, wait_max=0).collect()}
+    assert rows[1]["raw"] == '{"n": 2}' and rows[3]["raw"] == '{"n": 4}'
+    assert rows[2]["status"] == "no_prompt" and rows[1]["attempts"] == 1

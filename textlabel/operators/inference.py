@@ -1,8 +1,8 @@
 """Batch inference through a user predictor (ML4) with retries (ML5).
 
 ``predictor_factory`` is called once per task (not per row) and returns an object with
-``predict(batch: pandas.DataFrame) -> list[str]`` (one answer per row) or a plain
-callable taking one prompt. Rows carry ``status`` and ``attempts``: a task that is retried
+``answer(key, prompt) -> str``, or ``answer_batch(keys, prompts) -> list[str]`` (one call per
+Arrow batch), or is a plain callable taking one prompt. Rows carry ``status`` and ``attempts``: a task that is retried
 after a lost executor calls the service again, so answers should be written once and parsed
 from the stored table.
 """
@@ -30,8 +30,9 @@ def call_with_retry(fn: Callable[[], str], max_attempts: int = 10, wait_min: flo
             if attempt == max_attempts:
                 return None, "failed", attempt
             if wait_max > 0:
-                cap = min(wait_max, wait_min * (2 ** attempt))
-                time.sleep(rng.uniform(0, cap) + wait_min)
+                # random exponential back-off: uniform between min and min(max, 2^attempt)
+                high = max(wait_min, min(wait_max, 2.0 ** attempt))
+                time.sleep(rng.uniform(wait_min, high))
     return None, "failed", max_attempts
 
 
@@ -47,9 +48,21 @@ def batch_infer(prompts: DataFrame, predictor_factory: Callable, key: str = "doc
     def run(batches):
         predictor = predictor_factory()
         rng = random.Random()
+        batched = hasattr(predictor, "answer_batch")
         for pdf in batches:
             raws, statuses, attempts = [], [], []
-            for k, p in zip(pdf[key], pdf[prompt]):
+            if batched:
+                # one call per Arrow batch (e.g. a local model scoring many prompts at once)
+                todo = pdf[prompt].notna().to_numpy()
+                got, st, n = call_with_retry(
+                    lambda: list(predictor.answer_batch(pdf[key][todo].tolist(), pdf[prompt][todo].tolist())),
+                    max_attempts, wait_min, wait_max, rng)
+                it = iter(got or [])
+                for ok in todo:
+                    raws.append(next(it, None) if ok and got is not None else None)
+                    statuses.append(st if ok else "no_prompt")
+                    attempts.append(n if ok else 0)
+            for k, p in ([] if batched else zip(pdf[key], pdf[prompt])):
                 if p is None:
                     raws.append(None); statuses.append("no_prompt"); attempts.append(0)
                     continue
