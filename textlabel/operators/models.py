@@ -13,7 +13,7 @@ import random
 import numpy as np
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct
 from pyspark.ml.stat import Summarizer
@@ -133,8 +133,3 @@ def save_models(models: dict, path: str) -> None:
 def load_models(path: str, label_cols: list[str]) -> dict:
     from pyspark.ml.classification import LogisticRegressionModel
     return {label: LogisticRegressionModel.load(f"{path}/{label}") for label in label_cols}
-
-
-def split_sizes_check(n: int, test_size: float = 0.2) -> tuple[int, int]:
-    n_test = math.ceil(test_size * n)
-    return n - n_test, n_test

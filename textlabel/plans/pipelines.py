@@ -12,7 +12,6 @@ from ..functions import labels as L
 from ..functions import text as T
 from ..operators import answers as A
 from ..operators import evaluate as E
-from ..operators import features as FE
 from ..operators import models as M
 from ..operators import prompts as PR
 from ..operators import sampling as S
