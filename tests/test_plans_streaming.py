@@ -85,3 +85,10 @@ def test_streaming_file_sink(spark, tmpdir_path):
     out, ck = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ck")
     ST.write_stream(ids, out, ck).awaitTermination()
     assert spark.read.parquet(out).count() == 200
+
+
+@pytest.mark.parametrize("name", ["token_freq", "run_average_metrics", "best_epoch", "label_value_counts"])
+def test_aggregates_combine_map_side(spark, name):
+    """Hot keys (a frequent token, a big run) are pre-aggregated before the shuffle."""
+    plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan, name

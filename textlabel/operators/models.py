@@ -7,7 +7,6 @@ Each iteration is a treeAggregate over the cached training vectors.
 
 from __future__ import annotations
 
-import math
 import random
 
 import numpy as np
