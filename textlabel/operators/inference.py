@@ -101,7 +101,9 @@ class RuleStub:
 
     def labels(self, prompt: str):
         n = len(prompt)
-        return [1 if n >= self.long_prompt else 0, 1 if n % 3 == 0 else 0]
+        first = [1 if n >= self.long_prompt else 0, 1 if n % 3 == 0 else 0]
+        more = [1 if (n + i) % 2 == 0 else 0 for i in range(2, len(self.keys))]
+        return (first + more)[:len(self.keys)]
 
     def answer(self, key, prompt):
         key = int(key)
@@ -114,19 +116,20 @@ class RuleStub:
 
 
 def answer_text(key: int, keys, values) -> str:
-    a, b = keys[0], keys[1]
-    q, t = values[0], values[1]
+    """The stub's answer in one of seven layouts, chosen by ``key % 7``."""
+    pairs = [f'"{k}": {v}' for k, v in zip(keys, values)]
     shape = key % 7
     if shape == 0:
         return "I am not able to tell from this essay."
     if shape == 1:
-        return f'Result: {{"{a}": {q}, "{b}": {t}'
+        return "Result: {" + ", ".join(pairs)
     if shape == 2:
-        return f'Sure!\n{{"{a}": {q},\n "{b}": {t}}} ok'
+        return "Sure!\n{" + ",\n ".join(pairs) + "} ok"
     if shape == 3:
-        return f'{{"{a}": {q}, "{b}": {t}}}'
+        return "{" + ", ".join(pairs) + "}"
     if shape == 4:
-        return f'{{"{a}": "{q}", "{b}": {t}}}'
+        return "{" + ", ".join([f'"{keys[0]}": "{values[0]}"'] + pairs[1:]) + "}"
     if shape == 5:
-        return f'{{"{a}": {q}}} and {{"{b}": {t}}}'
-    return f'  {{"{a}": {"true" if q else "false"}, "{b}": {t}, "note": "x"}}  '
+        return "{" + pairs[0] + "} and {" + ", ".join(pairs[1:]) + "}"
+    first = f'"{keys[0]}": ' + ("true" if values[0] else "false")
+    return "  {" + ", ".join([first] + pairs[1:] + ['"note": "x"']) + "}  "
