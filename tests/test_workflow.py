@@ -52,3 +52,17 @@ def test_reference_shaped_workflow(spark, tmpdir_path):
                                runs=2, example_count=1, max_attempts=2, wait_min=0, wait_max=0)
     got = {(r["metric"], r["trait"]) for r in out.collect()}
     assert ("overall_accuracy", "all") in got and ("recall", "cOPN") in got
+
+
+def test_bag_of_words_finds_planted_signal(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    planted = docs.select(
+        "doc_id",
+        F.when(F.col("doc_id") % 2 == 1, F.concat("text", F.lit(" zqxsignal"))).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("doc_id") % 2 == 1, "y").otherwise("n").alias("odd"),
+        F.when(F.col("doc_id") % 3 == 0, "y").otherwise("n").alias("third"))
+    m = {(r["metric"], r["trait"]): r["value"] for r in PL.bag_of_words(planted, ["odd", "third"]).collect()}
+    # n = 160 training rows against ~10k unit-variance-scaled terms: the L2 fit spreads weight over
+    # many separating rare terms, so the planted term lifts accuracy well above chance, not to 1.0
+    assert m[("accuracy", "odd")] >= 0.8
+    assert m[("accuracy", "third")] < m[("accuracy", "odd")]
