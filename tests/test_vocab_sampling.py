@@ -112,3 +112,23 @@ def test_batch_positions_drop_last(spark):
     kept = S.batch_positions(df, 32, drop_last=True).collect()
     assert len(kept) == 64 and max(r["batch"] for r in kept) == 1
     assert len(S.batch_positions(df, 32, drop_last=False).collect()) == 70
+
+
+def test_ids_round_trip_through_vocabulary(spark):
+    toks = _tokens(spark)
+    vocab = V.build_vocabulary(toks)
+    back = {r["idx"]: r["token"] for r in vocab.collect()}
+    ids = {r["doc_id"]: r["ids"] for r in V.index_tokens(toks, vocab).collect()}
+    for doc_id, doc in DOCS:
+        assert [[back[i] for i in s] for s in ids[doc_id]] == doc
+
+
+def test_hash_vector_formula_and_partitions(spark):
+    import hashlib
+    from textlabel.operators.features import hash_vector
+    words = spark.createDataFrame([("alpha",), ("beta",), ("é",)], "w string")
+    for parts in (1, 3):
+        got = {r["w"]: r["v"] for r in words.repartition(parts).select("w", hash_vector(F.col("w"), 4, seed=7).alias("v")).collect()}
+        for w, v in got.items():
+            want = [-0.25 + 0.5 * int(hashlib.md5(f"7:{w}:{d}".encode()).hexdigest()[:8], 16) / 2 ** 32 for d in range(4)]
+            assert v == pytest.approx(want)
