@@ -27,20 +27,29 @@ from .evaluate import long_cells, metric_table
 def fit_per_label(train: DataFrame, label_cols: list[str], features: str = "features",
                   C: float = 1.0, max_iter: int = 1000, n_train: int | None = None,
                   reg_param: float | None = None, elastic_net: float = 0.0,
-                  parallelism: int = 8) -> dict:
+                  parallelism: int = 8, rows_per_partition: int = 100_000) -> dict:
     """ML1: one logistic regression per label."""
+    n_train = n_train if n_train is not None else train.count()
     if reg_param is None:
-        n_train = n_train if n_train is not None else train.count()
         reg_param = 1.0 / (C * max(n_train, 1))
-    # iterative fits: one partition per core keeps the per-iteration gradient merge small
+    # Every L-BFGS iteration merges one dense gradient (one value per feature) per partition,
+    # so iterative fits use about one partition per `rows_per_partition` rows, at most one per
+    # core, and a deeper tree merge when there are many partitions.
     cores = train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() > cores:
-        train = train.coalesce(cores)
+    n_rows = n_train if n_train is not None else train.count()
+    target = max(1, min(cores, -(-n_rows // rows_per_partition)))
+    current = train.rdd.getNumPartitions()
+    if current > target:
+        train = train.coalesce(target)
+    elif current < target:
+        train = train.repartition(target)
+    depth = 2 if target <= 256 else 3
 
     def fit(label):
         lr = LogisticRegression(featuresCol=features, labelCol=label, regParam=reg_param,
                                 elasticNetParam=elastic_net, standardization=False,
-                                maxIter=max_iter, tol=1e-6, predictionCol=f"{label}__pred",
+                                maxIter=max_iter, tol=1e-6, aggregationDepth=depth,
+                                predictionCol=f"{label}__pred",
                                 probabilityCol=f"{label}__prob", rawPredictionCol=f"{label}__raw")
         return lr.fit(train.withColumn(label, F.col(label).cast("double")))
 
