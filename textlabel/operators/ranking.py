@@ -80,7 +80,7 @@ def sorted_index(df: DataFrame, order: list[Column], index_col: str = "idx",
     return (laid_out.withColumn("_part", part)
             .join(F.broadcast(offsets), "_part")
             .withColumn(index_col, (F.col("_offset") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))
-                                    + F.lit(start)).cast("int"))
+                                    + F.lit(start)).cast("long"))
             .drop("_part", "_offset", "_mid"))
 
 

@@ -39,7 +39,7 @@ def build_vocabulary(df: DataFrame, tokens: str = "tokens", specials=SPECIALS,
                           start=len(specials))
     if max_tokens is not None:
         ranked = ranked.filter(F.col("idx") < max_tokens)
-    head = spark.createDataFrame([(s, i) for i, s in enumerate(specials)], "token string, idx int")
+    head = spark.createDataFrame([(s, i) for i, s in enumerate(specials)], "token string, idx long")
     return head.withColumn("n", F.lit(None).cast("long")).unionByName(
         ranked.select("token", "idx", "n"))
 
