@@ -20,6 +20,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # text rows are CPU-heavy (regex passes per row): smaller input splits and shuffle
+        # targets keep each task's work and memory bounded; AQE still merges tiny partitions
+        .config("spark.sql.files.maxPartitionBytes", "64m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TEXTLABEL_DRIVER_MEMORY", "8g"))
