@@ -33,11 +33,13 @@ def _left_pad(arr: Column, length: Column, pad: Column) -> Column:
 
 
 def numericalize(indexed: DataFrame, ids: str = "ids", pad_idx: int = 1,
-                 out: str = "cube") -> DataFrame:
+                 out: str = "cube", maxima: DataFrame | None = None) -> DataFrame:
     """ARR2-ARR4: left-pad every sentence to the longest sentence and every document with
     all-pad sentences to the longest document. The two maxima are one aggregated row,
-    joined by broadcast (a 1-row side)."""
-    maxima = shape_maxima(indexed, ids)
+    joined by broadcast (a 1-row side). The id lookup keeps the token arrays' shape, so
+    ``maxima`` may come from the (already materialised) token table instead of a second
+    pass over the ids."""
+    maxima = maxima if maxima is not None else shape_maxima(indexed, ids)
     pad = F.lit(pad_idx)
     padded_sent = F.transform(F.col(ids), lambda s: _left_pad(s, F.col("max_tokens"), pad))
     pad_sentence = F.array_repeat(pad, F.col("max_tokens"))
@@ -57,7 +59,7 @@ def sequence_features(df: DataFrame, text: str = "text", key: str = "doc_id",
     prepared = prepare_documents(df, text, key, n_sentences, max_words)
     vocab = build_vocabulary(fit_on if fit_on is not None else prepared)
     indexed = index_tokens(prepared, vocab, key)
-    return vocab, numericalize(indexed)
+    return vocab, numericalize(indexed, maxima=shape_maxima(prepared, "tokens"))
 
 
 def encode_fixed(ids: Column, max_length: int = 512, cls_id: int = 2, sep_id: int = 3,

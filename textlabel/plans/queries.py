@@ -140,10 +140,11 @@ def vocabulary(spark, d):
     return V.build_vocabulary(_prepared(spark, d)).select("token", F.col("idx").cast("long"), "n")
 
 
-def _indexed(spark, d):
+def _indexed(spark, d, with_prepared: bool = False):
     p = _prepared_once(spark, d)
     vocab = V.build_vocabulary(p)
-    return V.index_tokens(p, vocab)
+    ix = V.index_tokens(p, vocab)
+    return (ix, p) if with_prepared else ix
 
 
 def token_index(spark, d):
@@ -153,7 +154,8 @@ def token_index(spark, d):
 
 
 def numericalize(spark, d):
-    cube = SQ.numericalize(_indexed(spark, d))
+    ix, p = _indexed(spark, d, with_prepared=True)
+    cube = SQ.numericalize(ix, maxima=SQ.shape_maxima(p, "tokens"))
     return cube.select("doc_id", F.size("cube").cast("long").alias("n_sentences"),
                        F.size(F.col("cube")[0]).cast("long").alias("sentence_len"),
                        _md5_nested(F.col("cube")).alias("cube_md5"))
