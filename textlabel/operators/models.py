@@ -21,6 +21,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import default_parallelism, num_partitions
 from .evaluate import long_cells, metric_table
 
 
@@ -35,13 +36,13 @@ def fit_per_label(train: DataFrame, label_cols: list[str], features: str = "feat
     # Every L-BFGS iteration merges one dense gradient (one value per feature) per partition,
     # so iterative fits use about one partition per `rows_per_partition` rows, at most one per
     # core, and a deeper tree merge when there are many partitions.
-    cores = train.sparkSession.sparkContext.defaultParallelism
+    cores = default_parallelism(train.sparkSession) or 1
     n_rows = n_train if n_train is not None else train.count()
     target = max(1, min(cores, -(-n_rows // rows_per_partition)))
-    current = train.rdd.getNumPartitions()
-    if current > target:
+    current = num_partitions(train)
+    if current is not None and current > target:
         train = train.coalesce(target)
-    elif current < target:
+    elif current is not None and current < target:
         train = train.repartition(target)
     depth = 2 if target <= 256 else 3
 

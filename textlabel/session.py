@@ -60,5 +60,22 @@ def spread(df):
     """Spread a DataFrame with fewer partitions than the cluster has cores (a small table
     after AQE coalescing, a one-row-group file) round-robin over the cores before CPU-heavy
     per-row work. Anything already split wider is returned as is (no shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    n = num_partitions(df)
+    cores = default_parallelism(df.sparkSession)
+    return df.repartition(cores) if n is not None and cores and n < cores else df
+
+
+def num_partitions(df):
+    """Partition count of the planned DataFrame, or None where the RDD view is unavailable
+    (e.g. a Spark Connect session)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def default_parallelism(spark) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return None
