@@ -396,7 +396,7 @@ _add("fewshot_prompt_rules", w(LAB_YN, fewshot_sql(1, 2, None, "rules")) + "SELE
 _add("prompt_budget", w(LAB_YN, fewshot_sql(2, 3, 4000)) + """SELECT doc_id, n_tokens::BIGINT AS n_tokens,
   (n_ex > 0 AND n_tokens > 4000) AS over_budget, md5(CASE WHEN NOT (n_ex > 0 AND n_tokens > 4000) THEN p END) AS prompt_md5 FROM fs""")
 _add("chat_messages", w(LAB_YN, ZS) + f"""SELECT doc_id, to_json([{{'role': 'system', 'content': {q(PR.SYSTEM_MESSAGE)}}},
-  {{'role': 'user', 'content': p}}]) AS messages FROM zs""")
+  {{'role': 'user', 'content': p}}])::VARCHAR AS messages FROM zs""")
 _add("label_json", w(LAB_YN) + f"SELECT doc_id, {label_block('        ')} AS label_json FROM lab")
 _ANS = w(LAB_YN, ZS, stub_sql("zs"))
 _add("batch_infer_stub", _ANS + "SELECT doc_id, raw, status, attempts FROM ans")
