@@ -2,7 +2,9 @@
 
 ``predictor_factory`` is called once per task (not per row) and returns an object with
 ``answer(key, prompt) -> str``, or ``answer_batch(keys, prompts) -> list[str]`` (one call per
-Arrow batch), or is a plain callable taking one prompt. Rows carry ``status`` and ``attempts``: a task that is retried
+Arrow batch), or is a plain callable taking one prompt. It must return only the newly
+generated text: a generator that echoes the prompt would let the first '{' of an example's
+label block be parsed as the answer. Rows carry ``status`` and ``attempts``: a task that is retried
 after a lost executor calls the service again, so answers should be written once and parsed
 from the stored table.
 """

@@ -299,8 +299,9 @@ _add("shape_maxima", w(PREP, FREQ, VOCAB, INDEXED) + """SELECT max(len(ids))::BI
   max(list_max(list_transform(ids, lambda s: len(s))))::BIGINT AS max_tokens FROM indexed""")
 _add("top_words", w(PREP, FREQ) + "SELECT token AS word, n::BIGINT AS n FROM freq WHERE token <> '<pad>' ORDER BY n DESC, token ASC LIMIT 50")
 _add("encode_fixed", w(
-    f"etok AS (SELECT doc_id, ({basic_tokens('text')})[1:510] AS tk FROM documents)",
-    "efreq AS (SELECT t AS token, count(*) AS n FROM (SELECT unnest(tk) AS t FROM etok) GROUP BY t)",
+    f"eall AS (SELECT doc_id, {basic_tokens('text')} AS tk FROM documents)",
+    "etok AS (SELECT doc_id, tk[1:510] AS tk FROM eall)",
+    "efreq AS (SELECT t AS token, count(*) AS n FROM (SELECT unnest(tk) AS t FROM eall) GROUP BY t)",
     """evocab AS (SELECT * FROM (VALUES ('<unk>', 0), ('<pad>', 1), ('[CLS]', 2), ('[SEP]', 3)) v(token, idx) UNION ALL
       SELECT token, row_number() OVER (ORDER BY n DESC, token ASC) + 3 FROM efreq WHERE token NOT IN ('<unk>', '<pad>', '[CLS]', '[SEP]'))""",
     """ecells AS (SELECT e.doc_id, x.ti, e.tk[x.ti] AS token FROM etok e, LATERAL (SELECT unnest(range(1, len(e.tk) + 1)) AS ti) x)""",

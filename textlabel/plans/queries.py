@@ -172,11 +172,11 @@ def top_words(spark, d):
 
 
 def _encode_inputs(spark, d):
-    docs = I.documents(spark, d).select(
-        "doc_id", F.slice(T.basic_english_tokens("text"), 1, 510).alias("tok"))
+    # vocabulary over the whole texts; each document is then cut to max_length - 2 tokens
+    docs = I.documents(spark, d).select("doc_id", T.basic_english_tokens("text").alias("tok"))
     vocab = V.build_vocabulary(docs.select(F.col("tok").alias("tokens")),
                                specials=("<unk>", "<pad>", "[CLS]", "[SEP]"))
-    ids = V.index_tokens(docs.select("doc_id", F.array("tok").alias("tokens")), vocab)
+    ids = V.index_tokens(docs.select("doc_id", F.array(F.slice("tok", 1, 510)).alias("tokens")), vocab)
     return ids.select("doc_id", F.coalesce(F.col("ids")[0], F.array().cast("array<int>")).alias("ids"))
 
 
