@@ -92,3 +92,25 @@ def test_aggregates_combine_map_side(spark, name):
     """Hot keys (a frequent token, a big run) are pre-aggregated before the shuffle."""
     plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "partial_" in plan, name
+
+
+def _exchange_columns(df):
+    cols = []
+
+    def walk(p):
+        if p.nodeName() == "Exchange":
+            out = p.output()
+            cols.append([out.apply(i).name() for i in range(out.size())])
+        kids = p.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+    walk(df._jdf.queryExecution().sparkPlan())
+    return cols
+
+
+def test_exact_split_never_shuffles_text(spark):
+    from textlabel.operators import sampling as S
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    for out in (S.exact_split(docs), S.train_test_split(docs), S.sample_fraction(docs, 0.3)):
+        exchanged = _exchange_columns(out)
+        assert exchanged and all("text" not in c for c in exchanged), exchanged

@@ -88,3 +88,42 @@ def size_checked_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFram
     """Broadcast ``df`` only when it is proven small; otherwise leave the join to
     sort-merge / AQE. Call it on materialised (checkpointed or tiny) inputs only."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def rank_cutoffs(df: DataFrame, key: Column, tiebreak: str, positions, digits: int = 4) -> DataFrame:
+    """The (key, tiebreak) values found at given 1-based positions of the (key, tiebreak)
+    order, as ONE row: ``n`` plus ``_ck{i}`` / ``_ci{i}`` for each position (null when the
+    position is < 1, i.e. "nothing is at or before it").
+
+    ``positions(n)`` maps the row-count Column to a list of position Columns. Only the narrow
+    (tiebreak, key) columns are read: bucket counts give the bucket that holds each position,
+    and just those buckets (about n / 16**digits rows each) are ranked. A caller then
+    classifies every row with a comparison against this broadcast row — the wide rows are
+    never shuffled.
+    """
+    narrow = df.select(F.col(tiebreak).alias("_id"), key.alias("_key")).withColumn(
+        "_bucket", F.conv(F.substring("_key", 1, digits), 16, 10).cast("int"))
+    counts = narrow.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(Window.partitionBy()).alias("n"))
+    total = offsets.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"))
+    pos = total.select("n", F.posexplode(F.array(*[p.cast("long") for p in positions(F.col("n"))])).alias("i", "p"))
+    # the bucket holding each position (<= len(positions) rows)
+    where = (offsets.join(F.broadcast(pos), (F.col("p") > F.col("_off")) & (F.col("p") <= F.col("_off") + F.col("_n")))
+             .select("i", "_bucket", (F.col("p") - F.col("_off")).alias("_local")))
+    within = Window.partitionBy("_bucket").orderBy("_key", "_id")
+    picked = (narrow.join(F.broadcast(where.select("_bucket").distinct()), "_bucket")
+              .withColumn("_r", F.row_number().over(within))
+              .join(F.broadcast(where), ["_bucket"])
+              .filter(F.col("_r") == F.col("_local"))
+              .select("i", "_key", "_id"))
+    cols = [F.max(F.when(F.col("i") == j, F.col("_key"))).alias(f"_ck{j}") for j in range(len(positions(F.lit(0))))]
+    cols += [F.max(F.when(F.col("i") == j, F.col("_id"))).alias(f"_ci{j}") for j in range(len(positions(F.lit(0))))]
+    return total.crossJoin(picked.agg(*cols))
+
+
+def at_or_before(key: Column, tiebreak: Column, j: int) -> Column:
+    """Row (key, tiebreak) is at or before cut-off ``j`` of a ``rank_cutoffs`` row."""
+    ck, ci = F.col(f"_ck{j}"), F.col(f"_ci{j}")
+    return F.coalesce((key < ck) | ((key == ck) & (tiebreak <= ci)), F.lit(False))

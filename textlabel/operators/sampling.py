@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import hash_rank, md5_key, md5_unit
+from .ranking import at_or_before, hash_rank, md5_key, md5_unit, rank_cutoffs
 
 
 def with_order_key(df: DataFrame, id_col: str = "doc_id", seed: int = 42,
@@ -50,29 +50,38 @@ def split_sizes(n, rule: str = "halves"):
     return train, val
 
 
+def _classify(df: DataFrame, id_col: str, seed: int, positions, labels: list[str], out: str) -> DataFrame:
+    """Label each row by the first cut-off it is at or before (last label otherwise).
+    The cut-offs are one broadcast row; the rows themselves are never shuffled."""
+    cuts = rank_cutoffs(df, md5_key(seed, id_col), id_col, positions)
+    key = md5_key(seed, id_col)
+    expr = F.lit(labels[-1])
+    for j in reversed(range(len(labels) - 1)):
+        expr = F.when(at_or_before(key, F.col(id_col), j), F.lit(labels[j])).otherwise(expr)
+    return df.crossJoin(F.broadcast(cuts)).withColumn(out, expr).drop(*cuts.columns)
+
+
 def exact_split(df: DataFrame, id_col: str = "doc_id", seed: int = 42, rule: str = "halves",
                 out: str = "split") -> DataFrame:
     """SPL2: exact-size train/val/test by seeded position."""
-    r = ranked(df, id_col, seed)
-    train, val = split_sizes(F.col("_n"), rule)
-    return r.withColumn(out, F.when(F.col("_pos") <= train, "train")
-                        .when(F.col("_pos") <= train + val, "val")
-                        .otherwise("test")).drop("_pos", "_n")
+    def positions(n):
+        train, val = split_sizes(n, rule)
+        return [train, train + val]
+    return _classify(df, id_col, seed, positions, ["train", "val", "test"], out)
 
 
 def train_test_split(df: DataFrame, id_col: str = "doc_id", seed: int = 42,
                      test_size: float = 0.2, out: str = "split") -> DataFrame:
-    """SPL3: test = ceil(test_size * n) rows, the rest train."""
-    r = ranked(df, id_col, seed)
-    n_test = F.ceil(F.lit(float(test_size)) * F.col("_n"))
-    return r.withColumn(out, F.when(F.col("_pos") <= n_test, "test").otherwise("train")).drop("_pos", "_n")
+    """SPL3: test = ceil(test_size * n) rows (the first in seeded order), the rest train."""
+    return _classify(df, id_col, seed, lambda n: [F.ceil(F.lit(float(test_size)) * n)],
+                     ["test", "train"], out)
 
 
 def sample_fraction(df: DataFrame, frac: float, id_col: str = "doc_id", seed: int = 42) -> DataFrame:
     """SMP1: exactly round(frac * n) rows (half to even, as Python's ``round``)."""
-    r = ranked(df, id_col, seed)
-    k = F.bround(F.lit(float(frac)) * F.col("_n"), 0)
-    return r.filter(F.col("_pos") <= k).drop("_pos", "_n")
+    picked = _classify(df, id_col, seed, lambda n: [F.bround(F.lit(float(frac)) * n, 0)],
+                       ["in", "out"], "_sample")
+    return picked.filter(F.col("_sample") == "in").drop("_sample")
 
 
 def sample_examples(df: DataFrame, k: int, id_col: str = "doc_id", seed: int = 0) -> DataFrame:
