@@ -104,7 +104,10 @@ def _exchange_columns(df):
         kids = p.children()
         for i in range(kids.size()):
             walk(kids.apply(i))
-    walk(df._jdf.queryExecution().sparkPlan())
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.initialPlan()  # the physical plan with its exchanges, before AQE re-planning
+    walk(plan)
     return cols
 
 
