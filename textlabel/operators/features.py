@@ -29,13 +29,25 @@ def bow_counts(df: DataFrame, vocab: DataFrame, tokens: str = "tokens",
     return tf.join(size_checked_broadcast(vocab.select("token", "idx")), "token")
 
 
+def bow_counts_fitted(df: DataFrame, tokens: str = "tokens", key: str = "doc_id",
+                      split: str = "split", fit_on: str = "train") -> DataFrame:
+    """AG11 long form: term counts of every row, kept for terms seen in the ``fit_on`` split
+    (the vocabulary is fitted on train only). No indexed vocabulary is needed here: a
+    semi join with the training split's distinct terms (map-side de-duplicated)."""
+    tf = df.select(key, split, F.explode(tokens).alias("token")).groupBy(key, split, "token").agg(
+        F.count(F.lit(1)).alias("tf"))
+    fitted = tf.filter(F.col(split) == fit_on).select("token").distinct()
+    return tf.join(fitted, "token", "left_semi")
+
+
 def bow_scale_stats(counts: DataFrame, n_rows) -> DataFrame:
     """AG12: per-term population std over ``n_rows`` rows (absent = 0), no centring;
     a constant term keeps scale 1 (it is left unscaled).
 
     ``n_rows`` is an int or a one-row DataFrame with column ``n`` (kept distributed).
     """
-    s = counts.groupBy("token", "idx").agg(F.sum("tf").cast("double").alias("s1"),
+    group = ["token", "idx"] if "idx" in counts.columns else ["token"]
+    s = counts.groupBy(*group).agg(F.sum("tf").cast("double").alias("s1"),
                                            F.sum(F.col("tf") * F.col("tf")).cast("double").alias("s2"),
                                            F.count(F.lit(1)).alias("df"))
     if isinstance(n_rows, DataFrame):
@@ -45,7 +57,7 @@ def bow_scale_stats(counts: DataFrame, n_rows) -> DataFrame:
     n = F.col("_n")
     var = F.greatest(F.col("s2") / n - F.pow(F.col("s1") / n, 2), F.lit(0.0))
     std = F.sqrt(var)
-    return s.select("token", "idx", "df", "s1", "s2", std.alias("std"),
+    return s.select(*group, "df", "s1", "s2", std.alias("std"),
                     F.when(std > 0, std).otherwise(F.lit(1.0)).alias("scale"))
 
 

@@ -198,17 +198,15 @@ def _bow_split(spark, d):
 
 
 def bow_counts(spark, d):
-    sp = _bow_split(spark, d)
-    vocab = FE.bow_vocabulary(sp.filter(F.col("split") == "train"))
-    return FE.bow_counts(sp, vocab).select("doc_id", "token", F.col("tf").cast("long"))
+    return FE.bow_counts_fitted(_bow_split(spark, d)).select("doc_id", "token", F.col("tf").cast("long"))
 
 
 def bow_scale_stats(spark, d):
-    sp = _bow_split(spark, d)
-    train = sp.filter(F.col("split") == "train")
-    vocab = FE.bow_vocabulary(train)
+    # every term of a training row is in the training vocabulary: no vocabulary join needed
+    train = _bow_split(spark, d).filter(F.col("split") == "train")
     n_train = train.agg(F.count(F.lit(1)).alias("n"))
-    counts = FE.bow_counts(train, vocab)
+    counts = train.select("doc_id", F.explode("tokens").alias("token")).groupBy("doc_id", "token").agg(
+        F.count(F.lit(1)).alias("tf"))
     st = FE.bow_scale_stats(counts, n_train)
     return st.select("token", F.col("df").cast("long"), _r("s1").alias("s1"), _r("s2").alias("s2"),
                      _r("std").alias("std"), _r("scale").alias("scale"))
