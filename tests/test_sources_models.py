@@ -103,3 +103,11 @@ def test_bow_feature_scaling_is_population_std(spark):
         std = col.std()  # population std, as scikit-learn's StandardScaler
         for i in (1, 2, 3, 4):
             assert rows[i][j] == pytest.approx(col[i - 1] / (std if std > 0 else 1.0))
+
+
+def test_bow_counts_use_training_vocabulary_only(spark):
+    from textlabel.operators import features as FE
+    df = spark.createDataFrame([(1, "train", ["a", "b", "a"]), (2, "test", ["b", "c"])],
+                               "doc_id long, split string, tokens array<string>")
+    got = {(r["doc_id"], r["token"]): r["tf"] for r in FE.bow_counts_fitted(df).collect()}
+    assert got == {(1, "a"): 2, (1, "b"): 1, (2, "b"): 1}
