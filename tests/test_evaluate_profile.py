@@ -124,3 +124,11 @@ def test_top_words(spark):
     df = spark.createDataFrame([([["b", "a"], ["a", "<pad>"]],), ([["c", "b", "a"]],)], "tokens array<array<string>>")
     got = [(r["word"], r["n"]) for r in P.top_words(df, k=2, stop_words=["<pad>"]).collect()]
     assert got == [("a", 3), ("b", 2)]
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    df = spark.createDataFrame([("x" * n,) for n in range(1, 2001)], "text string")
+    exact = P.describe_length(df).first()
+    approx = P.describe_length(df, approx=True).first()
+    for k in ("p25", "p50", "p75"):
+        assert abs(exact[k] - approx[k]) <= 2.0

@@ -117,3 +117,18 @@ def test_exact_split_never_shuffles_text(spark):
     for out in (S.exact_split(docs), S.train_test_split(docs), S.sample_fraction(docs, 0.3)):
         exchanged = _exchange_columns(out)
         assert exchanged and all("text" not in c for c in exchanged), exchanged
+
+
+def test_streaming_ids_equal_batch_lookup(spark, tmpdir_path):
+    from textlabel.operators import vocab as V
+    src = os.path.join(tmpdir_path, "in3")
+    spark.read.parquet(f"{SF}/documents.parquet").write.parquet(src)
+    batch = SQ.prepare_documents(spark.read.parquet(src))
+    vocab = V.build_vocabulary(batch)
+    want = {r["doc_id"]: r["ids"] for r in V.index_tokens(batch, vocab).collect()}
+    ids = ST.indexed_stream(ST.prepared_stream(ST.read_document_stream(spark, src)), vocab)
+    q = ids.writeStream.format("memory").queryName("ids_out").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    got = {r["doc_id"]: r["ids"] for r in spark.sql("SELECT * FROM ids_out").collect()}
+    assert got == want
