@@ -266,7 +266,7 @@ _add("frame_replace", w(LAB_YN) + """SELECT doc_id, CASE WHEN text = 'y' THEN '1
 _add("label_vector", w(LAB_INT) + """SELECT doc_id, quality::FLOAT::VARCHAR || ',' || toxic::FLOAT::VARCHAR AS label_vec,
   2::INTEGER AS vec_size, quality::FLOAT AS quality_scalar FROM labi""")
 _add("text_length", "SELECT doc_id, length(text)::BIGINT AS text_length FROM documents")
-_add("threshold_predict", w(LAB_INT, SCORED) + """SELECT doc_id, trait, round(logit, 6) AS logit, round(score, 6) AS score,
+_add("threshold_predict", w(LAB_INT, SCORED) + """SELECT doc_id, trait, round(logit, 6) + 0.0 AS logit, round(score, 6) AS score,
   (score >= 0.5::DOUBLE)::INTEGER AS predicted FROM scored""")
 _add("clean_text", f"SELECT doc_id, {clean('text')} AS clean FROM documents")
 _prefixes = ", ".join(q(p) for p in I.CONTRACTION_PREFIXES)
