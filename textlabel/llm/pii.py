@@ -1,9 +1,9 @@
 """Personal data by weak supervision, in native expressions only.
 
-Candidates are the base matches of four patterns (email, ip, card, phone) and looser shapes of them (an email written with
-"at" and "dot", digit groups like a phone number without ``+``, digit runs of a card's length that fail the check). Three kinds of labelers
-vote on each candidate: the strict pattern with its check, a gazetteer (top-level domains, country codes, card
-issuers, address ranges) and the words before it. Votes are 1, -1 or 0 (none).
+Candidates are the base matches of four patterns (email, ip, card, phone) and, where no valid base match is, looser shapes of
+them: an email written with "at" and "dot", a phone number without ``+`` or with other numbers right after it, a card
+number among other digit groups. Three labelers vote on each candidate: the strict pattern with its check, a gazetteer (top-level
+domains, country codes, card issuers, address ranges) and the words before it. Votes are 1, -1 or 0 (none).
 
 The votes of all documents are counted by pattern, at most 27 for each kind. Expectation-maximisation over these counts
 estimates how reliable each labeler is (a two-class model with independent labelers); the span classifier is then trained on the
@@ -39,7 +39,8 @@ BASE = {
 }
 LOOSE = {
     "email": r"(?i)(?<![A-Za-z0-9])[A-Za-z0-9._-]{2,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{2,63} ?[\[(] ?dot ?[\])] ?[A-Za-z]{2,12}(?![A-Za-z])",
-    "phone": r"(?<![0-9+().-])(?<![0-9+] )(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{14,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])",
+    "phone": r"(?:\+[0-9]{1,3}[ -]?|(?<![0-9+().-])(?<![0-9+] ))(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
 }
 #: fixed values: gazetteers and context words
 _KNOWN = {
@@ -87,7 +88,7 @@ def _located(pattern: str, text: str) -> str:
 def _candidates(kind: str, base: bool, text: str) -> str:
     """SQL: array of candidates of a kind with the votes on each."""
     before = f"substring({text}, greatest(1, c.a - 23), least(24, c.a))"
-    strict = f"case when {_checked(kind, 'c.s')} then 1 else -1 end" if base else "0"
+    strict = f"case when {_checked(kind, 'c.s')} then {int(base)} else -1 end" if base or kind == "card" else "0"
     known = f"case when c.s rlike r'{_KNOWN[kind]}' then 1 else -1 end"
     context = f"case when {before} rlike r'{_BEFORE[kind]}' then 1 when {before} rlike r'{_AGAINST[kind]}' then -1 else 0 end"
     shape = "case when c.s rlike '^[0-9]+$' then 0 when c.s rlike '[A-Za-z]' then 1 when c.s rlike '[(]' then 2 else 3 end"
@@ -98,10 +99,12 @@ def _candidates(kind: str, base: bool, text: str) -> str:
 
 def candidates(df: DataFrame, key: str, text: str, carry=()) -> DataFrame:
     """(key, *carry, c): every candidate of every whole text with its votes, by start and kind."""
-    parts = [_candidates(k, True, "_text") for k in KINDS] + [_candidates(k, False, "_text") for k in LOOSE]
+    base, loose = ([_candidates(k, b, "_text") for k in which] for b, which in ((True, KINDS), (False, LOOSE)))
+    apart = "c -> not exists(_base, x -> x.strict = 1 and x.kind = c.kind and x.a < c.b and c.a < x.b)"
     src = df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"), *[F.col(c) for c in carry if c != key])
-    found = src.select(key, *[c for c in carry if c != key], F.expr(f"array_sort(concat({', '.join(parts)}))").alias("_found"))
-    return found
+    kept = [c for c in carry if c != key]
+    found = src.select(key, *kept, F.expr(f"concat({', '.join(base)})").alias("_base"), F.expr(f"concat({', '.join(loose)})").alias("_loose"))
+    return found.select(key, *kept, F.expr(f"case when size(_loose) = 0 then array_sort(_base) else array_sort(concat(_base, filter(_loose, {apart}))) end").alias("_found"))
 
 
 def expected_labels(counts: dict[tuple, float], rounds: int = 50) -> dict[tuple, float]:
@@ -162,7 +165,7 @@ def vote_counts(found: DataFrame) -> list[tuple]:
 
 def _accepted(model: dict[tuple, float], sure: float) -> list[int]:
     """Codes of the combinations beyond the base spans that the classifier accepts."""
-    return [_code(k) for k, p in model.items() if k[1] < 1 and p >= sure and (k[2] > 0 or k[3] > 0) and k[3] >= 0]
+    return [_code(k) for k, p in model.items() if k[1] == 0 and p >= sure and (k[2] > 0 or k[3] > 0) and k[3] >= 0]
 
 
 def _code(features: tuple) -> int:
