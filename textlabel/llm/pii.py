@@ -42,6 +42,17 @@ LOOSE = {
     "card": r"(?<![0-9])(?:[0-9]{14,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])",
     "phone": r"(?:\+[0-9]{1,3}[ -]?|(?<![0-9+().-])(?<![0-9+] ))(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
 }
+#: cheap conditions that every match implies, tried first: most texts hold no candidate
+_DIGITS = "{t} rlike r'[0-9](?:[ -]?[0-9]){{13}}'"
+_TRIGGER = {
+    (True, "email"): "contains({t}, '@')",
+    (True, "ip"): "{t} rlike r'[0-9]\\.[0-9]'",
+    (True, "card"): _DIGITS,
+    (True, "phone"): "contains({t}, '+')",
+    (False, "email"): "{t} rlike r'(?i)[\\[(] ?dot'",
+    (False, "card"): _DIGITS,
+    (False, "phone"): "{t} rlike r'[0-9]{{3}}[.-][0-9]{{4}}'",
+}
 #: fixed values: gazetteers and context words
 _KNOWN = {
     "email": r"(?i)[.) ](?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$",
@@ -75,13 +86,13 @@ def _checked(kind: str, match: str) -> str:
     }[kind]
 
 
-def _located(pattern: str, text: str) -> str:
+def _located(pattern: str, text: str, trigger: str) -> str:
     """SQL: array of (a, b, s) for every match: start, end, the string. Only texts with a match are split."""
     matches, gaps = f"regexp_extract_all({text}, r'{pattern}', 0)", f"split({text}, r'{pattern}', -1)"
     none = "cast(array() as array<struct<a:int,b:int,s:string>>)"
     step = ("named_struct('at', acc.at + length(x.g) + length(x.m), 'out', concat(acc.out, array(named_struct("
             "'a', acc.at + length(x.g), 'b', acc.at + length(x.g) + length(x.m), 's', x.m))))")
-    return (f"case when {text} rlike r'{pattern}' then aggregate(zip_with({matches}, {gaps}, (m, g) -> named_struct('m', m, 'g', g)), "
+    return (f"case when {trigger} and {text} rlike r'{pattern}' then aggregate(zip_with({matches}, {gaps}, (m, g) -> named_struct('m', m, 'g', g)), "
             f"named_struct('at', 0, 'out', {none}), (acc, x) -> case when x.m is null then acc else {step} end, acc -> acc.out) else {none} end")
 
 
@@ -93,7 +104,7 @@ def _candidates(kind: str, base: bool, text: str) -> str:
     context = f"case when {before} rlike r'{_BEFORE[kind]}' then 1 when {before} rlike r'{_AGAINST[kind]}' then -1 else 0 end"
     shape = "case when c.s rlike '^[0-9]+$' then 0 when c.s rlike '[A-Za-z]' then 1 when c.s rlike '[(]' then 2 else 3 end"
     number = KINDS.index(kind)
-    return (f"transform({_located((BASE if base else LOOSE)[kind], text)}, c -> named_struct('a', c.a, 'kind', {number}, 'b', c.b, "
+    return (f"transform({_located((BASE if base else LOOSE)[kind], text, _TRIGGER[base, kind].format(t=text))}, c -> named_struct('a', c.a, 'kind', {number}, 'b', c.b, "
             f"'strict', {strict}, 'gazetteer', {known}, 'context', {context}, 'shape', {shape}))")
 
 
