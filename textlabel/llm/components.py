@@ -13,23 +13,20 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
 
     A star step links every neighbour of a node to the smallest of them. Large stars take the neighbours above a node,
     small stars those below it; a few alternations leave one star for each component. All steps are joins and
-    aggregations with map-side minima; nothing is gathered. Every second step is stored, which cuts the lineage.
+    aggregations with map-side minima; nothing is gathered. Each alternation is stored, which cuts the lineage.
     """
     edges = stored(links.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).filter("lo < hi").distinct())
+    state = None
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("hi"), F.col("lo"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(least, "u").filter("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi"))
                  .filter("lo < hi").distinct())
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi")
-        new = stored(small.select(F.col("m").alias("lo"), "hi").union(small.filter("lo > m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))).distinct())
-        # stars only: every larger node has one link and no smaller node is anyone's larger one
-        tops = new.select(F.col("lo").alias("hi")).distinct()
-        chained = new.join(tops, "hi", "left_semi").limit(1).count()
-        many = new.groupBy("hi").count().filter("count > 1").limit(1).count()
-        edges = new
-        if not chained and not many:
+        small = large.join(large.groupBy("hi").agg(F.min("lo").alias("m")), "hi")
+        edges = stored(small.select(F.col("m").alias("lo"), "hi").union(small.filter("lo > m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))).distinct())
+        # settled: the same links as before, by count and the sum of their hashes
+        before, state = state, tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first())
+        if state == before:
             break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
