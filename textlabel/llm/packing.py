@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from functools import lru_cache
 
@@ -33,7 +34,9 @@ from .common import id_and, stored, texts_of
 #: buckets that the documents of one length are dealt to before they are ranked
 BUCKETS = 64
 #: words and pre-tokens that a worker remembers before it starts anew
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
+#: longer words are not remembered
+LONGEST = 60
 
 
 def word_path(path: str | None = None) -> str:
@@ -49,9 +52,9 @@ def word_encoder(path: str) -> "WordEncoder":
     return WordEncoder(path)
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """The library's ids, found word by word. Blanks and line ends always separate pre-tokens, so a text's ids are
-    those of its words one after the other, and a worker remembers the ids of words it has met.
+    those of its words one after the other; the encoder is the dictionary of the words that a worker has met.
 
     A new word of plain letters (where lower case and NFC act on each character alone) is cut with the file's own
     pattern and only its unknown pre-tokens go to the library's model; any other word goes through the whole library.
@@ -62,7 +65,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        spec = json.loads(open(path, encoding="utf-8").read())
+        super().__init__()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         patterns = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
@@ -73,33 +78,34 @@ class WordEncoder:
         self.plain = regex.compile("[" + "".join(map(regex.escape, plain)) + "]*").fullmatch
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelt = {c: level.pre_tokenize_str(c)[0][0] for c in {p.lower() for p in plain}}
-        self.words: dict[str, bytes] = {"": b""}
         self.tokens: dict[str, bytes] = {}
 
-    def _token(self, pre: str) -> bytes:
-        got = self.tokens.get(pre)
-        if got is None:
-            spelt = pre if pre.isascii() else "".join([self.spelt[c] for c in pre])
-            got = self.tokens[pre] = np.array([t.id for t in self.model.tokenize(spelt)], dtype="<u4").tobytes()
-        return got
-
-    def word(self, word: str) -> bytes:
-        if len(word) < 200 and self.plain(word) and not any(s in word for s in self.special):
-            return b"".join([self._token(p) for p in self.cut(word.lower())])
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian uint32 ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known, words = self.words, set().union(*split)
-        new = words.difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
+    def __missing__(self, word: str) -> bytes:
+        if len(word) > LONGEST:
+            return self.whole(word)
+        plain = (word.isascii() and word.isprintable()) or self.plain(word)
+        if plain and not any(s in word for s in self.special):
+            tokens = self.tokens
+            ids = b"".join([tokens.get(p) or self.token(p) for p in self.cut(word.lower())])
+        else:
+            ids = self.whole(word)
+        self[word] = ids
+        return ids
+
+    def token(self, pre: str) -> bytes:
+        spelt = pre if pre.isascii() else "".join([self.spelt[c] for c in pre])
+        ids = self.tokens[pre] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        return ids
+
+    def whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian uint32 ids of a text."""
+        if len(self) > REMEMBERED:
+            self.clear()
             self.tokens.clear()
-            new = words
-        for w in new:
-            known[w] = self.word(w)
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
@@ -118,7 +124,7 @@ def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
             for first in range(0, batch.num_rows, 1000):
                 rows = batch.slice(first, 1000)
                 owner, piece, start, cuts = [], [], [], []
-                for i, ids in enumerate(encoder.encode(texts_of(rows))):
+                for i, ids in enumerate(map(encoder.encode, texts_of(rows))):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), 4 * limit)):
                         owner.append(i)
