@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import hash_share, stored
 from .components import components
-from .vectors import matrix, packed, pivots
+from .vectors import matrix, packed, pivots, usable
 
 CENTRES = 512
 SHARD = 1500
@@ -247,6 +247,11 @@ def find_links(nodes: DataFrame, similarity: float, recall: float, probes: int =
         probes = min(total, 2 * probes)
 
 
+def _linkable(vector: str):
+    """Usable, and not all zero: what ``unit`` keeps."""
+    return usable(vector) & F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
 def vector_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", similarity: float = 0.95, recall: float = 0.99) -> DataFrame:
     """(key, n_links, component_id, kept) of every row."""
     ready = stored(packed(df, key, vector, unit))
@@ -259,5 +264,5 @@ def vector_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embeddi
     least = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
     known = of_node.join(least, "component").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
     found = ready.join(known, "node").select(F.col("id").alias(key), "n_links", "component_id")
-    rest = df.join(ready.select(F.col("id").alias(key)).distinct(), key, "left_anti").select(F.col(key), F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"))
+    rest = df.filter(~_linkable(vector)).select(F.col(key), F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"))
     return found.union(rest).withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
