@@ -45,14 +45,19 @@ def _canonical(s: str | None):
         return None
     try:
         obj = json.loads(s)
+        return json.dumps(_finite(obj)) if isinstance(obj, dict) else None
     except (ValueError, RecursionError):
         return None
-    if not isinstance(obj, dict):
-        return None
-    # NaN / Infinity are valid for Python but not for Spark's parser; they never equal
-    # 0 or 1, exactly like null
-    clean = {k: (None if isinstance(v, float) and not math.isfinite(v) else v) for k, v in obj.items()}
-    return json.dumps(clean)
+
+
+def _finite(value):
+    """NaN and Infinity, at any depth, as null: Python's ``json`` reads them, Spark's parser does not, and like null they
+    never equal 0 or 1."""
+    if isinstance(value, float):
+        return value if math.isfinite(value) else None
+    if isinstance(value, dict):
+        return {k: _finite(v) for k, v in value.items()}
+    return [_finite(v) for v in value] if isinstance(value, list) else value
 
 
 @F.pandas_udf(StringType())

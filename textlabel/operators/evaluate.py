@@ -17,12 +17,13 @@ def long_cells(actual: DataFrame, predicted: DataFrame, label_cols: list[str],
 
     ``predicted`` holds one column per label (numbers or null); a missing key counts wrong.
     """
-    a = actual.unpivot([key], label_cols, "trait", "actual")
+    a = actual.select(key, F.struct(*[F.col(c).cast("double").alias(c) for c in label_cols]).alias("_actual"))
     ids = [key] + ([run] if run else [])
-    p = predicted.unpivot(ids, label_cols, "trait", "predicted")
-    return a.join(p, [key, "trait"]).select(
-        *( [run] if run else []), key, "trait",
-        F.col("actual").cast("double").alias("actual"), F.col("predicted").cast("double").alias("predicted"))
+    p = predicted.select(*ids, F.struct(*[F.col(c).cast("double").alias(c) for c in label_cols]).alias("_predicted"))
+    # one join on the key, then one row per cell: the labels are not shuffled once each
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("trait"), F.col("_actual")[c].alias("actual"), F.col("_predicted")[c].alias("predicted"))
+                                for c in label_cols])).alias("_cell")
+    return a.join(p, key).select(*([run] if run else []), key, cells).select(*([run] if run else []), key, "_cell.*")
 
 
 def _correct():
@@ -61,22 +62,33 @@ def precision_recall(cells: DataFrame, by: list[str] | None = None) -> DataFrame
 
 
 def metric_table(cells: DataFrame, run: str = "run") -> DataFrame:
-    """Per-run metrics in long form (run, metric, trait, value); SET1 stacks them."""
-    overall = micro_accuracy(cells, [run]).select(
-        run, F.lit("overall_accuracy").alias("metric"), F.lit("all").alias("trait"),
-        F.col("accuracy").alias("value"))
-    acc = trait_accuracy(cells, [run]).select(
-        run, F.lit("accuracy").alias("metric"), "trait", F.col("accuracy").alias("value"))
-    pr = precision_recall(cells, [run])
-    prec = pr.select(run, F.lit("precision").alias("metric"), "trait", F.col("precision").alias("value"))
-    rec = pr.select(run, F.lit("recall").alias("metric"), "trait", F.col("recall").alias("value"))
-    return overall.unionByName(acc).unionByName(prec).unionByName(rec)
+    """Per-run metrics in long form (run, metric, trait, value); SET1 stacks them.
+
+    One aggregation of the cells: counts for each (run, trait), from which every metric follows; the overall accuracy sums them.
+    """
+    p1, a1 = F.col("predicted") == 1, F.col("actual") == 1
+    p0, a0 = F.col("predicted") == 0, F.col("actual") == 0
+    counts = cells.groupBy(run, "trait").agg(F.sum(_correct()).alias("right"), F.count(F.lit(1)).alias("n"), F.count_if(p1 & a1).alias("tp"),
+                                             F.count_if(p1 & a0).alias("fp"), F.count_if(p0 & a1).alias("fn"))
+    def share(x, y):
+        return F.when(F.col("tp") + F.col(y) > 0, F.col("tp") / (F.col("tp") + F.col(y))).otherwise(0.0)
+
+    # a run has one row a trait here: they are few, and give its overall row too
+    of_run = counts.groupBy(run).agg((F.sum("right") / F.sum("n")).alias("overall"), F.collect_list(F.struct(
+        "trait", (F.col("right") / F.col("n")).alias("accuracy"), share("tp", "fp").alias("precision"), share("tp", "fn").alias("recall"))).alias("traits"))
+    row = lambda metric, trait, value: F.struct(F.lit(metric).alias("metric"), trait.alias("trait"), value.alias("value"))
+
+    def of_traits(metric):
+        return F.transform("traits", lambda t: row(metric, t["trait"], t[metric]))
+
+    rows = F.concat(F.array(row("overall_accuracy", F.lit("all"), F.col("overall"))), *map(of_traits, ("accuracy", "precision", "recall")))
+    return of_run.select(run, F.explode(rows).alias("_m")).select(run, "_m.*")
 
 
 def run_average_metrics(metrics: DataFrame, run: str = "run") -> DataFrame:
     """AG17: mean over runs of every (metric, trait)."""
     return metrics.groupBy("metric", "trait").agg(F.avg("value").alias("value"),
-                                                 F.countDistinct(run).alias("n_runs"))
+                                                 F.count(run).alias("n_runs"))
 
 
 def bce_with_logits(x, y) -> F.Column:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let
-from ..session import spread
 from .ranking import md5_key, md5_unit, size_checked_broadcast, sorted_index
 
 
@@ -81,17 +80,19 @@ def l2_normalize(v: Column, eps: float = 1e-12) -> Column:
 
 def word_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 7,
                  vec_key: str = "vec_id", vec_col: str = "embedding",
-                 zero_tokens: tuple = ()) -> DataFrame:
+                 zero_tokens: tuple = (), on: str = "idx") -> DataFrame:
     """JN2: (token, idx, known, vector) — the vector row whose key equals the vocabulary
-    index, else a hash vector. ``zero_tokens`` (e.g. ``("<pad>",)``) get zero vectors
+    index (``on="idx"``) or the word itself (``on="word"``, the form of a vector file), else a hash vector. ``zero_tokens`` (e.g. ``("<pad>",)``) get zero vectors
     instead (option for quirk Q14, where specials get random vectors)."""
-    v = vectors.select(F.col(vec_key).cast("int").alias("idx"),
+    if on not in ("idx", "word"):
+        raise ValueError(f"vectors are found by idx or by word, not by {on}")
+    side = "idx" if on == "idx" else "token"
+    v = vectors.select(F.col(vec_key).cast("long" if on == "idx" else "string").alias(side),
                        F.col(vec_col).cast("array<double>").alias("_vec"))
-    vocab = spread(vocab)  # 64 hashes per unknown word: use every core even for a small vocabulary
     vec = F.coalesce("_vec", hash_vector(F.col("token"), dim, seed))
     if zero_tokens:
         vec = F.when(F.col("token").isin(*zero_tokens), F.array_repeat(F.lit(0.0), dim)).otherwise(vec)
-    return (vocab.select("token", "idx").join(v, "idx", "left")
+    return (vocab.select("token", "idx").join(v, side, "left")
             .select("token", "idx", F.col("_vec").isNotNull().alias("known"), vec.alias("vector")))
 
 

@@ -17,8 +17,7 @@ from typing import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
-
-OUTPUT_SCHEMA = "doc_id long, raw string, status string, attempts int"
+from pyspark.sql import types as T
 
 
 def call_with_retry(fn: Callable[[], str], max_attempts: int = 10, wait_min: float = 1.0,
@@ -39,44 +38,58 @@ def call_with_retry(fn: Callable[[], str], max_attempts: int = 10, wait_min: flo
 
 
 def batch_infer(prompts: DataFrame, predictor_factory: Callable, key: str = "doc_id",
-                prompt: str = "prompt", max_attempts: int = 10, wait_min: float = 1.0,
-                wait_max: float = 60.0, passthrough: list[str] | None = None) -> DataFrame:
-    """ML4: ``mapInPandas`` over Arrow batches; null prompts are passed through as
-    ``status='no_prompt'``. ``passthrough`` columns (e.g. ``run``) are copied to the output."""
+                prompt: str | list[str] = "prompt", max_attempts: int = 10, wait_min: float = 1.0,
+                wait_max: float = 60.0, passthrough: list[str] | None = None, at_once: int = 256) -> DataFrame:
+    """ML4: (passthrough, key, raw, status, attempts) by ``mapInPandas`` over Arrow batches; the key keeps its name and type.
+
+    ``prompt``: the input column, or several (also arrays, e.g. ids and mask), which reach the predictor as one tuple for each
+    row. A null input is passed through as ``status='no_prompt'``. A batch predictor gets at most ``at_once`` inputs a call; if the call
+    fails or gives another number of answers than it was asked for, its rows are asked one by one, so that one bad
+    input costs only its own answer (``failed``)."""
     passthrough = passthrough or []
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in prompts.schema.fields if f.name in passthrough]
-    schema = ", ".join(fields + [OUTPUT_SCHEMA])
+    columns = [prompt] if isinstance(prompt, str) else list(prompt)
+    src = prompts.select(*passthrough, key, *columns)
+    fields = [src.schema[c] for c in [*passthrough, key]]
+    schema = T.StructType([*fields, T.StructField("raw", T.StringType()), T.StructField("status", T.StringType()),
+                           T.StructField("attempts", T.IntegerType())])
 
     def run(batches):
         predictor = predictor_factory()
         rng = random.Random()
-        batched = hasattr(predictor, "answer_batch")
+        whole = hasattr(predictor, "answer_batch")
+
+        def ask(keys, inputs):
+            answers = list(predictor.answer_batch(keys, inputs))
+            if len(answers) != len(inputs):
+                raise ValueError(f"{len(answers)} answers to {len(inputs)} inputs")
+            return answers
+
+        def one(k, p):
+            fn = (lambda: ask([k], [p])[0]) if whole else (lambda: _ask(predictor, k, p))
+            return call_with_retry(fn, max_attempts, wait_min, wait_max, rng)
+
         for pdf in batches:
-            raws, statuses, attempts = [], [], []
-            if batched:
-                # one call per Arrow batch (e.g. a local model scoring many prompts at once)
-                todo = pdf[prompt].notna().to_numpy()
-                got, st, n = call_with_retry(
-                    lambda: list(predictor.answer_batch(pdf[key][todo].tolist(), pdf[prompt][todo].tolist())),
-                    max_attempts, wait_min, wait_max, rng)
-                it = iter(got or [])
-                for ok in todo:
-                    raws.append(next(it, None) if ok and got is not None else None)
-                    statuses.append(st if ok else "no_prompt")
-                    attempts.append(n if ok else 0)
-            for k, p in ([] if batched else zip(pdf[key], pdf[prompt])):
-                if p is None:
-                    raws.append(None); statuses.append("no_prompt"); attempts.append(0)
-                    continue
-                ans, st, n = call_with_retry(lambda: _ask(predictor, k, p), max_attempts,
-                                             wait_min, wait_max, rng)
-                raws.append(ans); statuses.append(st); attempts.append(n)
-            out = {c: pdf[c].values for c in passthrough}
-            out.update({"doc_id": pdf[key].astype("int64").values, "raw": raws, "status": statuses,
-                        "attempts": pd.Series(attempts, dtype="int32").values})
+            keys = pdf[key].tolist()
+            inputs = [None if any(v is None or v is pd.NA or (isinstance(v, float) and v != v) for v in vs) else (vs if len(columns) > 1 else vs[0])
+                      for vs in zip(*(pdf[c] for c in columns))]
+            todo = [i for i, p in enumerate(inputs) if p is not None]
+            results: list = [(None, "no_prompt", 0)] * len(keys)
+            for start in range(0, len(todo), at_once):
+                part = todo[start: start + at_once]
+                got, status, n = (call_with_retry(lambda: ask([keys[i] for i in part], [inputs[i] for i in part]), max_attempts, wait_min, wait_max, rng)
+                                  if whole else (None, "failed", 0))
+                for j, i in enumerate(part):
+                    if status == "ok":
+                        results[i] = (got[j], "ok", n)
+                    else:
+                        answer, its_status, its_n = one(keys[i], inputs[i])
+                        results[i] = (answer, its_status, n + its_n)
+            raw, status, attempts = zip(*results) if results else ((), (), ())
+            out = {c: pdf[c] for c in [*passthrough, key]}
+            out |= {"raw": list(raw), "status": list(status), "attempts": pd.Series(attempts, dtype="int32").values}
             yield pd.DataFrame(out)
 
-    return prompts.select(*passthrough, key, prompt).mapInPandas(run, schema)
+    return src.mapInPandas(run, schema)
 
 
 def _ask(predictor, key, prompt):

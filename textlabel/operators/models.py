@@ -21,30 +21,19 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism, num_partitions
 from .evaluate import long_cells, metric_table
 
 
 def fit_per_label(train: DataFrame, label_cols: list[str], features: str = "features",
                   C: float = 1.0, max_iter: int = 1000, n_train: int | None = None,
                   reg_param: float | None = None, elastic_net: float = 0.0,
-                  parallelism: int = 8, rows_per_partition: int = 100_000) -> dict:
+                  parallelism: int = 8) -> dict:
     """ML1: one logistic regression per label."""
     n_train = n_train if n_train is not None else train.count()
     if reg_param is None:
         reg_param = 1.0 / (C * max(n_train, 1))
-    # Every L-BFGS iteration merges one dense gradient (one value per feature) per partition,
-    # so iterative fits use about one partition per `rows_per_partition` rows, at most one per
-    # core, and a deeper tree merge when there are many partitions.
-    cores = default_parallelism(train.sparkSession) or 1
-    n_rows = n_train if n_train is not None else train.count()
-    target = max(1, min(cores, -(-n_rows // rows_per_partition)))
-    current = num_partitions(train)
-    if current is not None and current > target:
-        train = train.coalesce(target)
-    elif current is not None and current < target:
-        train = train.repartition(target)
-    depth = 2 if target <= 256 else 3
+    # the rows stay where they are; gradients merge through a deeper tree, whatever the size of the table
+    depth = 3
 
     def fit(label):
         lr = LogisticRegression(featuresCol=features, labelCol=label, regParam=reg_param,

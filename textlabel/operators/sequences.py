@@ -10,12 +10,15 @@ from .vocab import build_vocabulary, index_tokens
 
 
 def prepare_documents(df: DataFrame, text: str = "text", key: str = "doc_id",
-                      n_sentences: int = 12, max_words: int = 20) -> DataFrame:
+                      n_sentences: int | None = 12, max_words: int = 20) -> DataFrame:
     """Text -> cleaned -> forced sentences -> padded/cut to ``n_sentences`` -> tokens.
 
-    One projection, no shuffle: STR1-STR3, STR7, ARR1, STR9, STR10.
+    One projection, no shuffle: STR1-STR3, STR7, ARR1, STR9, STR10. With ``n_sentences=None`` nothing is cut or
+    padded: all sentences of the whole text, for frequencies, vocabularies and embeddings.
     """
     chunks = df.select(key, T.force_sentences(T.clean_text(text), max_words).alias("_chunks"))
+    if n_sentences is None:
+        return chunks.select(key, F.col("_chunks").alias("sentences")).withColumn("tokens", T.tokenize_sentences("sentences"))
     # pad_truncate reads the chunks twice: keep them behind a projection boundary
     return chunks.select(key, T.pad_truncate("_chunks", n_sentences).alias("sentences")).withColumn(
         "tokens", T.tokenize_sentences("sentences"))

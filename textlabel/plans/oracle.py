@@ -79,6 +79,8 @@ PREP = f"""prep0 AS (SELECT doc_id, {force(clean('text'))} AS chunks FROM docume
 prep AS (SELECT doc_id, {pad12('chunks')} AS sentences FROM prep0),
 tok AS (SELECT doc_id, sentences, list_transform(sentences, lambda s: {basic_tokens('s')}) AS tokens FROM prep)"""
 
+WHOLE = PREP.replace(pad12("chunks"), "chunks")  # all sentences of the whole text
+
 FREQ = """freq AS (SELECT t AS token, count(*) AS n FROM (SELECT unnest(flatten(tokens)) AS t FROM tok) GROUP BY t)"""
 
 VOCAB = """vocab AS (
@@ -287,8 +289,8 @@ _add("pad_truncate", w(PREP) + """SELECT doc_id, len(sentences)::BIGINT AS n_sen
 _add("tokenize_basic", w(PREP) + f"""SELECT doc_id, len(flatten(tokens))::BIGINT AS n_tokens, {nested_md5('tokens')} AS tokens_md5 FROM tok""")
 _add("bow_tokens", """SELECT doc_id, len(t)::BIGINT AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM
   (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') AS t FROM documents)""")
-_add("token_freq", w(PREP, FREQ) + "SELECT token, n::BIGINT AS n FROM freq")
-_add("vocabulary", w(PREP, FREQ, VOCAB) + "SELECT token, idx, n FROM vocab")
+_add("token_freq", w(WHOLE, FREQ) + "SELECT token, n::BIGINT AS n FROM freq")
+_add("vocabulary", w(WHOLE, FREQ, VOCAB) + "SELECT token, idx, n FROM vocab")
 _add("token_index", w(PREP, FREQ, VOCAB, INDEXED) + f"""SELECT doc_id, len(flatten(ids))::BIGINT AS n_ids, {nested_md5('ids')} AS ids_md5 FROM indexed""")
 _add("numericalize", w(PREP, FREQ, VOCAB, INDEXED,
                        "mx AS (SELECT max(len(ids)) AS ms, max(list_max(list_transform(ids, lambda s: len(s)))) AS ml FROM indexed)",
@@ -297,7 +299,7 @@ _add("numericalize", w(PREP, FREQ, VOCAB, INDEXED,
      + f"SELECT doc_id, len(cube)::BIGINT AS n_sentences, len(cube[1])::BIGINT AS sentence_len, {nested_md5('cube')} AS cube_md5 FROM cube")
 _add("shape_maxima", w(PREP, FREQ, VOCAB, INDEXED) + """SELECT max(len(ids))::BIGINT AS max_sentences,
   max(list_max(list_transform(ids, lambda s: len(s))))::BIGINT AS max_tokens FROM indexed""")
-_add("top_words", w(PREP, FREQ) + "SELECT token AS word, n::BIGINT AS n FROM freq WHERE token <> '<pad>' ORDER BY n DESC, token ASC LIMIT 50")
+_add("top_words", w(WHOLE, FREQ) + "SELECT token AS word, n::BIGINT AS n FROM freq WHERE token <> '<pad>' ORDER BY n DESC, token ASC LIMIT 50")
 _add("encode_fixed", w(
     f"eall AS (SELECT doc_id, {basic_tokens('text')} AS tk FROM documents)",
     "etok AS (SELECT doc_id, tk[1:510] AS tk FROM eall)",
@@ -431,15 +433,17 @@ _EXP = w(
         FROM parsed p JOIN smp s ON p.doc_id = s.doc_id WHERE p.parse_ok)""",
     metrics_sql("ecells"))
 _add("prompt_experiment", _EXP + "SELECT metric, trait, round(avg(value), 6) AS value, count(DISTINCT run)::BIGINT AS n_runs FROM mt GROUP BY metric, trait")
-_add("embed_lookup", w(PREP, FREQ, VOCAB, WORDVEC) + """SELECT token, idx, known, round(list_sum(vector), 4) + 0.0 AS vec_sum,
+_add("embed_lookup", w(WHOLE, FREQ, VOCAB, WORDVEC) + """SELECT token, idx, known, round(list_sum(vector), 4) + 0.0 AS vec_sum,
   round(vector[1], 6) + 0.0 AS vec_first FROM wv""")
-_add("embed_normalize", w(PREP, FREQ, VOCAB, WORDVEC, NORM) + """SELECT token, idx,
+_add("embed_normalize", w(WHOLE, FREQ, VOCAB, WORDVEC, NORM) + """SELECT token, idx,
   round(sqrt(list_sum(list_transform(u, lambda x: x * x))), 6) AS norm, round(list_sum(u), 5) + 0.0 AS vec_sum FROM wvn""")
 _add("doc_embedding", w(
-    PREP, FREQ, VOCAB, WORDVEC, NORM,
+    WHOLE, FREQ, VOCAB, WORDVEC, NORM,
     """dc AS (SELECT t.doc_id, s.si, unnest(t.tokens[s.si]) AS token FROM tok t, LATERAL (SELECT unnest(range(1, len(t.tokens) + 1)) AS si) s)""",
     """dv AS (SELECT dc.doc_id, dc.si, n.u FROM dc LEFT JOIN vocab v ON dc.token = v.token JOIN wvn n ON n.idx = coalesce(v.idx, 0))""",
     """dd AS (SELECT doc_id, si, g.dim, avg(u[g.dim + 1]) AS sv FROM dv, LATERAL (SELECT unnest(range(64)) AS dim) g GROUP BY ALL)""",
     """de AS (SELECT doc_id, dim, avg(sv) AS v FROM dd GROUP BY ALL)""")
     + """SELECT doc_id, round(sum(v), 5) + 0.0 AS emb_sum, round(max(CASE WHEN dim = 0 THEN v END), 5) + 0.0 AS emb_first,
   round(sqrt(sum(v * v)), 5) AS emb_norm FROM de GROUP BY doc_id""")
+
+ORACLE_SQL["embed_by_word"] = ORACLE_SQL["embed_lookup"]

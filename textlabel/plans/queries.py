@@ -113,6 +113,17 @@ def _prepared_once(spark, d):
     return _prepared(spark, d).checkpoint(eager=True)
 
 
+def _whole(spark, d):
+    """Tokens of all sentences of the whole texts."""
+    return SQ.prepare_documents(I.documents(spark, d), n_sentences=None).drop("sentences")
+
+
+def _whole_once(spark, d):
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return _whole(spark, d).checkpoint(eager=True)
+
+
 def pad_truncate(spark, d):
     p = _prepared(spark, d)
     return p.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
@@ -133,11 +144,11 @@ def bow_tokens(spark, d):
 # ---- vocabulary and ids ----------------------------------------------------------------------
 
 def token_freq(spark, d):
-    return V.token_counts(_prepared(spark, d)).select("token", F.col("n").cast("long"))
+    return V.token_counts(_whole(spark, d)).select("token", F.col("n").cast("long"))
 
 
 def vocabulary(spark, d):
-    return V.build_vocabulary(_prepared(spark, d)).select("token", F.col("idx").cast("long"), "n")
+    return V.build_vocabulary(_whole(spark, d)).select("token", F.col("idx").cast("long"), "n")
 
 
 def _indexed(spark, d, with_prepared: bool = False):
@@ -167,7 +178,7 @@ def shape_maxima(spark, d):
 
 
 def top_words(spark, d):
-    return P.top_words(_prepared(spark, d), "tokens", k=50, stop_words=["<pad>"]).select(
+    return P.top_words(_whole(spark, d), "tokens", k=50, stop_words=["<pad>"]).select(
         "word", F.col("n").cast("long"))
 
 
@@ -442,7 +453,7 @@ EMB_DIM = 64
 
 
 def _word_vectors(spark, d):
-    vocab = V.build_vocabulary(_prepared(spark, d))
+    vocab = V.build_vocabulary(_whole(spark, d))
     return FE.word_vectors(vocab, read_table(spark, d, "embeddings"), EMB_DIM)
 
 
@@ -453,6 +464,17 @@ def embed_lookup(spark, d):
                      _r(F.col("vector")[0]).alias("vec_first"))
 
 
+def embed_by_word(spark, d):
+    """Word vectors found by the word itself, as a vector file is read (word, vector)."""
+    vocab = V.build_vocabulary(_whole(spark, d))
+    emb = read_table(spark, d, "embeddings")
+    words = vocab.join(emb, vocab["idx"] == emb["vec_id"]).select(F.col("token").alias("word"), F.col("embedding").alias("vector"))
+    wv = FE.word_vectors(vocab, words, EMB_DIM, vec_key="word", vec_col="vector", on="word")
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
+    return wv.select("token", F.col("idx").cast("long"), "known", _r(total, 4).alias("vec_sum"),
+                     _r(F.col("vector")[0]).alias("vec_first"))
+
+
 def embed_normalize(spark, d):
     wv = _word_vectors(spark, d).withColumn("u", FE.l2_normalize(F.col("vector")))
     norm = F.sqrt(F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x))
@@ -461,7 +483,7 @@ def embed_normalize(spark, d):
 
 
 def _doc_embeddings(spark, d):
-    p = _prepared_once(spark, d)
+    p = _whole_once(spark, d)
     vocab = V.build_vocabulary(p)
     return FE.doc_embeddings(p, vocab, read_table(spark, d, "embeddings"), EMB_DIM)
 
@@ -568,6 +590,7 @@ QUERIES = {
     "miss_rate": miss_rate,
     "prompt_experiment": prompt_experiment,
     "embed_lookup": embed_lookup,
+    "embed_by_word": embed_by_word,
     "embed_normalize": embed_normalize,
     "doc_embedding": doc_embedding,
     "bow_pipeline_metrics": bow_pipeline_metrics,
