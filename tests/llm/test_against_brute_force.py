@@ -235,6 +235,42 @@ def test_op10_planted(spark):
         assert got[i]["class_id"] == first.setdefault(b, i) and got[i]["kept"] == (first[b] == i)
 
 
+def test_op10_equals_all_pairs_of_every_bucket(spark):
+    """Copies whose similarities lie on both sides of the limit: the classes are those of all pairs that share a band."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base = [word() for _ in range(90)]
+    texts = []
+    for i in range(260):
+        w = list(base)
+        for _ in range(i % 9):
+            w[rng.randrange(90) // 3 * 3] = rng.choice("xyz") * 4
+        texts.append(" ".join(w))
+    doc, h, tf, digests = neardup.shingles_of(texts)
+    counts = np.bincount((h >> np.uint64(neardup._HASH_BITS - neardup.COUNTER_BITS)).astype(np.int64), minlength=neardup.COUNTERS)
+    weight = neardup.weights_of(h, tf, neardup.idf_table(counts, len(texts)))
+    samples = neardup.samples_of(doc, h, weight, len(texts))
+    cut = np.searchsorted(doc, np.arange(len(texts) + 1))
+    sets = [(h[a:b], weight[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+    least = list(range(len(texts)))
+    links = []
+    for i in range(len(texts)):
+        for j in range(i):
+            same = samples[i] == samples[j]
+            meet = digests[i] == digests[j] or (same.reshape(neardup.BANDS, -1).all(axis=1).any() and same.sum() >= neardup.AGREE)
+            if meet and neardup.weighted_jaccard(sets[i], sets[j]) >= 0.8:
+                links.append((i, j))
+    while True:
+        before = list(least)
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+        if least == before:
+            break
+    got = neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == dict(enumerate(least))
+    assert 1 < len(set(least)) < len(texts)
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
