@@ -109,6 +109,13 @@ def test_word_count_and_strip(spark):
     assert _col(spark, ["\n {x} \t"], T.strip("t")) == ["{x}"]
 
 
+def test_sentences_as_text(spark):
+    df = spark.createDataFrame([(["a b", None],), ([],)], "s array<string>")
+    assert [r[0] for r in df.select(T.pad_truncate("s", 3)).collect()] == [["<pad>", "a b", ""], ["<pad>"] * 3]
+    words = spark.createDataFrame([([["a", "b"], None, []],)], "s array<array<string>>")
+    assert [r[0] for r in words.select(T.pad_truncate("s", 3, words=True)).collect()] == [["a b", "", ""]]
+
+
 def test_chunk_words_array(spark):
     df = spark.createDataFrame([([f"w{i}" for i in range(45)],), ([],)], "w array<string>")
     got = [r[0] for r in df.select(T.chunk_words(F.col("w"), 20)).collect()]

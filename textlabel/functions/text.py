@@ -189,9 +189,16 @@ def split_sentences(c, min_words: int = 20, long_words: int = 100, chunk: int =
     return F.flatten(F.transform(pieces, per_sentence))
 
 
-def pad_truncate(sentences, n: int = 12, pad: str = "<pad>") -> Column:
-    """ARR1 + LIM1 + STR9: left-pad a document to ``n`` sentences with ``pad`` or keep the first ``n``."""
-    s = _col(sentences)
+def sentence_text(c, words: bool = False) -> Column:
+    """STR9: a sentence as text; null is the empty text, a list of words (``words``) is joined by blanks."""
+    s = _col(c)
+    return F.coalesce(F.array_join(s, " ") if words else s, F.lit(""))
+
+
+def pad_truncate(sentences, n: int = 12, pad: str = "<pad>", words: bool = False) -> Column:
+    """ARR1 + LIM1 + STR9: left-pad a document to ``n`` sentences with ``pad`` or keep the first ``n``.
+    Sentences that are null become empty; ``words``: they are lists of words, which are joined."""
+    s = F.transform(_col(sentences), lambda x: sentence_text(x, words))
     return F.concat(F.array_repeat(F.lit(pad), F.greatest(F.lit(n) - F.size(s), F.lit(0))),
                     F.slice(s, 1, n))
 

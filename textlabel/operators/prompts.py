@@ -146,17 +146,3 @@ def chat_messages(prompts: DataFrame, key: str = "doc_id", prompt: str = "prompt
     msgs = F.array(F.struct(F.lit("system").alias("role"), F.lit(SYSTEM_MESSAGE).alias("content")),
                    F.struct(F.lit("user").alias("role"), F.col(prompt).alias("content")))
     return prompts.select(key, F.to_json(msgs).alias("messages"))
-
-
-def bpe_token_counter(encoding: str = "cl100k_base"):
-    """Exact BPE counts as an Arrow-batched pandas UDF (needs the ``tiktoken`` encoding files;
-    the encoder is loaded once per Python worker)."""
-    import pandas as pd
-    from pyspark.sql.types import IntegerType
-
-    @F.pandas_udf(IntegerType())
-    def count(s: pd.Series) -> pd.Series:
-        import tiktoken
-        enc = tiktoken.get_encoding(encoding)
-        return s.map(lambda t: None if t is None else len(enc.encode(t)))
-    return count

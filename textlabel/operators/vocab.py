@@ -54,8 +54,9 @@ def index_tokens(df: DataFrame, vocab: DataFrame, key: str = "doc_id",
                  max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """JN1: array<array<string>> -> array<array<int>> through the vocabulary; unknown -> unk.
 
-    explode with positions -> join (broadcast when small) -> re-collect per document in
-    (sentence, position) order. Empty sentences and documents survive via outer explodes.
+    explode with positions -> join (broadcast when small) -> re-collect each sentence in the order
+    of its positions, then each document in the order of its sentences, behind one shuffle by the
+    key. Empty sentences and documents survive via outer explodes.
     """
     sents = df.select(key, F.posexplode_outer(tokens).alias("s", "sent"))
     cells = sents.select(key, "s", F.posexplode_outer("sent").alias("t", "token"))
@@ -63,14 +64,9 @@ def index_tokens(df: DataFrame, vocab: DataFrame, key: str = "doc_id",
     joined = cells.join(side, "token", "left").select(
         key, "s", "t",
         F.when(F.col("token").isNotNull(), F.coalesce("idx", F.lit(unk_idx))).alias("idx"))
-    grouped = joined.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("s", "t", "idx"))).alias("_cells"),
-        F.max("s").alias("_ns"))
-    rebuilt = F.when(
-        F.col("_ns").isNull(), F.array().cast("array<array<int>>")
-    ).otherwise(F.transform(
-        F.sequence(F.lit(0), F.col("_ns")),
-        lambda i: F.transform(
-            F.filter(F.col("_cells"), lambda x: (x["s"] == i) & x["idx"].isNotNull()),
-            lambda x: x["idx"].cast("int"))))
-    return grouped.select(key, rebuilt.alias(out))
+    # rows dealt by the key serve both groupings
+    sentences = (joined.repartition(key).groupBy(key, "s")
+                 .agg(F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("t", F.col("idx").cast("int").alias("idx"))))).alias("_cells")))
+    ids = F.transform("_cells", lambda x: x["idx"])
+    grouped = sentences.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", ids.alias("ids"))))).alias("_sents"))
+    return grouped.select(key, F.transform("_sents", lambda x: x["ids"]).alias(out))

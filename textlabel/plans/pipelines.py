@@ -32,7 +32,7 @@ def bag_of_words_models(df: DataFrame, label_cols: list[str], test_size: float =
     test = sp.filter(F.col("split") == "test")
     n_train = train.count()
     model = M.bow_feature_model(train, n_train)
-    train_f = model.transform(train).select(key, "features", *label_cols).cache()
+    train_f = model.transform(train).select(key, "features", *label_cols).checkpoint(eager=True)  # read in every iteration
     test_f = model.transform(test).select(key, "features", *label_cols)
     models = M.fit_per_label(train_f, label_cols, C=C, max_iter=max_iter, n_train=n_train)
     return models, test_f, test.select(key, *label_cols)
@@ -48,7 +48,8 @@ def embedding_classifier(emb: DataFrame, actual: DataFrame, label_cols: list[str
                          test_size: float = 0.2, seed: int = 42, key: str = "doc_id") -> DataFrame:
     """ML3: document embeddings -> one logistic regression per label -> test metrics."""
     data = emb.select(key, array_to_vector("embedding").alias("features")).join(actual, key)
-    sp = S.train_test_split(data, key, seed, test_size).cache()
+    ensure_checkpoint_dir(data.sparkSession)
+    sp = S.train_test_split(data, key, seed, test_size).checkpoint(eager=True)
     train = sp.filter(F.col("split") == "train")
     test = sp.filter(F.col("split") == "test")
     models = M.fit_per_label(train, label_cols, max_iter=200)
@@ -59,7 +60,8 @@ def embedding_search(emb: DataFrame, actual: DataFrame, label_cols: list[str], n
                      seed: int = 42, key: str = "doc_id") -> DataFrame:
     """ML6 on the embedding features: train / val from the exact split."""
     data = emb.select(key, array_to_vector("embedding").alias("features")).join(actual, key)
-    sp = S.exact_split(data, key, seed, rule="fixed").cache()
+    ensure_checkpoint_dir(data.sparkSession)
+    sp = S.exact_split(data, key, seed, rule="fixed").checkpoint(eager=True)
     return M.random_search(sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"),
                            label_cols, n_trials=n_trials, seed=seed, key=key)
 
@@ -71,7 +73,9 @@ def prompt_experiment(df: DataFrame, traits, label_cols: list[str], predictor_fa
     """3.3 / ML7, all runs in one plan: exact seeded sample; per run r the k examples drawn
     with seed r (top-k each); prompts for every (run, row); one ``mapInPandas`` pass over
     all of them; parse; keep successes; per-run metrics; mean over runs."""
-    sample = S.sample_fraction(df.select(key, "text", *label_cols), frac, key, seed=42)
+    ensure_checkpoint_dir(df.sparkSession)
+    # stored once: every run's examples, the prompts and the actual labels read it
+    sample = S.sample_fraction(df.select(key, "text", *label_cols), frac, key, seed=42).checkpoint(eager=True)
     if example_count > 0:
         ex = None
         for r in range(runs):
@@ -85,7 +89,6 @@ def prompt_experiment(df: DataFrame, traits, label_cols: list[str], predictor_fa
     answers = batch_infer(prompts, predictor_factory, key=key, passthrough=["run"], **infer_kw)
     # Store the answers once: the metric table reads them through several aggregations,
     # and a recomputation (or a lost executor) must not call the predictor again.
-    ensure_checkpoint_dir(df.sparkSession)
     answers = answers.checkpoint(eager=True)
     parsed = A.parse_answers(answers, label_cols).filter("parse_ok")
     actual = sample.select(key, *[L.encode_lenient(c).alias(c) for c in label_cols])
