@@ -92,6 +92,21 @@ def test_op3_recall_and_links(spark):
     assert np.mean([got[i]["component_id"] == comp[i] for i in got]) >= 0.98
 
 
+def groups_of_copies(sizes, width=32):
+    """Groups of distinct near copies and no other vectors."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([c + 0.02 * rng.normal(size=(n, width)) for n, c in zip(sizes, rng.normal(size=(len(sizes), width)))])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("sizes", [[100, 100], [200] * 10, [2000, 100, 100, 500]])
+def test_op3_groups_without_bridges(sizes):
+    x = groups_of_copies(sizes)
+    a, b, _ = vector_graph.range_search(x, vector_graph.neighbour_table(len(x), *vector_graph.robust_pruned(x)), x, 0.95)
+    found, true = np.unique(a * len(x) + b), np.flatnonzero(x @ x.T >= 0.95)
+    assert len(found) == len(true) and (found == true).all()
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 

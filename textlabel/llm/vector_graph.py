@@ -5,9 +5,9 @@
    ``SHARD`` nodes are dealt to parts, and a centre's share of the nodes only changes their number.
 3. Build: in each part every node's nearest nodes are robust-pruned to at most ``DEGREE`` neighbours: a candidate is dropped if a kept
    neighbour is, by a factor, nearer to it than the node is. The adjacency lists of all parts are united, links both ways.
-4. Search: each node is looked for in its ``PROBES`` nearest shards, all parts of them. From the medoid a greedy search goes to the
-   neighbours nearest to the query, a beam at a time; it then expands the range: neighbours of all nodes within the
-   range are visited until no new node is in range.
+4. Search: each node is looked for in its ``PROBES`` nearest shards, all parts of them. From the medoids of the graph's components (a
+   group of near copies may have no link to the rest) a greedy search goes to the neighbours nearest to the query, a beam at a time;
+   it then expands the range: neighbours of all nodes within the range are visited until no new node is in range.
 5. Verify: a pair is linked if the dot product of the unit vectors in double precision is >= ``similarity``.
 6. ``audit``: the share of the true links of a hash sample of nodes, against all nodes, that the search has found. If it is
    under ``recall`` the search is repeated in twice as many shards, at last in all of them.
@@ -88,18 +88,35 @@ def neighbour_table(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return table
 
 
+def medoids(x: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The medoid of each connected component of the graph."""
+    label = np.arange(len(x))
+    while True:
+        low = label[table].min(axis=1)
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            break
+        label = low
+    order = np.argsort(label, kind="stable")
+    heads = np.flatnonzero(np.r_[True, np.diff(label[order]) > 0])
+    return np.array([own[(x[own] @ x[own].mean(axis=0)).argmax()] for own in np.split(order, heads[1:])])
+
+
 def range_search(x: np.ndarray, table: np.ndarray, q: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, node, dot product) within the range, found from the medoid of x."""
+    """(query, node, dot product) within the range, found from the medoids of the graph's components."""
     n, m = len(x), len(q)
-    medoid = int((x @ x.mean(axis=0)).argmax())
+    starts = medoids(x, table)
     seen = np.zeros((m, n), dtype=bool)
-    beam = np.full((m, BEAM), medoid)
+    seen[:, starts] = True
+    first = q @ x[starts].T
+    found = [(np.repeat(np.arange(m), len(starts)), np.tile(starts, m), first.ravel())]
+    nearest = np.argsort(-first, axis=1, kind="stable")[:, :BEAM]
+    beam = np.full((m, BEAM), starts[0])
     score = np.full((m, BEAM), -np.inf)
-    score[:, 0] = q @ x[medoid]
     walked = np.ones((m, BEAM), dtype=bool)
-    walked[:, 0] = False
-    seen[:, medoid] = True
-    found = [(np.arange(m), np.full(m, medoid), score[:, 0].copy())]
+    beam[:, : nearest.shape[1]] = starts[nearest]
+    score[:, : nearest.shape[1]] = np.take_along_axis(first, nearest, axis=1)
+    walked[:, : nearest.shape[1]] = False
 
     def visit(queries: np.ndarray, nodes: np.ndarray):
         """New (query, node, score) among the neighbours of the nodes; each is visited once."""
