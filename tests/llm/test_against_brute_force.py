@@ -107,6 +107,24 @@ def test_op3_groups_without_bridges(sizes):
     assert len(found) == len(true) and (found == true).all()
 
 
+def as_nodes(spark, x):
+    return spark.createDataFrame([(bytearray(v.tobytes()),) for v in x], "node binary")
+
+
+def test_op3_audit_of_rare_links(spark):
+    x = np.random.default_rng(6).normal(size=(3000, 32))
+    x[-3:] = x[:3] + 1e-3
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert vector_graph.true_links(as_nodes(spark, x), 0.95).count() == 3
+
+
+def test_op3_lost_links_are_compared_exactly(spark, monkeypatch):
+    x = groups_of_copies([30] * 5)
+    nodes = as_nodes(spark, x)
+    monkeypatch.setattr(vector_graph, "_links", lambda *_: spark.createDataFrame([], "a binary, b binary"))
+    assert vector_graph.find_links(nodes, 0.95, 0.99).count() == 5 * 30 * 29 / 2
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 

@@ -9,8 +9,9 @@
    group of near copies may have no link to the rest) a greedy search goes to the neighbours nearest to the query, a beam at a time;
    it then expands the range: neighbours of all nodes within the range are visited until no new node is in range.
 5. Verify: a pair is linked if the dot product of the unit vectors in double precision is >= ``similarity``.
-6. ``audit``: the share of the true links of a hash sample of nodes, against all nodes, that the search has found. If it is
-   under ``recall`` the search is repeated in twice as many shards, at last in all of them.
+6. ``true_links``: all links of a hash sample of nodes, against all nodes; the sample grows until it holds ``AUDIT_LINKS`` links or
+   every node. If the search has found less than ``recall`` of them it is repeated in twice as many shards, at last in all of
+   them; if that is not enough either, each node is compared with all nodes of its width, block by block.
 
 ``vector_duplicates``: one row for each row of the table. n_links counts rows, copies included. A vector that is null, empty, zero
 or holds null or non-finite components has no links and is alone in its component. Vectors of different widths
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_share, stored
+from .common import stored
 from .components import components
 from .vectors import matrix, packed, pivots, usable
 
@@ -41,6 +42,8 @@ BEAM = 24
 SLACK = 0.05
 #: queries that walk a part side by side
 SIDE_BY_SIDE = 1024
+#: the audit starts with so many nodes, and goes on, at most AUDIT_BLOCK nodes at once, until they have so many true links
+AUDIT_NODES, AUDIT_LINKS, AUDIT_BLOCK = 200, 500, 4096
 
 
 def unit(x: np.ndarray) -> list:
@@ -210,12 +213,45 @@ def _links(found: DataFrame, nodes: DataFrame, shared, probes: int, similarity:
     return rows.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def audit(links: DataFrame, nodes: DataFrame, similarity: float, sample: int = 200, seed: int = 3) -> float:
-    """Recall: the share of the true links of about ``sample`` nodes, compared with all nodes in blocks, that ``links`` holds."""
-    some = pivots(nodes, sample, seed)
-    if not some:
-        return 1.0
-    queries = nodes.sparkSession.sparkContext.broadcast(some)  # ``sample`` vectors
+def _compared(built: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Distinct linked pairs (a < b): every node against all members of all parts, in blocks."""
+    block = F.pmod(F.xxhash64("node"), F.lit(max(1, -(-nodes.count() // SIDE_BY_SIDE))))
+    asked = nodes.select("node", F.length("node").alias("width")).groupBy("width", block.alias("block")).agg(F.collect_list("node").alias("queries"))
+    rows = asked.join(built.select("members", F.length(F.col("members")[0]).alias("width")), "width").select("members", "queries")
+
+    def run(parts):
+        for batch in parts:
+            for i in range(batch.num_rows):
+                members, queries = batch.column(0)[i].values, batch.column(1)[i].values
+                x, left, right = matrix(members), queries.to_pylist(), members.to_pylist()
+                for start in range(0, len(left), 16):  # in a group of copies every pair is linked
+                    a, b = np.nonzero(matrix(queries[start: start + 16]) @ x.T >= similarity)
+                    pairs = [(left[start + j], right[k]) for j, k in zip(a.tolist(), b.tolist()) if left[start + j] < right[k]]
+                    if pairs:
+                        yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in zip(*pairs)], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def true_links(nodes: DataFrame, similarity: float, seed: int = 3) -> DataFrame:
+    """All links (a < b) of a hash sample of nodes that holds AUDIT_LINKS links, or of all nodes if they have no more."""
+    n = nodes.count()
+    place = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 40))
+    truth, done, step = None, 0.0, AUDIT_NODES
+    while True:
+        share = min(1.0, done + step / max(1, n))
+        some = nodes.filter((place >= int(done * (1 << 40))) & (place < int(share * (1 << 40)))).select("node")
+        # about ``step`` vectors, at most AUDIT_BLOCK
+        more = _links_of([bytes(r[0]) for r in some.collect()], nodes, similarity)
+        truth = stored(truth.union(more).distinct() if truth is not None else more)
+        if share == 1.0 or truth.count() >= AUDIT_LINKS:
+            return truth
+        done, step = share, min(AUDIT_BLOCK, 4 * step)
+
+
+def _links_of(some: list[bytes], nodes: DataFrame, similarity: float) -> DataFrame:
+    """Distinct links (a < b) of the given nodes, compared with all nodes."""
+    queries = nodes.sparkSession.sparkContext.broadcast(some)
 
     def brute(parts):
         by_width: dict[int, list[bytes]] = {}
@@ -233,7 +269,11 @@ def audit(links: DataFrame, nodes: DataFrame, similarity: float, sample: int = 2
                     if pairs:
                         yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in zip(*pairs)], names=["a", "b"])
 
-    truth = stored(nodes.select("node").mapInArrow(brute, "a binary, b binary").distinct())
+    return nodes.select("node").mapInArrow(brute, "a binary, b binary").distinct()
+
+
+def audit(links: DataFrame, truth: DataFrame) -> float:
+    """Recall: the share of the true links that ``links`` holds."""
     n = truth.count()
     return truth.join(links, ["a", "b"], "left_semi").count() / n if n else 1.0
 
@@ -257,10 +297,13 @@ def find_links(nodes: DataFrame, similarity: float, recall: float, probes: int =
     sizes = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / (2 * SHARD)).alias("parts"))
     dealt = routes.join(F.broadcast(sizes), "shard").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).select("shard", "part", "node")
     built = stored(dealt.groupBy("shard", "part").applyInPandas(_built, "shard int, part long, members array<binary>, a array<long>, b array<long>"))
+    truth = true_links(nodes, similarity)
     while True:
         links = stored(_links(built, nodes, shared, probes, similarity))
-        if probes >= total or audit(links, nodes, similarity) >= recall:
+        if audit(links, truth) >= recall:
             return links
+        if probes >= total:
+            return stored(_compared(built, nodes, similarity))
         probes = min(total, 2 * probes)
 
 
