@@ -125,6 +125,19 @@ def test_op3_lost_links_are_compared_exactly(spark, monkeypatch):
     assert vector_graph.find_links(nodes, 0.95, 0.99).count() == 5 * 30 * 29 / 2
 
 
+def test_op3_united_lists(spark):
+    """u and w meet in no part; w is found from u by the list that v has in the other part."""
+    u, v, w = (np.array([np.cos(t), np.sin(t)]) for t in (0.0, 0.1, 0.2))
+    rows = [(0, 0, [u, v]), (1, 0, [v, w])]
+    built = spark.createDataFrame([(s, p, [bytearray(x.tobytes()) for x in m], [0], [1]) for s, p, m in rows],
+                                  "shard int, part long, members array<binary>, a array<long>, b array<long>")
+    part = vector_graph._united(built).filter("shard = 0").first()
+    x = np.array([np.frombuffer(m) for m in part["members"]])
+    assert x.tolist() == [u.tolist(), v.tolist(), w.tolist()]
+    _, found, _ = vector_graph.range_search(x, vector_graph.neighbour_table(3, np.array(part["a"]), np.array(part["b"])), u[None], 0.95)
+    assert sorted(found.tolist()) == [0, 1, 2]
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 

@@ -4,7 +4,8 @@
 2. At most ``CENTRES`` nodes, chosen by hash, are shard centres. Each node is stored in its ``COPIES`` nearest shards; shards beyond
    ``SHARD`` nodes are dealt to parts, and a centre's share of the nodes only changes their number.
 3. Build: in each part every node's nearest nodes are robust-pruned to at most ``DEGREE`` neighbours: a candidate is dropped if a kept
-   neighbour is, by a factor, nearer to it than the node is. The adjacency lists of all parts are united, links both ways.
+   neighbour is, by a factor, nearer to it than the node is. The adjacency lists that a node has in all its parts are united, links
+   both ways, and each part has the united lists of its members: neighbours from other parts are added to its nodes.
 4. Search: each node is looked for in its ``PROBES`` nearest shards, all parts of them. From the medoids of the graph's components (a
    group of near copies may have no link to the rest) a greedy search goes to the neighbours nearest to the query, a beam at a time;
    it then expands the range: neighbours of all nodes within the range are visited until no new node is in range.
@@ -20,6 +21,8 @@ are never linked. Rows may repeat; a null id is never the smallest of its compon
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -190,6 +193,45 @@ def _built(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": group["shard"].iloc[0], "part": group["part"].iloc[0], "members": [group["node"].tolist()], "a": [a.tolist()], "b": [b.tolist()]})
 
 
+def _united(built: DataFrame) -> DataFrame:
+    """The parts with the united lists of their members. Neighbours from other parts come after a part's own members."""
+    schema = "shard int, part long, id binary, other binary"
+
+    def listed(parts):
+        for batch in parts:
+            shard, part, members, a, b = (batch.column(batch.schema.get_field_index(c)) for c in ("shard", "part", "members", "a", "b"))
+            for i in range(batch.num_rows):
+                ids = pa.array([hashlib.md5(v).digest() for v in members[i].values.to_pylist()], pa.binary())
+                u, v = ids.take(a[i].values), ids.take(b[i].values)
+                for x, y in ((u, v), (v, u)):
+                    yield pa.RecordBatch.from_arrays([pa.array([shard[i].as_py()] * len(x), pa.int32()), pa.array([part[i].as_py()] * len(x), pa.int64()), x, y],
+                                                     names=["shard", "part", "id", "other"])
+
+    vectors = built.select("shard", "part", F.explode("members").alias("node")).withColumn("id", F.unhex(F.md5("node")))
+    own = vectors.select("shard", "part", "id")
+    lists = built.mapInArrow(listed, schema).toDF("from_shard", "from_part", "id", "other")
+    # what a member has in its other parts
+    brought = stored(own.join(lists, "id").filter("shard != from_shard or part != from_part").select("shard", "part", "id", "other").distinct())
+    beyond = brought.select("shard", "part", F.col("other").alias("id")).distinct().join(own, ["shard", "part", "id"], "left_anti")
+    more = beyond.join(vectors.select("id", "node").dropDuplicates(["id"]), "id").groupBy("shard", "part").agg(F.collect_list("node").alias("more"))
+    links = brought.groupBy("shard", "part").agg(F.collect_list(F.struct("id", "other")).alias("links"))
+    rows = (built.join(more, ["shard", "part"], "left").join(links, ["shard", "part"], "left")
+            .select("shard", "part", "members", "a", "b", F.coalesce("more", F.array().cast("array<binary>")).alias("more"),
+                    F.coalesce("links.id", F.array().cast("array<binary>")).alias("u"), F.coalesce("links.other", F.array().cast("array<binary>")).alias("v")))
+
+    def merged(parts):
+        for batch in parts:
+            for i in range(batch.num_rows):
+                shard, part, members, a, b, more, u, v = (batch.column(k)[i] for k in range(8))
+                nodes = members.values.to_pylist() + more.values.to_pylist()
+                place = {hashlib.md5(x).digest(): k for k, x in enumerate(nodes)}
+                a, b = (x.values.to_pylist() + [place[y] for y in z.values.to_pylist()] for x, z in ((a, u), (b, v)))
+                yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()], pa.int32()), pa.array([part.as_py()], pa.int64()), pa.array([nodes], pa.list_(pa.binary())),
+                                                  pa.array([a], pa.list_(pa.int64())), pa.array([b], pa.list_(pa.int64()))], names=["shard", "part", "members", "a", "b"])
+
+    return rows.mapInArrow(merged, built.schema)
+
+
 def _links(found: DataFrame, nodes: DataFrame, shared, probes: int, similarity: float) -> DataFrame:
     """Distinct linked pairs (a < b) of nodes found by looking in ``probes`` shards for each node."""
     block = F.pmod(F.shiftright(F.xxhash64("node"), 7), F.col("blocks"))
@@ -297,9 +339,10 @@ def find_links(nodes: DataFrame, similarity: float, recall: float, probes: int =
     sizes = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / (2 * SHARD)).alias("parts"))
     dealt = routes.join(F.broadcast(sizes), "shard").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).select("shard", "part", "node")
     built = stored(dealt.groupBy("shard", "part").applyInPandas(_built, "shard int, part long, members array<binary>, a array<long>, b array<long>"))
+    united = stored(_united(built))
     truth = true_links(nodes, similarity)
     while True:
-        links = stored(_links(built, nodes, shared, probes, similarity))
+        links = stored(_links(united, nodes, shared, probes, similarity))
         if audit(links, truth) >= recall:
             return links
         if probes >= total:
