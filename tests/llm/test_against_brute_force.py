@@ -317,6 +317,29 @@ def test_op10_equals_all_pairs_of_every_bucket(spark):
     assert 1 < len(set(least)) < len(texts)
 
 
+def shuffled_words(rng, n=120):
+    return ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n)]
+
+
+def test_op10_null_keys(spark):
+    """Texts that only rows without a key hold are compared; one row of each class is kept."""
+    rng = random.Random(13)
+    one, two, three = (shuffled_words(rng) for _ in range(3))
+    changed = lambda w: " ".join(w[:60] + ["other"] + w[61:])
+    rows = [(None, " ".join(one)), (None, changed(one)), (None, " ".join(one)), (None, " ".join(two)), (7, changed(two)), (3, " ".join(three)), (3, " ".join(three)),
+            (None, " ".join(three)), (None, None), (None, "...")]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    by_class = collections.Counter((r["class_id"], r["kept"]) for r in got.collect())
+    assert by_class == {(None, True): 3, (None, False): 2, (7, True): 1, (7, False): 1, (3, True): 1, (3, False): 2}
+
+
+def test_op10_exact_copies_alone(spark):
+    rng = random.Random(14)
+    text = " ".join(shuffled_words(rng))
+    got = neardup.near_duplicates(spark.createDataFrame([(1, text), (2, text), (3, " ".join(shuffled_words(rng)))], "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, True), (2, 1, False), (3, 3, True)]
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
