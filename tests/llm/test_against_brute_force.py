@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
+import corpus_pipeline  # noqa: E402
 from textlabel.llm import components, langid, neardup, packing, pieces, pii, token_counts, vector_graph  # noqa: E402
 from textlabel.llm.oracle import ORACLE_SQL  # noqa: E402
 from textlabel.llm.queries import QUERIES  # noqa: E402
@@ -340,6 +341,20 @@ def test_op10_exact_copies_alone(spark):
     assert sorted(map(tuple, got)) == [(1, 1, True), (2, 1, False), (3, 3, True)]
 
 
+def test_neardup_stage_with_repeated_and_null_ids(spark):
+    """Of the rows that repeat or nearly repeat one is left; every other text stays, whatever its id."""
+    rng = random.Random(15)
+    lone = [" ".join(shuffled_words(rng)) for _ in range(30)]
+    base = shuffled_words(rng)
+    near = [" ".join(base[:i] + ["other"] + base[i + 1:]) for i in (30, 120, 90)]
+    rows = ([(1, t) for t in lone[:10]] + [(None, t) for t in lone[10:20]] + list(enumerate(lone[20:], 100)) + [(1, near[0]), (0, near[1]), (None, near[2]), (1, near[0])]
+            + [(None, lone[12]), (None, lone[12]), (105, lone[25])])
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, place long")
+    one, many = (sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"], r["place"]) for r in corpus_pipeline.neardup_stage(spark, d, "").collect()) for d in (docs.coalesce(1), docs.repartition(5)))
+    want = [(1, t) for t in lone[:10]] + [(-1, t) for t in lone[10:20]] + list(enumerate(lone[20:], 100)) + [(0, near[1])]
+    assert [r[:2] for r in one] == sorted(want) and one == many
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
