@@ -247,10 +247,13 @@ def _links(found: DataFrame, nodes: DataFrame, shared, probes: int, similarity:
                 x, q = matrix(members), matrix(asked_)
                 table = neighbour_table(len(x), batch.column(1)[i].values.to_numpy(), batch.column(2)[i].values.to_numpy())
                 a, b, _ = range_search(x, table, q, similarity)
-                left, right = asked_.take(pa.array(a)).to_pylist(), members.take(pa.array(b)).to_pylist()
-                pairs = {(u, v) if u < v else (v, u) for u, v in zip(left, right) if u != v}
-                if pairs:
-                    yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in zip(*pairs)], names=["a", "b"])
+                # in a group of copies every pair is linked: each vector is held once, and a slice of the pairs is written at a time
+                right = members.to_pylist()
+                once = {v: v for v in right}
+                left = [once.get(v, v) for v in asked_.to_pylist()]
+                pairs = list({(u, v) if u < v else (v, u) for u, v in ((left[j], right[k]) for j, k in zip(a.tolist(), b.tolist())) if u != v})
+                for start in range(0, len(pairs), 20_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in zip(*pairs[start: start + 20_000])], names=["a", "b"])
 
     return rows.mapInArrow(run, "a binary, b binary").distinct()
 
