@@ -27,4 +27,21 @@ ORACLE_SQL = {
             from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
         ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as r from scored)
         select query_id, r::int as rank, vec_id, score from ranked where r <= 5""",
+    "op13_fill_middle": """
+        with d as (
+            select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+        e as (
+            select *, length(text)::bigint as n, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+                   ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4 from d),
+        f as (
+            select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+                   case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+                        when h4 % 100 < 20 then 'spm' else 'psm' end as form from e),
+        g as (
+            select *, substr(text, 1, a) as prefix, substr(text, a + 1, b - a) as middle, substr(text, b + 1) as suffix from f)
+        select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+               sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+               sha256(text) as restored_sha256
+        from g""",
 }
