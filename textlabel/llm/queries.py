@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import infill, langid, mtree, neardup, packing, pieces, pii, quality, token_counts, url_filter, vector_graph
+from . import infill, langid, mixing, mtree, neardup, packing, pieces, pii, quality, token_counts, url_filter, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op10_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_mix(spark, sf_dir):
+    return mixing.Mix(_table(spark, sf_dir, "documents")).taken()
+
+
 def op13_fill_middle(spark, sf_dir):
     """Every text rearranged and rebuilt from its rearranged form: digests of both."""
     arranged = infill.fill_middle(_table(spark, sf_dir, "documents"))
@@ -78,4 +82,5 @@ def op13_fill_middle(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_vector_duplicates, op4_pii, op5_language, op6_token_counts,
-                                   op7_packing, op8_top_k, op9_quality, op10_near_duplicates, op13_fill_middle)}
+                                   op7_packing, op8_top_k, op9_quality, op10_near_duplicates, op11_source_mix,
+                                   op13_fill_middle)}
