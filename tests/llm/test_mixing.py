@@ -93,12 +93,12 @@ def odd(spark):
 
 @pytest.mark.parametrize("block", [1, 7, 512])
 def test_odd_rows(odd, block):
-    checked(ODD, mixing.Mix(odd, block=block, shard_words=500, bucket_rows=20).taken().collect())
+    checked(ODD, mixing.Mix(odd, block=block, shard_words=500).taken().collect())
 
 
 def test_takes_equal_a_plain_count_of_drawn_blocks(odd):
     """Streams laid out as the operator says, blocks drawn by its permutation, words counted one by one."""
-    mix = mixing.Mix(odd, block=16, shard_words=900, bucket_rows=50)
+    mix = mixing.Mix(odd, block=16, shard_words=900)
     keys = {r["s"]: r["key"] for r in mix.sources.select("s", F.xxhash64("s", F.lit(1)).alias("key")).collect()}
     streams, placed = collections.defaultdict(list), sorted(mix.placed.collect(), key=lambda r: (r["s"], r["start"]))
     for r in placed:
@@ -122,13 +122,13 @@ def test_takes_equal_a_plain_count_of_drawn_blocks(odd):
 
 def test_other_layouts_and_reruns_agree(odd):
     def rows(df):
-        return sorted(map(tuple, mixing.Mix(df, block=8, shard_words=700, bucket_rows=30).taken().collect()), key=repr)
+        return sorted(map(tuple, mixing.Mix(df, block=8, shard_words=700).taken().collect()), key=repr)
 
     assert rows(odd) == rows(odd.repartition(7, "text")) == rows(odd.coalesce(1).orderBy(F.desc("text")))
 
 
 def test_mixed_texts_are_words_of_their_documents(odd):
-    mix = mixing.Mix(odd, block=8, shard_words=700, bucket_rows=30)
+    mix = mixing.Mix(odd, block=8, shard_words=700)
     texts = mix.mixed_texts().collect()
     assert len({(r["shard"], r["place"]) for r in texts}) == len(texts)
     given_words = {w for _, _, t in ODD for w in words(t)}

@@ -34,8 +34,8 @@ from .common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
-#: words of a block, words of an output shard (about), rows of a bucket whose sizes are added up in one task (about)
-BLOCK, SHARD, BUCKET = 512, 1 << 24, 100_000
+#: words of a block, and of an output shard (about)
+BLOCK, SHARD = 512, 1 << 24
 ROUNDS = 4
 _ORDER = "case when {0} is null then '1' else concat('0', cast({0} as string)) end"  # by code point, null last
 
@@ -147,9 +147,10 @@ def _slots(dealt: DataFrame, block: int) -> DataFrame:
     return dealt.repartition("s", "shard").mapInArrow(run, "s string, block long, shard long, slot long, words long")
 
 
-def _placed(rows: DataFrame, bucket_rows: int) -> DataFrame:
-    """``rows`` with ``start``, the words of the source's stream before the first copy: sums over buckets, then within them."""
-    buckets = max(1, -(-rows.count() // bucket_rows))
+def _placed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``start``, the words of the source's stream before the first copy: sums over buckets, then within them. There are as
+    many buckets as a bucket has rows, so that neither sum sees more than about the square root of the table."""
+    buckets = max(1, round(rows.count() ** 0.5))
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("id", "digest"), F.lit(buckets)))
     words = F.col("size") * F.col("copies")
     totals = dealt.groupBy("s", "bucket").agg(F.sum(words).alias("words"))
@@ -175,7 +176,7 @@ class Mix:
     """A mix of ``docs``, planned once (sizes, targets and streams are stored); its views are tables."""
 
     def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, cap: int = 3,
-                 block: int = BLOCK, shard_words: int = SHARD, seed: int = 1, bucket_rows: int = BUCKET):
+                 block: int = BLOCK, shard_words: int = SHARD, seed: int = 1):
         if block < 1 or cap < 1 or shard_words < 1 or not weights or min(weights) <= 0:
             raise ValueError("block, cap, shard_words and the weights must be positive")
         self.docs, self.key, self.text, self.block = docs, key, text, block
@@ -184,12 +185,13 @@ class Mix:
         total = self.sources.agg(F.coalesce(F.sum("target"), F.lit(0.0)).alias("n")).first()["n"]
         self.shards = max(1, -(-round(total) // shard_words))
         self.slots = _slots(_dealt(self.sources.withColumn("most", F.col("source_size") * cap), block, self.shards, seed), block)
-        self.placed = stored(_placed(self.rows, bucket_rows))
+        self.placed = stored(_placed(self.rows))
 
     def spans(self) -> DataFrame:
         """(shard, slot, source key, id, digest, size, start, low, first, words): the part of a document that a slot holds. ``low`` is its
         place in the slot; start names the document's place in its stream, which no other document with words has."""
-        parts = _parts(self.placed, self.block).join(self.slots, ["s", "block"])
+        # sizes are unknown to the planner, which must not send the slots to every executor
+        parts = _parts(self.placed, self.block).join(self.slots.hint("merge"), ["s", "block"])
         words = F.least("high", "words") - F.col("low")
         return parts.select("shard", "slot", "s", "id", "digest", "size", "start", "low", "first", words.alias("words")).filter("words > 0")
 
@@ -211,6 +213,6 @@ class Mix:
         spans = self.spans()
         same = spans["id"].eqNullSafe(texts["id"]) & (spans["digest"] == texts["digest"])
         words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.col("first").cast("int") + 1, F.col("words").cast("int")), " ")
-        cut = spans.join(texts, same).select("shard", "s", "slot", "low", words.alias("text"))
+        cut = spans.join(texts.hint("merge"), same).select("shard", "s", "slot", "low", words.alias("text"))
         grouped = cut.groupBy("shard", "s", "slot").agg(F.array_sort(F.collect_list(F.struct("low", "text"))).alias("parts"))
         return grouped.select("shard", F.xxhash64("s", "slot").alias("place"), F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"))
