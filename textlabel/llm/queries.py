@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import infill, langid, mixing, mtree, neardup, packing, pieces, pii, quality, token_counts, url_filter, vector_graph
+from . import conversations, infill, langid, mixing, mtree, neardup, packing, pieces, pii, quality, token_counts, url_filter, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,15 @@ def op11_source_mix(spark, sf_dir):
     return mixing.Mix(_table(spark, sf_dir, "documents")).taken()
 
 
+def op12_conversation_repair(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    repair = conversations.Repair(conversations.damaged(turns))
+    found = turns.select("conv_id").distinct().unionByName(repair.summary(), allowMissingColumns=True).unionByName(repair.digests(), allowMissingColumns=True)
+    counts = [F.coalesce(F.max(c), F.lit(0).cast("long")).alias(c) for c in ("gaps", *conversations.COUNTS)]
+    return found.groupBy("conv_id").agg(*counts, F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+                                        F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_fill_middle(spark, sf_dir):
     """Every text rearranged and rebuilt from its rearranged form: digests of both."""
     arranged = infill.fill_middle(_table(spark, sf_dir, "documents"))
@@ -83,4 +92,4 @@ def op13_fill_middle(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_vector_duplicates, op4_pii, op5_language, op6_token_counts,
                                    op7_packing, op8_top_k, op9_quality, op10_near_duplicates, op11_source_mix,
-                                   op13_fill_middle)}
+                                   op12_conversation_repair, op13_fill_middle)}
