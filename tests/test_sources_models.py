@@ -3,12 +3,16 @@ against a NumPy Newton solve of the C = 1 objective."""
 
 import json
 import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from textlabel.functions import text as TX
 from textlabel.operators import models as M
+from textlabel.operators import terms as TM
 from textlabel.sources import corpus as C
 from textlabel.sources import sinks as K
 
@@ -64,7 +68,7 @@ def test_logreg_matches_c1_optimum(spark, tmpdir_path):
     df = spark.createDataFrame([(i, [float(v) for v in X[i]], float(y[i])) for i in range(300)],
                                "doc_id long, f array<double>, t double").select(
         "doc_id", array_to_vector("f").alias("features"), "t")
-    models = M.fit_per_label(df, ["t"], C=1.0, max_iter=1000)
+    models = M.fit_per_label(df, ["t"], C=1.0)
     w = _newton(X, y)
     m = models["t"]
     assert np.allclose(m.coefficients.toArray(), w[:-1], atol=1e-4) and abs(m.intercept - w[-1]) < 1e-4
@@ -91,18 +95,96 @@ def test_bucketed_join_has_no_shuffle(spark, tmpdir_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_bow_feature_scaling_is_population_std(spark):
-    df = spark.createDataFrame([(1, ["a", "b", "b"]), (2, ["a"]), (3, ["b", "c"]), (4, ["a", "a"])],
-                               "doc_id long, tokens array<string>")
-    model = M.bow_feature_model(df, 4)
-    vocab = model.stages[0].vocabulary
-    rows = {r["doc_id"]: r["features"].toArray() for r in model.transform(df).collect()}
-    counts = {1: {"a": 1, "b": 2}, 2: {"a": 1}, 3: {"b": 1, "c": 1}, 4: {"a": 2}}
-    for j, term in enumerate(vocab):
-        col = np.array([counts[i].get(term, 0) for i in (1, 2, 3, 4)], dtype=float)
-        std = col.std()  # population std, as scikit-learn's StandardScaler
-        for i in (1, 2, 3, 4):
-            assert rows[i][j] == pytest.approx(col[i - 1] / (std if std > 0 else 1.0))
+BOW = [(1, ["a", "b", "b"], 1), (2, ["a"], 0), (3, ["b", "c"], 1), (4, ["a", "a"], 0), (5, [], 1), (6, None, 0)]
+
+
+def _dense(n_terms, blocks):
+    """Labels and the matrix of all blocks, in any order of rows."""
+    rows = []
+    for b in blocks.collect():
+        lengths, terms, vals = np.frombuffer(b["lengths"], np.int32), np.frombuffer(b["terms"], np.int32), np.frombuffer(b["vals"])
+        x, at = np.zeros((b["n"], n_terms)), 0
+        for i, n in enumerate(lengths):
+            x[i, terms[at:at + n]] = vals[at:at + n]
+            at += n
+        rows += [(*y, *r) for y, r in zip(np.frombuffer(b["y"]).reshape(b["n"], -1), x)]
+    return sorted(rows)
+
+
+def test_term_blocks_are_counts_over_population_std(spark):
+    df = spark.createDataFrame(BOW, "doc_id long, tokens array<string>, t int")
+    terms = TM.fit_terms(df, len(BOW))
+    assert [(r["token"], r["idx"]) for r in terms.orderBy("idx").collect()] == [("a", 0), ("b", 1), ("c", 2)]
+    counts = np.array([[(tokens or []).count(w) for w in "abc"] for _, tokens, _ in BOW], dtype=float)
+    want = counts / np.where(counts.std(axis=0) > 0, counts.std(axis=0), 1)
+    got = _dense(3, TM.term_blocks(df, terms, ["t"]))
+    assert np.allclose(got, sorted((y, *r) for (_, _, y), r in zip(BOW, want)))
+    unseen = spark.createDataFrame([(7, ["zzz", "a"], 1)], df.schema)
+    assert np.allclose(_dense(3, TM.term_blocks(unseen, terms, ["t"])), [(1, 1 / counts.std(axis=0)[0], 0, 0)])
+
+
+def _some_texts(spark, n=400):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(["common"] * 50 + list(rng.choice(words, rng.integers(0, 20))))) for i in range(n)]
+    return spark.createDataFrame([(i, t, int("w1 " in t), int(len(t) > 400)) for i, t in rows], "doc_id long, text string, p int, q int")
+
+
+def test_bag_of_words_fits_reach_the_newton_optimum_together(spark, monkeypatch):
+    from textlabel.operators import linear as LN
+    df = _some_texts(spark).withColumn("tokens", TX.bow_tokens("text"))
+    passes, one = [], LN._pass
+    monkeypatch.setattr(LN, "_pass", lambda *a: passes.append(len(a[3])) or one(*a))
+    monkeypatch.setattr(LN, "OUTWEIGH", 1)
+    monkeypatch.setattr(LN, "LEAST", 1000)  # several partitions: sums are reduced slice by slice
+    monkeypatch.setattr(LN, "SLICE", 16)
+    model = M.fit_bag_of_words(df, ["p", "q"], tol=1e-8)
+    assert passes[0] == 2 and len(passes) < sum(f.steps for f in model.fits.values()) * 1.2 + 10  # both labels in one pass
+    table = {r["token"]: r for r in model.weights.collect()}
+    rows = df.orderBy("doc_id").collect()
+    names = sorted(table)
+    X = np.array([[r["tokens"].count(t) / table[t]["scale"] for t in names] for r in rows])
+    for j, label in enumerate(["p", "q"]):
+        w = _newton(X, np.array([r[label] for r in rows], float))
+        assert np.allclose([table[t]["w"][j] for t in names], w[:-1], atol=1e-4) and abs(model.fits[label].intercept - w[-1]) < 1e-3
+    want = 1 / (1 + np.exp(-(X @ np.array([table[t]["w"][0] for t in names]) + model.fits["p"].intercept)))
+    got = {r["doc_id"]: r for r in model.transform(df.drop("tokens")).collect()}
+    assert np.allclose([got[r["doc_id"]]["p__p1"] for r in rows], want) and all(got[r["doc_id"]]["p"] == (x > 0.5) for r, x in zip(rows, want))
+
+
+def test_saved_model_scores_raw_text_in_a_fresh_session(spark, tmpdir_path):
+    df = _some_texts(spark, 120)
+    model = M.fit_bag_of_words(df.withColumn("tokens", TX.bow_tokens("text")), ["p", "q"])
+    model.write().overwrite().save(os.path.join(tmpdir_path, "model"))
+    new = [(1, "common w1 w2"), (2, None), (3, ""), (4, "never seen")]
+    want = sorted(map(tuple, model.transform(spark.createDataFrame(new, "doc_id long, text string")).collect()))
+    code = f"""
+import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from textlabel.session import get_spark
+from textlabel.operators.models import BagOfWordsModel
+spark = get_spark("local[2]", 2)
+m = BagOfWordsModel.load({os.path.join(tmpdir_path, "model")!r})
+print("ROWS", sorted(map(tuple, m.transform(spark.createDataFrame({new!r}, "doc_id long, text string")).collect())))
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=180)
+    assert f"ROWS {want}" in done.stdout, done.stderr[-2000:]
+
+
+def test_fit_rows_bounds_the_rows_whatever_their_keys(spark):
+    df = spark.range(5000).select(F.col("id").alias("doc_id"))
+    kept = M.sample_rows(df, "doc_id", 500)
+    assert 400 < kept.count() < 600
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, M.sample_rows(df.repartition(9), "doc_id", 500).collect()))
+
+
+def test_random_search_runs_all_trials_in_one_fit(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(v) for v in rng.normal(size=3)]) for i in range(300)]
+    df = spark.createDataFrame([(i, x, int(x[0] > 0), int(x[1] + x[2] > 0)) for i, x in rows], "doc_id long, features array<double>, a int, b int")
+    out = M.random_search(df.filter("doc_id < 200"), df.filter("doc_id >= 200"), ["a", "b"], n_trials=3).collect()
+    assert len(out) == 3 and sum(r["is_best"] for r in out) == 1 and all(r["gradient"] <= 1e-4 for r in out)
+    assert min(out, key=lambda r: (r["val_loss"], r["trial"]))["is_best"]
+    assert [t["reg_param"] for t in M.search_trials(spark, 3)] == [r["reg_param"] for r in sorted(out, key=lambda r: r["trial"])]
 
 
 def test_bow_counts_use_training_vocabulary_only(spark):

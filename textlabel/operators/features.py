@@ -3,30 +3,20 @@ and sentence -> document embeddings (ML3 features)."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let
-from .ranking import md5_key, md5_unit, size_checked_broadcast, sorted_index
+from . import lookup as LK
+from .ranking import md5_key, md5_unit
 
+#: (document, word) pairs of a block that are multiplied with their vectors at a time
+PAIRS = 1 << 14
 
-# ---- bag of words -----------------------------------------------------------------------
-
-def bow_vocabulary(train: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """Vocabulary fitted on the training rows: distinct tokens in sorted order -> idx."""
-    distinct = train.select(F.explode(tokens).alias("token")).distinct()
-    return sorted_index(distinct, [F.col("token").asc()], "idx")
-
-
-def bow_counts(df: DataFrame, vocab: DataFrame, tokens: str = "tokens",
-               key: str = "doc_id") -> DataFrame:
-    """AG11 long form: (doc_id, token, idx, tf) for tokens inside the fitted vocabulary."""
-    tf = df.select(key, F.explode(tokens).alias("token")).groupBy(key, "token").agg(
-        F.count(F.lit(1)).alias("tf"))
-    return tf.join(size_checked_broadcast(vocab.select("token", "idx")), "token")
 
+# ---- bag of words -----------------------------------------------------------------------
 
 def bow_counts_fitted(df: DataFrame, tokens: str = "tokens", key: str = "doc_id",
                       split: str = "split", fit_on: str = "train") -> DataFrame:
@@ -97,30 +87,38 @@ def word_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 7,
 
 
 def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, dim: int,
-                   key: str = "doc_id", tokens: str = "tokens", seed: int = 7,
-                   unk_idx: int = 0, max_broadcast_bytes: int = 256 << 20) -> DataFrame:
-    """ML3 features: mean over the sentences of a document of the mean of its
-    L2-normalised word vectors.
-
-    The mean of means is one weighted mean: token t of sentence s weighs
-    1 / (non-empty sentences x tokens in s), known before the explode. So there is a single
-    token -> vector join (broadcast when the vector table is proven small, else a
-    sort-merge join that AQE splits on hot tokens) and a single aggregation per document
-    (Summarizer, map-side partial aggregation).
+                   key: str = "doc_id", tokens: str = "tokens", seed: int = 7, unk_idx: int = 0) -> DataFrame:
+    """ML3 features: (key, embedding), the mean over the sentences of a document of the mean of its L2-normalised word vectors.
+
+    The mean of means is one weighted mean: a token of a sentence of n tokens weighs 1 / (non-empty sentences x n). Documents lie in
+    blocks; a vector comes to a block once for each distinct word of it (``operators.lookup``), and the block's (document, word) weights
+    are multiplied with its vectors, a few thousand pairs at a time. Documents without a word are not in the result.
     """
-    wv = word_vectors(vocab, vectors, dim, seed).select(
-        "token", "idx", array_to_vector(l2_normalize(F.col("vector"))).alias("v"))
-    unk = wv.filter(F.col("idx") == unk_idx).select(F.col("v").alias("_unk"))  # one row
-    sizes = F.transform(F.col(tokens), lambda s: F.size(s))
-    n_sent = F.size(F.filter(sizes, lambda n: n > 0))
-    cells = (tokens_df.select(key, F.posexplode(tokens).alias("s", "sent"), n_sent.alias("_ns"))
-             .select(key, (F.lit(1.0) / (F.col("_ns") * F.size("sent"))).alias("w"),
-                     F.explode("sent").alias("token")))
-    side = wv.select("token", "v")
-    # one vector per vocabulary row: count the (materialised) vocabulary, not the vectors
-    if vocab.count() * dim * 8 <= max_broadcast_bytes:
-        side = F.broadcast(side)
-    with_vec = (cells.join(side, "token", "left").crossJoin(F.broadcast(unk))
-                .select(key, "w", F.coalesce(F.col("v"), F.col("_unk")).alias("v")))
-    per_doc = with_vec.groupBy(key).agg(Summarizer.mean(F.col("v"), F.col("w")).alias("features"))
-    return per_doc.withColumn("embedding", vector_to_array("features"))
+    wv = word_vectors(vocab, vectors, dim, seed).select("token", "idx", l2_normalize(F.col("vector")).alias("v"))
+    unknown = wv.filter(F.col("idx") == unk_idx).select("v").first()  # one row: the vector of words outside the vocabulary
+    unk = np.array(unknown["v"] if unknown else [0.0] * dim)
+    laid = LK.in_blocks(tokens_df.select(F.col(key), LK.nested(tokens_df, tokens).alias("_tokens")))
+    kind = laid.schema[key].dataType.simpleString()
+
+    def fold(documents: pa.Table, entries: pa.Table) -> pa.Table:
+        words, per_sentence, per_row = LK.flat_words(documents.column("_tokens"))
+        n = len(per_row)
+        sentence_row = np.repeat(np.arange(n), per_row)
+        sentences = np.bincount(sentence_row, per_sentence > 0, n)
+        share = 1.0 / np.maximum(sentences[sentence_row] * per_sentence, 1)
+        table = np.vstack([entries.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim), unk])
+        at = LK.places(words, entries)
+        at[at < 0] = len(table) - 1
+        pair, which = np.unique(np.repeat(sentence_row, per_sentence) * len(table) + at, return_inverse=True)
+        weight = np.bincount(which, np.repeat(share, per_sentence), len(pair))
+        row, term = pair // len(table), pair % len(table)
+        sums = np.zeros((n, dim))
+        for i in range(0, len(pair), PAIRS):
+            r = row[i:i + PAIRS]
+            starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+            sums[r[starts]] += np.add.reduceat(weight[i:i + PAIRS, None] * table[term[i:i + PAIRS]], starts)
+        full = sentences > 0
+        embedding = LK.lists(pa.array(sums[full].ravel()), np.full(int(full.sum()), dim))
+        return pa.table([documents.column(key).filter(pa.array(full)), embedding], names=[key, "embedding"])
+
+    return LK.look_up(laid, "_tokens", wv.select("token", "v"), fold, f"`{key}` {kind}, embedding array<double>")

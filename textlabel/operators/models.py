@@ -1,133 +1,216 @@
-"""Spark ML models (ML1, ML2, ML3 fit, ML6, SNK2).
+"""Label models (ML1, ML2, ML3 fit, ML6, SNK2): one L2 logistic regression per label, all from one scan.
 
-One L2 logistic regression per label. scikit-learn's ``C`` maps to Spark's
-``regParam = 1 / (C * n_train)`` with ``standardization=False``: the same optimum.
-Each iteration is a treeAggregate over the cached training vectors.
+scikit-learn's ``C`` is ``reg = 1 / (C * n_train)`` of the mean loss, without standardisation: the same optimum. The fits share the
+scans of ``operators.linear``; ``BagOfWordsModel`` is the whole path from raw text to predictions (tokens, dictionary with scales,
+weights) as a Spark ML stage that is saved and loaded.
 """
 
 from __future__ import annotations
 
-import random
+import json
+from dataclasses import dataclass
 
 import numpy as np
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct
-from pyspark.ml.stat import Summarizer
+import pyarrow as pa
+from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as TX
+from ..functions.labels import sigmoid
+from . import terms as TM
 from .evaluate import long_cells, metric_table
+from .linear import Fit, Problem, dense_blocks, fit
+from .ranking import md5_key, md5_unit
+
+#: rows that a fit reads at most, unless told otherwise: it bounds the weights, which the optimiser holds on the driver
+FIT_ROWS = 2_000_000
+
+
+@dataclass
+class LabelModel:
+    """One label's regression."""
+
+    coefficients: DenseVector
+    intercept: float
+    loss: float = 0.0
+    gradient: float = 0.0
+    steps: int = 0
+    converged: bool = True
 
+    @staticmethod
+    def of(found: Fit) -> "LabelModel":
+        return LabelModel(DenseVector(found.weights), found.intercept, found.loss, found.gradient, found.steps, found.converged)
 
-def fit_per_label(train: DataFrame, label_cols: list[str], features: str = "features",
-                  C: float = 1.0, max_iter: int = 1000, n_train: int | None = None,
-                  reg_param: float | None = None, elastic_net: float = 0.0,
-                  parallelism: int = 8) -> dict:
-    """ML1: one logistic regression per label."""
+
+def fit_per_label(train: DataFrame, label_cols: list[str], features: str = "features", C: float = 1.0, n_train: int | None = None,
+                  reg_param: float | None = None, max_iter: int = 1000, tol: float = 1e-7) -> dict[str, LabelModel]:
+    """ML1 on dense features (array or vector): one logistic regression per label, fitted together."""
+    blocks = dense_blocks(train, features, label_cols)
     n_train = n_train if n_train is not None else train.count()
-    if reg_param is None:
-        reg_param = 1.0 / (C * max(n_train, 1))
-    # the rows stay where they are; gradients merge through a deeper tree, whatever the size of the table
-    depth = 3
-
-    def fit(label):
-        lr = LogisticRegression(featuresCol=features, labelCol=label, regParam=reg_param,
-                                elasticNetParam=elastic_net, standardization=False,
-                                maxIter=max_iter, tol=1e-6, aggregationDepth=depth,
-                                predictionCol=f"{label}__pred",
-                                probabilityCol=f"{label}__prob", rawPredictionCol=f"{label}__raw")
-        return lr.fit(train.withColumn(label, F.col(label).cast("double")))
-
-    # The labels are independent problems: one driver thread per label lets the scheduler
-    # interleave their (latency-bound) L-BFGS iterations instead of running them in turn.
-    with ThreadPoolExecutor(max_workers=max(1, min(len(label_cols), parallelism))) as pool:
-        fitted = list(pool.map(fit, label_cols))
-    return dict(zip(label_cols, fitted))
-
-
-def predict_per_label(models: dict, df: DataFrame, key: str = "doc_id") -> DataFrame:
+    width = len(train.select(vector_or_array(train, features).alias("x")).first()["x"])
+    reg = 1.0 / (C * max(n_train, 1)) if reg_param is None else reg_param
+    found = fit(blocks, width, [Problem(j, reg) for j in range(len(label_cols))], tol, max_iter)
+    return {c: LabelModel.of(f) for c, f in zip(label_cols, found)}
+
+
+def vector_or_array(df: DataFrame, features: str):
+    col = F.col(features)
+    return col if df.schema[features].dataType.simpleString().startswith("array") else vector_to_array(col)
+
+
+def predict_per_label(models: dict[str, LabelModel], df: DataFrame, key: str = "doc_id", features: str = "features") -> DataFrame:
     """Score every label; returns key, <label> (0/1 prediction), <label>__p1 (probability)."""
-    out = df
+    x = vector_or_array(df, features)
+    out = [key]
     for label, m in models.items():
-        out = m.transform(out)
-    cols = [key]
-    for label in models:
-        cols += [F.col(f"{label}__pred").cast("int").alias(label),
-                 vector_to_array(F.col(f"{label}__prob"))[1].alias(f"{label}__p1")]
-    return out.select(*cols)
-
-
-def bow_feature_model(train: DataFrame, n_train: int, tokens: str = "tokens") -> PipelineModel:
-    """AG11 + AG12 as fitted transformers, all fitted on the training rows inside the JVM:
-    term counts over the training vocabulary, then division by each term's population std
-    (scikit-learn's ``StandardScaler(with_mean=False)``; a constant term keeps scale 1).
-
-    Spark's sample variance is rescaled by (n - 1) / n. The term order of the count vector
-    does not change the fitted predictions (the L2 penalty is order invariant); the sorted
-    vocabulary of ``features.bow_vocabulary`` is the long-form equivalent.
-    """
-    cv = CountVectorizer(inputCol=tokens, outputCol="counts", vocabSize=1 << 30, minDF=1.0).fit(train)
-    summary = cv.transform(train).select(
-        Summarizer.metrics("variance").summary(F.col("counts")).alias("s")).first()["s"]
-    var = summary["variance"].toArray() * ((n_train - 1) / n_train if n_train > 0 else 0.0)
-    std = np.sqrt(np.maximum(var, 0.0))
-    scale = np.where(std > 0, std, 1.0)
-    ew = ElementwiseProduct(scalingVec=Vectors.dense(1.0 / scale), inputCol="counts", outputCol="features")
-    return PipelineModel(stages=[cv, ew])
-
-
-def evaluate_models(models: dict, test: DataFrame, actual: DataFrame, label_cols: list[str],
-                    key: str = "doc_id") -> DataFrame:
+        products = F.zip_with(x, F.lit([float(v) for v in m.coefficients.toArray()]), lambda a, b: a * b)
+        p = sigmoid(F.aggregate(products, F.lit(float(m.intercept)), lambda a, b: a + b))
+        out += [(p > 0.5).cast("int").alias(label), p.alias(f"{label}__p1")]
+    return df.select(*out)
+
+
+def evaluate_predictions(pred: DataFrame, actual: DataFrame, label_cols: list[str], key: str = "doc_id") -> DataFrame:
     """ML2 tail: accuracy / precision / recall per label and overall, long form."""
-    pred = predict_per_label(models, test, key).withColumn("run", F.lit(0))
-    cells = long_cells(actual, pred.select(key, "run", *label_cols), label_cols, key, run="run")
+    cells = long_cells(actual, pred.withColumn("run", F.lit(0)).select(key, "run", *label_cols), label_cols, key, run="run")
     return metric_table(cells).drop("run")
 
 
-def random_search(train: DataFrame, val: DataFrame, label_cols: list[str], n_trials: int = 6,
-                  seed: int = 42, features: str = "features", key: str = "doc_id") -> DataFrame:
-    """ML6: seeded random trials over (regParam, elasticNet, maxIter); one fit per label and
-    trial on the cached train split; scored by validation log-loss. Returns the trial table
-    with the best trial flagged (min loss, ties to the earlier trial)."""
-    spark = train.sparkSession
-    rng = random.Random(seed)
-    rows = []
-    for t in range(n_trials):
-        reg = 10 ** rng.uniform(-4, 0)
-        enet = rng.choice([0.0, 0.5])
-        iters = rng.choice([25, 50, 100])
-        models = fit_per_label(train, label_cols, features, max_iter=iters, reg_param=reg,
-                               elastic_net=enet)
-        scored = predict_per_label(models, val, key)
-        cells = long_cells(val.select(key, *label_cols),
-                           scored.select(key, *[F.col(f"{c}__p1").alias(c) for c in label_cols]),
-                           label_cols, key)
-        p = F.least(F.greatest(F.col("predicted"), F.lit(1e-15)), F.lit(1 - 1e-15))
-        loss = -(F.col("actual") * F.log(p) + (1 - F.col("actual")) * F.log(1 - p))
-        agg = cells.agg(F.avg(loss).alias("val_loss"),
-                        F.avg(((F.col("predicted") >= 0.5).cast("double") == F.col("actual")).cast("double")).alias("val_acc"))
-        rows.append(agg.select(F.lit(t).alias("trial"), F.lit(reg).alias("reg_param"),
-                               F.lit(enet).alias("elastic_net"), F.lit(iters).alias("max_iter"),
-                               "val_loss", "val_acc"))
-    table = rows[0]
-    for r in rows[1:]:
-        table = table.unionByName(r)
-    best = table.agg(F.min_by("trial", F.struct("val_loss", "trial")).alias("best_trial"))
-    return table.crossJoin(F.broadcast(best)).withColumn(
-        "is_best", F.col("trial") == F.col("best_trial")).drop("best_trial")
-
-
-def save_models(models: dict, path: str) -> None:
-    """SNK2: one Spark ML directory per label."""
-    for label, m in models.items():
-        m.write().overwrite().save(f"{path}/{label}")
+def evaluate_models(models: dict[str, LabelModel], test: DataFrame, actual: DataFrame, label_cols: list[str], key: str = "doc_id") -> DataFrame:
+    return evaluate_predictions(predict_per_label(models, test, key), actual, label_cols, key)
 
 
-def load_models(path: str, label_cols: list[str]) -> dict:
-    from pyspark.ml.classification import LogisticRegressionModel
-    return {label: LogisticRegressionModel.load(f"{path}/{label}") for label in label_cols}
+# ---- bag of words: raw text -> tokens -> terms -> margins -----------------------------------------
+
+class BagOfWordsModel(Model, MLWritable, MLReadable):
+    """The fitted path from raw text to one prediction per label: (token, scale, w) for every term of the training rows, and intercepts.
+
+    ``transform`` adds <label> (0/1) and <label>__p1. Texts are tokenised as in training; words the training rows do not hold do not count.
+    """
+
+    def __init__(self, weights: DataFrame | None = None, fits: dict[str, LabelModel] | None = None, key: str = "doc_id", text: str = "text", n_terms: int = 0):
+        super().__init__()
+        self.weights, self.fits, self.key, self.text, self.n_terms = weights, fits or {}, key, text, n_terms
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.scored(df.withColumn("tokens", TX.bow_tokens(self.text)))
+
+    def scored(self, df: DataFrame, tokens: str = "tokens") -> DataFrame:
+        """key, <label>, <label>__p1 of rows that have their tokens already."""
+        labels = list(self.fits)
+        per_one = self.weights.select("token", F.transform("w", lambda x: x / F.col("scale")).alias("w"))
+        margins = TM.term_scores(df, per_one, [self.fits[c].intercept for c in labels], self.key, tokens)
+        out = [self.key]
+        for j, label in enumerate(labels):
+            p = sigmoid(F.col("margins")[j])
+            out += [(p > 0.5).cast("int").alias(label), p.alias(f"{label}__p1")]
+        return margins.select(*out)
+
+    def write(self) -> MLWriter:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader()
+
+
+class _Writer(MLWriter):
+    def __init__(self, model: BagOfWordsModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m = self.model
+        spark = m.weights.sparkSession
+        m.weights.write.mode("overwrite").parquet(f"{path}/terms")
+        meta = {"key": m.key, "text": m.text, "n_terms": m.n_terms,
+                "labels": [{"label": c, "intercept": f.intercept, "loss": f.loss, "gradient": f.gradient, "steps": f.steps, "converged": f.converged} for c, f in m.fits.items()]}
+        spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+
+class _Reader(MLReader):
+    def load(self, path: str) -> BagOfWordsModel:
+        spark = SparkSession.getActiveSession()
+        meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
+        fits = {r["label"]: LabelModel(DenseVector([]), r["intercept"], r["loss"], r["gradient"], r["steps"], r["converged"]) for r in meta["labels"]}
+        return BagOfWordsModel(spark.read.parquet(f"{path}/terms"), fits, meta["key"], meta["text"], meta["n_terms"])
+
+
+def sample_rows(train: DataFrame, key: str, fit_rows: int, seed: int = 42) -> DataFrame:
+    """At most about ``fit_rows`` rows, the same in every layout: rows whose md5 of (seed, key) is in the first ``fit_rows / n`` of the range."""
+    n = train.count()
+    if n <= fit_rows:
+        return train
+    return train.filter(md5_unit(md5_key(seed, key)) < F.lit(int(2 ** 32 * fit_rows / n)))
+
+
+def fit_bag_of_words(train: DataFrame, label_cols: list[str], key: str = "doc_id", text: str = "text", C: float = 1.0, fit_rows: int = FIT_ROWS,
+                     tol: float = 1e-4, max_iter: int = 1000, tokens: str = "tokens") -> BagOfWordsModel:
+    """ML2 fit: dictionary and scales of the training rows, their blocks, one regression per label in shared scans. ``train`` has the tokens."""
+    rows = sample_rows(train, key, fit_rows)
+    n_rows = rows.count()
+    terms = TM.fit_terms(rows, n_rows, tokens, key).checkpoint(eager=True)
+    n_terms = terms.count()
+    blocks = TM.term_blocks(rows, terms, label_cols, tokens)
+    found = fit(blocks, n_terms, [Problem(j, 1.0 / (C * n_rows)) for j in range(len(label_cols))], tol, max_iter)
+    weights = terms.join(weight_table(train.sparkSession, found), "idx").select("token", "idx", "scale", "w").checkpoint(eager=True)
+    return BagOfWordsModel(weights, {c: LabelModel.of(f) for c, f in zip(label_cols, found)}, key, text, n_terms)
+
+
+def weight_table(spark: SparkSession, found: list[Fit]) -> DataFrame:
+    """(idx, w: array<double>) from the optimiser's weights, to be joined with terms by number."""
+    w = np.stack([f.weights for f in found], axis=1)
+    flat = pa.FixedSizeListArray.from_arrays(pa.array(w.ravel()), len(found)).cast(pa.list_(pa.float64()))
+    return spark.createDataFrame(pa.table([pa.array(np.arange(len(w))), flat], names=["idx", "w"]))
+
+
+# ---- search -----------------------------------------------------------------------------------------
+
+def search_trials(spark: SparkSession, n_trials: int, seed: int = 42) -> list[dict]:
+    """ML6: the trials' parameters from md5 of (seed, trial, name), as SQL can state them: reg between 1e-4 and 1, the weight of positive rows
+    1 or 2."""
+    unit = lambda name: md5_unit(md5_key(seed, "id", F.lit(name))) / F.lit(4294967296.0)
+    trials = spark.range(n_trials).select(F.col("id").alias("trial"), F.pow(F.lit(10.0), unit("reg") * 4 - 4).alias("reg_param"),
+                                          F.when(unit("positive") < 0.5, 1.0).otherwise(2.0).alias("positive_weight"))
+    return [r.asDict() for r in trials.orderBy("trial").collect()]
+
+
+def random_search(train: DataFrame, val: DataFrame, label_cols: list[str], n_trials: int = 6, seed: int = 42, features: str = "features",
+                  key: str = "doc_id", tol: float = 1e-4) -> DataFrame:
+    """ML6: every trial and label is one problem of the same fit, so all of them read the rows together; scored by validation log loss. Returns
+    the trial table with the best trial flagged (least loss, ties to the earlier trial)."""
+    spark = train.sparkSession
+    trials = search_trials(spark, n_trials, seed)
+    width = len(train.select(vector_or_array(train, features).alias("x")).first()["x"])
+    problems = [Problem(j, t["reg_param"], t["positive_weight"]) for t in trials for j in range(len(label_cols))]
+    found = fit(dense_blocks(train, features, label_cols), width, problems, tol)
+    models = {f"{t['trial']}:{c}": LabelModel.of(f) for (t, c), f in zip(((t, c) for t in trials for c in label_cols), found)}
+    scored = predict_per_label(models, val.select(key, features, *label_cols), key, features)
+    cell = [F.struct(F.lit(t["trial"]).alias("trial"), F.col(c).cast("double").alias("actual"), F.col(f"{t['trial']}:{c}__p1").alias("p")) for t in trials for c in label_cols]
+    cells = scored.join(val.select(key, *label_cols), key).select(F.explode(F.array(*cell)).alias("c")).select("c.*")
+    p = F.least(F.greatest(F.col("p"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    loss = -(F.col("actual") * F.log(p) + (1 - F.col("actual")) * F.log(1 - p))
+    hit = ((F.col("p") >= 0.5).cast("double") == F.col("actual")).cast("double")
+    table = cells.groupBy("trial").agg(F.avg(loss).alias("val_loss"), F.avg(hit).alias("val_acc"))
+    worst = {t["trial"]: max(f.gradient for f in found[i * len(label_cols):(i + 1) * len(label_cols)]) for i, t in enumerate(trials)}
+    given = spark.createDataFrame([(t["trial"], t["reg_param"], t["positive_weight"], worst[t["trial"]]) for t in trials],
+                                  "trial long, reg_param double, positive_weight double, gradient double")
+    out = given.join(table, "trial")
+    best = out.agg(F.min_by("trial", F.struct("val_loss", "trial")).alias("best_trial"))
+    return out.crossJoin(F.broadcast(best)).withColumn("is_best", F.col("trial") == F.col("best_trial")).drop("best_trial")  # one row
+
+
+def save_models(models: dict[str, LabelModel], path: str, spark: SparkSession | None = None) -> None:
+    """SNK2: the regressions on dense features as one table (label, intercept, coefficients)."""
+    spark = spark or SparkSession.getActiveSession()
+    rows = [(c, float(m.intercept), [float(v) for v in m.coefficients.toArray()]) for c, m in models.items()]
+    spark.createDataFrame(rows, "label string, intercept double, coefficients array<double>").write.mode("overwrite").parquet(path)
+
+
+def load_models(path: str, label_cols: list[str], spark: SparkSession | None = None) -> dict[str, LabelModel]:
+    spark = spark or SparkSession.getActiveSession()
+    found = {r["label"]: LabelModel(DenseVector(r["coefficients"]), r["intercept"]) for r in spark.read.parquet(path).collect()}  # a row a label
+    return {c: found[c] for c in label_cols}

@@ -3,10 +3,13 @@ lookup (JN1)."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import size_checked_broadcast, sorted_index
+from . import lookup as LK
+from .ranking import sorted_index
 
 SPECIALS = ("<unk>", "<pad>")
 
@@ -44,29 +47,19 @@ def build_vocabulary(df: DataFrame, tokens: str = "tokens", specials=SPECIALS,
         ranked.select("token", "idx", "n"))
 
 
-def vocabulary_side(vocab: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """The vocabulary as a join side: broadcast when its size is proven small, else shuffled."""
-    return size_checked_broadcast(vocab.select("token", "idx"), max_broadcast_rows)
+def index_tokens(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", out: str = "ids", unk_idx: int = 0) -> DataFrame:
+    """JN1: array<array<string>> -> array<array<int>> through the vocabulary; unknown -> unk.
 
+    Looked up by blocks of documents (``operators.lookup``): a hot word costs one row per block, and the rows keep their order and
+    their empty sentences."""
+    laid = LK.in_blocks(df.select(F.col(key), LK.nested(df, tokens).alias("_tokens")))
 
-def index_tokens(df: DataFrame, vocab: DataFrame, key: str = "doc_id",
-                 tokens: str = "tokens", out: str = "ids", unk_idx: int = 0,
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """JN1: array<array<string>> -> array<array<int>> through the vocabulary; unknown -> unk.
+    def fold(documents: pa.Table, entries: pa.Table) -> pa.Table:
+        words, per_sentence, per_row = LK.flat_words(documents.column("_tokens"))
+        at = LK.places(words, entries)
+        numbers = np.append(entries.column("idx").to_numpy(), unk_idx).astype(np.int32)  # -1, the last one, is for unknown words
+        ids = LK.lists(LK.lists(pa.array(numbers[at]), per_sentence), per_row)
+        return pa.table([documents.column(key), ids], names=[key, out])
 
-    explode with positions -> join (broadcast when small) -> re-collect each sentence in the order
-    of its positions, then each document in the order of its sentences, behind one shuffle by the
-    key. Empty sentences and documents survive via outer explodes.
-    """
-    sents = df.select(key, F.posexplode_outer(tokens).alias("s", "sent"))
-    cells = sents.select(key, "s", F.posexplode_outer("sent").alias("t", "token"))
-    side = vocabulary_side(vocab, max_broadcast_rows)
-    joined = cells.join(side, "token", "left").select(
-        key, "s", "t",
-        F.when(F.col("token").isNotNull(), F.coalesce("idx", F.lit(unk_idx))).alias("idx"))
-    # rows dealt by the key serve both groupings
-    sentences = (joined.repartition(key).groupBy(key, "s")
-                 .agg(F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("t", F.col("idx").cast("int").alias("idx"))))).alias("_cells")))
-    ids = F.transform("_cells", lambda x: x["idx"])
-    grouped = sentences.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", ids.alias("ids"))))).alias("_sents"))
-    return grouped.select(key, F.transform("_sents", lambda x: x["ids"]).alias(out))
+    kind = laid.schema[key].dataType.simpleString()
+    return LK.look_up(laid, "_tokens", vocab.select("token", "idx"), fold, f"`{key}` {kind}, `{out}` array<array<int>>")

@@ -320,6 +320,8 @@ SELECT token, count(*)::BIGINT AS df, round(sum(tf){D}, 6) AS s1, round(sum(tf *
   round(CASE WHEN sqrt(greatest(sum(tf * tf){D} / any_value(n) - pow(sum(tf){D} / any_value(n), 2), 0.0{D})) > 0
     THEN sqrt(greatest(sum(tf * tf){D} / any_value(n) - pow(sum(tf){D} / any_value(n), 2), 0.0{D})) ELSE 1.0{D} END, 6) AS scale
 FROM btf, ntr WHERE split = 'train' GROUP BY token""")
+_add("bow_logreg", w(LAB_INT, BOW_SPLIT) + """SELECT t.trait, count(DISTINCT token)::BIGINT AS n_features, true AS at_optimum
+FROM btf CROSS JOIN (VALUES ('quality'), ('toxic')) t(trait) WHERE split = 'train' GROUP BY t.trait""")
 _PROFILE = "pf AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 _PCOLS = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
           ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int")]

@@ -4,7 +4,6 @@ models."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,46 +19,39 @@ from ..operators.ranking import md5_key
 from ..session import ensure_checkpoint_dir
 
 
-def bag_of_words_models(df: DataFrame, label_cols: list[str], test_size: float = 0.2,
-                        seed: int = 42, C: float = 1.0, max_iter: int = 1000, key: str = "doc_id"):
-    """3.1 up to the fits: lenient labels, exact split, counts + scale fitted on train,
-    one logistic regression per label. Returns (models, scored test frame, test labels)."""
+def bag_of_words_model(df: DataFrame, label_cols: list[str], test_size: float = 0.2, seed: int = 42, key: str = "doc_id", **fit_kw):
+    """3.1 up to the fits: lenient labels, exact split, dictionary and scales of the training rows, one regression per label in shared
+    scans. Returns (model, test rows with their tokens)."""
     lab = df.select(key, "text", *[L.encode_lenient(c).alias(c) for c in label_cols])
-    sp = S.train_test_split(lab, key, seed, test_size).withColumn("tokens", T.bow_tokens("text"))
+    sp = S.train_test_split(lab, key, seed, test_size).withColumn("tokens", T.bow_tokens("text")).drop("text")
     ensure_checkpoint_dir(df.sparkSession)
-    sp = sp.checkpoint(eager=True)  # split + tokens reused by the vocabulary, the scales and the fits
-    train = sp.filter(F.col("split") == "train")
-    test = sp.filter(F.col("split") == "test")
-    n_train = train.count()
-    model = M.bow_feature_model(train, n_train)
-    train_f = model.transform(train).select(key, "features", *label_cols).checkpoint(eager=True)  # read in every iteration
-    test_f = model.transform(test).select(key, "features", *label_cols)
-    models = M.fit_per_label(train_f, label_cols, C=C, max_iter=max_iter, n_train=n_train)
-    return models, test_f, test.select(key, *label_cols)
+    sp = sp.checkpoint(eager=True)  # split + tokens are read by the dictionary, the blocks and the test
+    model = M.fit_bag_of_words(sp.filter(F.col("split") == "train"), label_cols, key, **fit_kw)
+    return model, sp.filter(F.col("split") == "test")
 
 
-def bag_of_words(df: DataFrame, label_cols: list[str], **kw) -> DataFrame:
+def bag_of_words(df: DataFrame, label_cols: list[str], key: str = "doc_id", **kw) -> DataFrame:
     """ML2: accuracy per label and overall (plus precision / recall) on the test split."""
-    models, test_f, actual = bag_of_words_models(df, label_cols, **kw)
-    return M.evaluate_models(models, test_f, actual, label_cols)
+    model, test = bag_of_words_model(df, label_cols, key=key, **kw)
+    return M.evaluate_predictions(model.scored(test), test.select(key, *label_cols), label_cols, key)
 
 
 def embedding_classifier(emb: DataFrame, actual: DataFrame, label_cols: list[str],
                          test_size: float = 0.2, seed: int = 42, key: str = "doc_id") -> DataFrame:
     """ML3: document embeddings -> one logistic regression per label -> test metrics."""
-    data = emb.select(key, array_to_vector("embedding").alias("features")).join(actual, key)
+    data = emb.select(key, F.col("embedding").alias("features")).join(actual, key)
     ensure_checkpoint_dir(data.sparkSession)
     sp = S.train_test_split(data, key, seed, test_size).checkpoint(eager=True)
     train = sp.filter(F.col("split") == "train")
     test = sp.filter(F.col("split") == "test")
-    models = M.fit_per_label(train, label_cols, max_iter=200)
+    models = M.fit_per_label(train, label_cols)
     return M.evaluate_models(models, test, test.select(key, *label_cols), label_cols)
 
 
 def embedding_search(emb: DataFrame, actual: DataFrame, label_cols: list[str], n_trials: int = 4,
                      seed: int = 42, key: str = "doc_id") -> DataFrame:
     """ML6 on the embedding features: train / val from the exact split."""
-    data = emb.select(key, array_to_vector("embedding").alias("features")).join(actual, key)
+    data = emb.select(key, F.col("embedding").alias("features")).join(actual, key)
     ensure_checkpoint_dir(data.sparkSession)
     sp = S.exact_split(data, key, seed, rule="fixed").checkpoint(eager=True)
     return M.random_search(sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"),

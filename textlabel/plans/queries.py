@@ -505,12 +505,11 @@ def bow_pipeline_metrics(spark, d):
 
 
 def bow_logreg(spark, d):
-    from .pipelines import bag_of_words_models
-    models, _, _ = bag_of_words_models(I.labelled_yn(spark, d).select("doc_id", "text", *LABELS), LABELS)
-    rows = [(lab, int(m.numFeatures), float(m.intercept), int(m.summary.totalIterations))
-            for lab, m in models.items()]
-    return spark.createDataFrame(rows, "trait string, n_features long, intercept double, iterations long").select(
-        "trait", "n_features", _r("intercept").alias("intercept"), "iterations")
+    """The fits themselves: features, and whether each optimum is reached (largest component of the gradient at most 1e-4 of that at the start)."""
+    from .pipelines import bag_of_words_model
+    model, _ = bag_of_words_model(I.labelled_yn(spark, d).select("doc_id", "text", *LABELS), LABELS)
+    rows = [(lab, model.n_terms, m.converged and m.gradient <= 1e-4) for lab, m in model.fits.items()]
+    return spark.createDataFrame(rows, "trait string, n_features long, at_optimum boolean")
 
 
 def embed_logreg(spark, d):
@@ -522,8 +521,8 @@ def embed_logreg(spark, d):
 def random_search(spark, d):
     from .pipelines import embedding_search
     out = embedding_search(_doc_embeddings(spark, d), I.labelled_int(spark, d).select("doc_id", *LABELS), LABELS)
-    return out.select("trial", _r("reg_param").alias("reg_param"), "elastic_net", "max_iter",
-                      _r("val_loss").alias("val_loss"), _r("val_acc").alias("val_acc"), "is_best")
+    return out.select("trial", _r("reg_param").alias("reg_param"), "positive_weight", _r("val_loss").alias("val_loss"),
+                      _r("val_acc").alias("val_acc"), "is_best")
 
 
 QUERIES = {
