@@ -50,7 +50,7 @@ def slices(batch: pa.RecordBatch, size: int, column: int = 1, rows: int = 4096):
 
 
 def map_texts(df: DataFrame, key: str, text: str, outputs: list[T.StructField], score, carry=(), prefix: str = "",
-              size: int = 4 << 20) -> DataFrame:
+              size: int = 1 << 20) -> DataFrame:
     """(key, *carry, outputs) where ``score(texts)`` gives an Arrow array for each output. ``prefix`` goes before
     the names of the outputs, for tables that have such columns already."""
     src = df.select(F.col(key), F.col(text).alias("_text"), *[F.col(c) for c in carry if c != key])
