@@ -41,7 +41,7 @@ def library():
 @pytest.mark.parametrize("name", ORACLE_SQL)
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.execute(ORACLE_SQL[name]).to_arrow_table().to_pylist()
     got = [r.asDict() for r in QUERIES[name](spark, SF).collect()]
@@ -202,11 +202,11 @@ def best_fit_decreasing(counts, limit):
     for length in sorted(counts, reverse=True):
         for _ in range(counts[length]):
             at = bisect_left(gaps, length)
+            opened += at == len(gaps)
             gap = gaps.pop(at) if at < len(gaps) else limit
-            opened += at >= len(gaps) and gap == limit
             if gap > length:
                 insort(gaps, gap - length)
-    return opened
+    return opened, gaps
 
 
 def test_best_fit_places_all():
@@ -214,12 +214,14 @@ def test_best_fit_places_all():
         rng = random.Random(seed)
         counts = collections.Counter(rng.randint(1, 19) for _ in range(rng.randint(1, 300)))
         placed, opened = packing.best_fit(dict(counts), 20)
+        fewest, left = best_fit_decreasing(counts, 20)
         bins, seen = collections.defaultdict(list), collections.Counter()
         for length, _, docs, first, offset in placed:
             seen[length] += docs
             for i in range(docs):
                 bins[first + i].append((offset, length))
-        assert seen == counts and len(bins) == opened
+        assert seen == counts and len(bins) == opened == fewest
+        assert sorted(20 - sum(n for _, n in items) for items in bins.values() if sum(n for _, n in items) < 20) == left
         for items in bins.values():
             at = 0
             for offset, length in sorted(items):

@@ -82,3 +82,16 @@ def test_stages(spark, docs, tmp_path, rows):
         assert name == "packing" or out.columns == docs.columns
         docs = out if out.count() or rows == 0 else docs
     assert (docs.count() == 0) == (rows == 0)
+
+
+@pytest.mark.parametrize("key", [7, None])
+def test_fits_gather_no_more_than_stated_whatever_the_keys(spark, monkeypatch, key):
+    """One id, or none, on two thirds of the rows."""
+    rows = [(key if i % 3 else i, f"some words number {i} of a text in one language", "en" if i % 2 else "de", i % 2) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda examples, *a, **k: seen.append(len(examples)))
+    langid.learn_languages(df, per_language=100)
+    monkeypatch.setattr(quality, "fit", lambda examples, share: seen.append(len(examples)))
+    quality.learn_quality(df.select("doc_id", "text"), df.select("doc_id", "quality"), per_label=100)
+    assert 150 <= seen[0] <= 200 and 100 <= seen[1] <= 300

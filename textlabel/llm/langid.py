@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,14 +116,17 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def learn_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-                    per_language: int = 800, seed: int = 5, min_words: int = 1) -> LanguageModel:
-    """Fit on about ``per_language`` documents of each language (a sample by hash of the key)."""
-    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = known.groupBy(F.col(lang).alias("_lang")).agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("_share"))
-    sample = (known.select(F.col(key).cast("string").alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
-              .join(F.broadcast(sizes), "_lang").filter(hash_share(F.col("_key"), F.col("_share"), seed))
-              .select("_key", "_text", "_lang"))
+def learn_languages(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 800, seed: int = 5,
+                    max_languages: int = 200) -> LanguageModel:
+    """Fit on at most ``per_language`` different texts of each language, a sample by hash of the text, of the ``max_languages`` languages
+    that most documents have. Whatever the keys or the number of copies, no more rows than that are gathered."""
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.md5(text).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
+    sizes = known.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.col("_n").desc(), "_lang").limit(max_languages)
+    sizes = sizes.select("_lang", (F.lit(1.2 * per_language) / F.col("_n")).alias("_share"))
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_key"))  # of the sample, some hundreds a language
+    sample = (known.join(F.broadcast(sizes), "_lang").filter(hash_share(F.col("_key"), F.col("_share"), seed))
+              .groupBy("_key", "_lang").agg(F.first("_text").alias("_text"))
+              .withColumn("_place", place).filter(F.col("_place") <= per_language).select("_key", "_text", "_lang"))
 
     def features(parts):
         for batch in parts:

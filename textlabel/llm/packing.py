@@ -1,7 +1,7 @@
 """Best-fit packing of tokenised documents into sequences of a fixed length.
 
 Pieces: a document's ids (``word_bpe_49k.json``) and an end id; a longer document is cut into full pieces and a rest.
-Packing is bulk-synchronous best fit. Documents are sorted by length and gaps by size; a superstep takes the next
+Packing is bulk-synchronous best fit, exactly that of one document at a time. Documents are sorted by length and gaps by size; a superstep takes the next
 length, longest first, and sweeps the sorted gaps for its successor, the smallest gap that holds it. Documents of the
 length that ask for the same gaps are told apart by rank: the k-th document takes the k-th of the equal gaps; what is
 left over goes on to the next larger gap and at last to new sequences. Then the gaps are updated and the next
@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and, stored, texts_of
+from .common import id_and, slices, stored, texts_of
 
 #: buckets that the documents of one length are dealt to before they are ranked
 BUCKETS = 64
 #: words and pre-tokens that a worker remembers before it starts anew
 REMEMBERED = 1_000_000
+#: bytes of the texts that are tokenised at a time, but for a longer one
+SLICE = 1 << 20
 #: longer words are not remembered
 LONGEST = 60
 
@@ -121,8 +123,7 @@ def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
     def run(parts):
         encoder = word_encoder(path)
         for batch in parts:
-            for first in range(0, batch.num_rows, 1000):
-                rows = batch.slice(first, 1000)
+            for rows in slices(batch, SLICE, rows=1000):
                 owner, piece, start, cuts = [], [], [], []
                 for i, ids in enumerate(map(encoder.encode, texts_of(rows))):
                     ids += end
@@ -166,7 +167,7 @@ def best_fit(counts: dict[int, int], limit: int) -> tuple[list[tuple], int]:
             else:
                 gap, first, n = limit, opened, -(-left // (limit // length))
                 opened += n
-            each = min(gap // length, -(-left // n))  # best fit fills a sequence before it takes the next equal gap
+            each = gap // length  # what is left of the smallest gap is the smallest still: it is filled before the next equal one
             full = min(n, left // each)
             for slot in range(each if full else 0):
                 placed.append((length, rank, full, first, limit - gap + slot * length))

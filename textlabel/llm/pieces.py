@@ -12,10 +12,15 @@ the model crosses such a border, so segments are encoded on their own, each dist
    spans, the best edge (the leftmost of equals) joins them first, all segments side by side. That is
    what a BPE model defines; shortest-path relaxation over the same edges would be a unigram model.
 
-Characters on no chosen edge become the byte pieces of their UTF-8 bytes.
+Characters on no chosen edge become the byte pieces of their UTF-8 bytes. Of equal scores the leftmost edge joins first.
 
-``encode_pieces``: null and empty texts give an empty list; any other column is ignored; rows may repeat.
-``decode_pieces``: null and empty lists give an empty text; unknown ids raise ``IndexError``.
+Memory: texts are taken by ``SLICE`` bytes, new segments by ``INDEXED`` characters (a longer one is indexed in windows that overlap by the
+longest piece), and a worker remembers at most 2 x ``REMEMBERED`` bytes. A segment longer than all that, a text without blanks,
+takes about 130 bytes a character while it is encoded.
+
+``encode_pieces``: null and empty texts give an empty list; other columns but those of ``carry`` are not read, whatever their names; rows
+may repeat; an empty table gives no rows. ``decode_pieces``: null and empty lists give an empty text, null ids are left out, and ids that
+the model does not have raise ``IndexError``.
 Encoding then decoding returns the text, but for U+2581, which the model holds to be a space.
 """
 
@@ -29,18 +34,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import id_and, int_lists, texts_of
+from .common import id_and, int_lists, slices, texts_of
 
 SPACE = "▁"
 #: a segment longer than this is relaxed with a heap instead of side by side with others
 LONG = 48
-#: distinct segments a worker remembers before it starts anew
-REMEMBERED = 1_000_000
-#: characters of new segments that are indexed at once
-INDEXED = 1 << 20
+#: bytes of distinct segments and their ids that a worker remembers, in each of two generations
+REMEMBERED = 40 << 20
+#: characters of new segments that are indexed at once; bytes of texts, and ids, that are worked on at once
+INDEXED, SLICE, IDS = 1 << 17, 1 << 19, 1 << 17
 
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -96,20 +102,31 @@ class PieceModel:
             self.codes[row, : len(self.pieces[i])] = [ord(c) for c in self.pieces[i]]
         self.lengths = (self.codes > 0).sum(axis=1).astype(np.int64)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     # -- encoding ---------------------------------------------------------------------------------
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian int32 ids of each text."""
         split = [segments(t) for t in texts]
-        known, words = self.known, set().union(*split)
-        new = words.difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = words
-        for group in _groups(list(new), INDEXED):
-            known.update(zip(group, self.encode_segments(group)))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        known, older, new = self.known, self.older, []
+        for w in set().union(*split).difference(known):
+            if (ids := older.get(w)) is not None:
+                self._remember(w, ids)
+            else:
+                new.append(w)
+        for group in _groups(new, INDEXED):
+            for w, ids in zip(group, self.encode_segments(group)):
+                self._remember(w, ids)
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        if self.held > REMEMBERED:  # what has not been seen again by the next time is forgotten
+            self.known, self.older, self.held = {}, known, 0
+        return out
+
+    def _remember(self, word: str, ids: bytes) -> None:
+        self.known[word] = ids
+        self.held += 200 + 4 * len(word) + len(ids)  # about what the two objects and their entry take
 
     def encode_segments(self, segs: list[str]) -> list[bytes]:
         text, starts, lengths = _concatenated(segs)
@@ -129,14 +146,17 @@ class PieceModel:
 
     def lattice(self, text: np.ndarray) -> np.ndarray:
         """Piece id + 1 of the edge that begins at each position with each length (0: none)."""
-        order, keys, code_of = suffix_array(text, self.depth)
-        low, high, present = _piece_keys(self.codes, self.lengths, self.depth, code_of, len(keys))
-        first, last = _search(keys, low, False), _search(keys, high, True)
-        n = np.where(present, last - first, 0)
-        rows = np.repeat(np.arange(len(n)), n)
-        at = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
         edges = np.zeros((len(text), self.depth + 1), dtype=np.int32)
-        edges[at, self.lengths[rows]] = self.ids[rows] + 1
+        for start in range(0, len(text), 2 * INDEXED):  # one window, but for a long segment
+            window = text[start: start + 2 * INDEXED + self.depth]
+            order, keys, code_of = suffix_array(window, self.depth)
+            low, high, present = _piece_keys(self.codes, self.lengths, self.depth, code_of, len(keys))
+            first, last = _search(keys, low, False), _search(keys, high, True)
+            n = np.where(present, last - first, 0)
+            rows = np.repeat(np.arange(len(n)), n)
+            at = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
+            own = at < 2 * INDEXED
+            edges[start + at[own], self.lengths[rows[own]]] = self.ids[rows[own]] + 1
         return edges
 
     def symbol_ids(self, edges, text, left, right, of):
@@ -156,7 +176,10 @@ class PieceModel:
 
     # -- decoding ---------------------------------------------------------------------------------
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int | None]) -> str:
+        ids = [i for i in ids if i is not None]
+        if ids and not 0 <= min(ids) <= max(ids) < len(self.raw):
+            raise IndexError(f"the model has the ids 0 to {len(self.raw) - 1}, not {min(ids)} to {max(ids)}")
         data = b"".join(map(self.raw.__getitem__, ids))
         first = next((i for i in ids if self.raw[i]), None)
         text = data.decode("utf-8", "each_byte")
@@ -299,34 +322,37 @@ def _relaxed_side_by_side(edges, rank, starts, lengths):
 
 def _relaxed_with_heap(edges, rank, start: int, length: int):
     """The same joins for one long segment: a heap of edges and a chain of symbols."""
-    end = start + length
-    right = {i: i + 1 for i in range(start, end)}
-    before = {i: i - 1 for i in range(start, end)}
+    right = np.arange(1, length + 1)  # where the symbol at each place ends; 0: no symbol begins there
+    before = np.arange(-1, length - 1)
     depth = edges.shape[1]
+    bits = max(1, length.bit_length())
 
     def edge(i):
-        j = right.get(i)
-        if j is None or j >= end:
+        """The join of the symbol at i with the next one, as one number: rank, then place."""
+        j = int(right[i])
+        if j >= length:
             return None
-        k = right[j]
-        p = edges[i, k - i] if k - i < depth else 0
-        return (int(rank[p - 1]), i, j, k) if p else None
+        k = int(right[j])
+        p = edges[start + i, k - i] if k - i < depth else 0
+        return (int(rank[p - 1]) << bits | i) if p else None
 
-    heap = [e for e in map(edge, range(start, end)) if e]
+    heap = [e for e in map(edge, range(length)) if e is not None]
     heapq.heapify(heap)
     while heap:
-        _, i, j, k = heapq.heappop(heap)
-        if right.get(i) != j or right.get(j) != k:
+        e = heapq.heappop(heap)
+        i = e & (1 << bits) - 1
+        if not right[i] or edge(i) != e:  # joined with another meanwhile
             continue
-        right[i] = k
-        del right[j]
-        if k < end:
+        j = int(right[i])
+        k = int(right[j])
+        right[i], right[j] = k, 0
+        if k < length:
             before[k] = i
-        for e in (edge(before[i]) if i > start else None, edge(i)):
-            if e:
-                heapq.heappush(heap, e)
-    left = np.array(sorted(right), dtype=np.int64)
-    return left, np.array([right[i] for i in left.tolist()], dtype=np.int64)
+        for x in (edge(int(before[i])) if i else None, edge(i)):
+            if x is not None:
+                heapq.heappush(heap, x)
+    left = np.flatnonzero(right)
+    return left + start, right[left] + start
 
 
 def encode_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
@@ -340,8 +366,7 @@ def encode_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path:
     def run(parts):
         model = load_model(path)
         for batch in parts:
-            for start in range(0, batch.num_rows, 2000):
-                rows = batch.slice(start, 2000)
+            for rows in slices(batch, SLICE):
                 got = model.encode(texts_of(rows))
                 values = np.frombuffer(b"".join(got), dtype="<i4")
                 lengths = [len(g) // 4 for g in got]
@@ -363,8 +388,10 @@ def decode_pieces(df: DataFrame, key: str = "doc_id", ids: str = "ids", path: st
     def run(parts):
         model = load_model(path)
         for batch in parts:
-            for start in range(0, batch.num_rows, 500):
-                rows = batch.slice(start, 500)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, IDS), side="left")).tolist()
+            for start, end in zip(cuts, [*cuts[1:], batch.num_rows]):
+                rows = batch.slice(start, end - start)
                 texts = [model.decode(x or []) for x in rows.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([rows.column(0), *rows.columns[2:], pa.array(texts, pa.string())],
                                                  names=[f.name for f in fields])

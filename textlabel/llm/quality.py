@@ -6,13 +6,15 @@ the two compressed sizes over the size of the text. A logistic curve, fitted on
 dictionary, turns it into log-odds that are added to those of the labels, weighed by bytes / (bytes + ``WEAK``): a text of
 a few words is judged little by them.
 
-Fitting reads at most about ``per_label`` documents of each label and ``BLOCKS`` blocks of each. Null and empty texts score
-the share of label 1; without labels of both kinds every text scores 0.5. Rows may repeat; columns
-other than key and text are only carried along.
+Fitting reads about ``per_label`` documents of each label and about ``blocks`` of their blocks, drawn over all of them. Null and empty
+texts score the share of label 1; without labels of both kinds (an empty table too) every text scores 0.5. Rows may repeat; columns
+other than key and text are only carried along. Equal sizes under both dictionaries, a tie, score the share of label 1 moved by the curve's
+offset.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,11 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_share, map_texts
+from .common import hash_share, map_texts, stored
 
 BLOCK = 2048
-#: blocks of a document that are used to fit
-BLOCKS = 8
 DICTIONARY = 64 << 10
 LEVEL = 3
 #: bytes of text at which the compressed sizes count by half
@@ -108,24 +108,28 @@ def logistic_curve(x: np.ndarray, weight: np.ndarray, y: np.ndarray, share: floa
 
 
 def learn_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-                  per_label: int = 1500, seed: int = 9) -> QualityModel | None:
-    """Fit on about ``per_label`` documents of each label, a sample by hash of the key."""
+                  per_label: int = 1500, seed: int = 9, blocks: int = 24_000) -> QualityModel | None:
+    """Fit on about ``per_label`` documents of each label, a sample by hash of the key, one row of each key, and of their blocks on about
+    ``blocks``, a sample by hash over all of them: no more is gathered, whatever the keys and the texts' length."""
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).filter(F.col("_label").isin(0, 1)).distinct()
     sizes = known.groupBy("_label").agg(F.count(F.lit(1)).alias("_n"), (F.lit(float(per_label)) / F.count(F.lit(1))).alias("_share"))
     counts = {r["_label"]: r["_n"] for r in sizes.collect()}
     if len(counts) < 2:
         return None
     picked = known.join(F.broadcast(sizes), "_label").filter(hash_share(F.col("_key"), F.col("_share"), seed)).select("_key", "_label")
-    sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(picked), "_key")  # 2 x per_label rows
+    named = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.md5(text).alias("_digest"))
+    sample = stored(named.join(F.broadcast(picked), "_key").groupBy("_key", "_label").agg(F.min_by("_text", "_digest").alias("_text")))  # 2 x per_label rows
+    held = sample.agg(F.coalesce(F.sum(F.ceil(F.octet_length("_text") / BLOCK)), F.lit(0)).alias("n")).first()["n"]
+    share = min(1.0, blocks / max(held, 1))
 
     def cut(parts):
         for batch in parts:
             for key_, text_, label_ in zip(*(c.to_pylist() for c in batch.columns)):
-                blocks = blocks_of(text_ or "")
-                if blocks:
-                    chosen = np.random.default_rng(len(blocks)).permutation(len(blocks))[:BLOCKS]
-                    yield pa.RecordBatch.from_arrays([pa.array([str(key_)]), pa.array([label_], pa.int32()),
-                                                      pa.array([[blocks[i] for i in sorted(chosen)]], pa.list_(pa.binary()))], names=["key", "label", "blocks"])
+                found = blocks_of(text_ or "")
+                chosen = [b for i, b in enumerate(found) if share == 1.0 or zlib.crc32(f"{i}:".encode() + b) < share * 2 ** 32]
+                if chosen:
+                    yield pa.RecordBatch.from_arrays([pa.array([str(key_)]), pa.array([label_], pa.int32()), pa.array([chosen], pa.list_(pa.binary()))],
+                                                     names=["key", "label", "blocks"])
 
     rows = sample.select("_key", "_text", "_label").mapInArrow(cut, "key string, label int, blocks array<binary>").collect()
     rows.sort(key=lambda r: (r["key"], r["label"], [bytes(b) for b in r["blocks"]]))

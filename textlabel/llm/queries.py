@@ -43,7 +43,7 @@ def op5_language(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = langid.learn_languages(docs.filter(remainder("doc_id", 3) != 1))
     out = langid.predict_language(docs, model)
-    return out.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+    return out.select("doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op6_token_counts(spark, sf_dir):
@@ -62,7 +62,7 @@ def op9_quality(spark, sf_dir):
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     model = quality.learn_quality(docs, labels.filter(remainder("doc_id", 5) != 0))
     out = quality.score_quality(docs, model)
-    return out.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return out.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op10_near_duplicates(spark, sf_dir):
