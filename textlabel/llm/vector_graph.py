@@ -232,8 +232,29 @@ def _united(built: DataFrame) -> DataFrame:
     return rows.mapInArrow(merged, built.schema)
 
 
+def _names(nodes: list[bytes]) -> list[bytes]:
+    """What a node is called in links: 12 bytes of the md5 of its vector, as ``_named`` has it."""
+    return [hashlib.md5(v).digest()[:12] for v in nodes]
+
+
+def _named(nodes: DataFrame) -> DataFrame:
+    return nodes.withColumn("name", F.unhex(F.substring(F.md5("node"), 1, 24)))
+
+
+def _pairs(left: list[bytes], right: list[bytes], a: np.ndarray, b: np.ndarray):
+    """The distinct pairs (smaller name, larger name) of left[a] and right[b], a slice at a time; a node is not linked with itself."""
+    names = sorted({*left, *right})
+    number = {v: i for i, v in enumerate(names)}
+    a, b = (np.array([number[v] for v in side], np.int64)[at] for side, at in ((left, a), (right, b)))
+    pairs = np.unique(np.minimum(a, b)[a != b] * len(names) + np.maximum(a, b)[a != b])
+    names = pa.array(names, pa.binary())
+    for start in range(0, len(pairs), 20_000):
+        some = pairs[start: start + 20_000]
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(x)) for x in (some // len(names), some % len(names))], names=["a", "b"])
+
+
 def _links(found: DataFrame, nodes: DataFrame, shared, probes: int, similarity: float) -> DataFrame:
-    """Distinct linked pairs (a < b) of nodes found by looking in ``probes`` shards for each node."""
+    """Distinct linked pairs (a < b, by name) of nodes found by looking in ``probes`` shards for each node."""
     block = F.pmod(F.shiftright(F.xxhash64("node"), 7), F.col("blocks"))
     routes = _routes(nodes, shared, probes, {})
     blocks = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SIDE_BY_SIDE).alias("blocks"))  # at most CENTRES a width
@@ -247,19 +268,13 @@ def _links(found: DataFrame, nodes: DataFrame, shared, probes: int, similarity:
                 x, q = matrix(members), matrix(asked_)
                 table = neighbour_table(len(x), batch.column(1)[i].values.to_numpy(), batch.column(2)[i].values.to_numpy())
                 a, b, _ = range_search(x, table, q, similarity)
-                # in a group of copies every pair is linked: each vector is held once, and a slice of the pairs is written at a time
-                right = members.to_pylist()
-                once = {v: v for v in right}
-                left = [once.get(v, v) for v in asked_.to_pylist()]
-                pairs = list({(u, v) if u < v else (v, u) for u, v in ((left[j], right[k]) for j, k in zip(a.tolist(), b.tolist())) if u != v})
-                for start in range(0, len(pairs), 20_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in zip(*pairs[start: start + 20_000])], names=["a", "b"])
+                yield from _pairs(_names(asked_.to_pylist()), _names(members.to_pylist()), a, b)
 
     return rows.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _compared(built: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Distinct linked pairs (a < b): every node against all members of all parts, in blocks."""
+    """Distinct linked pairs (a < b, by name): every node against all members of all parts, in blocks."""
     block = F.pmod(F.xxhash64("node"), F.lit(max(1, -(-nodes.count() // SIDE_BY_SIDE))))
     asked = nodes.select("node", F.length("node").alias("width")).groupBy("width", block.alias("block")).agg(F.collect_list("node").alias("queries"))
     rows = asked.join(built.select("members", F.length(F.col("members")[0]).alias("width")), "width").select("members", "queries")
@@ -268,18 +283,16 @@ def _compared(built: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
         for batch in parts:
             for i in range(batch.num_rows):
                 members, queries = batch.column(0)[i].values, batch.column(1)[i].values
-                x, left, right = matrix(members), queries.to_pylist(), members.to_pylist()
-                for start in range(0, len(left), 16):  # in a group of copies every pair is linked
-                    a, b = np.nonzero(matrix(queries[start: start + 16]) @ x.T >= similarity)
-                    pairs = [(left[start + j], right[k]) for j, k in zip(a.tolist(), b.tolist()) if left[start + j] < right[k]]
-                    if pairs:
-                        yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in zip(*pairs)], names=["a", "b"])
+                x, left, right = matrix(members), _names(queries.to_pylist()), _names(members.to_pylist())
+                for start in range(0, len(left), 256):  # in a group of copies every pair is linked
+                    a, b = np.nonzero(matrix(queries[start: start + 256]) @ x.T >= similarity)
+                    yield from _pairs(left[start: start + 256], right, a, b)
 
     return rows.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def true_links(nodes: DataFrame, similarity: float, seed: int = 3) -> DataFrame:
-    """All links (a < b) of a hash sample of nodes that holds AUDIT_LINKS links, or of all nodes if they have no more."""
+    """All links (a < b, by name) of a hash sample of nodes that holds AUDIT_LINKS links, or of all nodes if they have no more."""
     n = nodes.count()
     place = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 40))
     truth, done, step = None, 0.0, AUDIT_NODES
@@ -295,7 +308,7 @@ def true_links(nodes: DataFrame, similarity: float, seed: int = 3) -> DataFrame:
 
 
 def _links_of(some: list[bytes], nodes: DataFrame, similarity: float) -> DataFrame:
-    """Distinct links (a < b) of the given nodes, compared with all nodes."""
+    """Distinct links (a < b, by name) of the given nodes, compared with all nodes."""
     queries = nodes.sparkSession.sparkContext.broadcast(some)
 
     def brute(parts):
@@ -309,10 +322,7 @@ def _links_of(some: list[bytes], nodes: DataFrame, similarity: float) -> DataFra
                 rows = column.take(pa.array(np.flatnonzero(widths == w)))
                 if len(rows):
                     a, b = np.nonzero(matrix(pa.array(asked, pa.binary())) @ matrix(rows).T >= similarity)
-                    pairs = [(asked[i], rows[j].as_py()) for i, j in zip(a.tolist(), b.tolist())]
-                    pairs = [(min(p), max(p)) for p in pairs if p[0] != p[1]]
-                    if pairs:
-                        yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in zip(*pairs)], names=["a", "b"])
+                    yield from _pairs(_names(asked), _names(rows.to_pylist()), a, b)
 
     return nodes.select("node").mapInArrow(brute, "a binary, b binary").distinct()
 
@@ -324,7 +334,7 @@ def audit(links: DataFrame, truth: DataFrame) -> float:
 
 
 def find_links(nodes: DataFrame, similarity: float, recall: float, probes: int = PROBES, seed: int = 4) -> DataFrame:
-    """Distinct linked pairs (a < b) among distinct unit vectors."""
+    """Distinct linked pairs (a < b, by name) among distinct unit vectors."""
     by_width: dict[int, list[bytes]] = {}
     for p in pivots(nodes, CENTRES, seed):
         by_width.setdefault(len(p), []).append(p)
@@ -358,17 +368,27 @@ def _linkable(vector: str):
     return usable(vector) & F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _components(links: DataFrame) -> DataFrame:
+    """(name, component) of all linked nodes. Each node first goes to the smallest of itself and its neighbours, which leaves few links
+    between different heads (none in a group whose members are all linked); their components are those of the nodes."""
+    both = links.union(links.select(F.col("b"), F.col("a"))).toDF("name", "other")
+    heads = stored(both.groupBy("name").agg(F.min("other").alias("least")).select("name", F.least("name", "least").alias("head")))
+    between = (links.join(heads.toDF("a", "ha"), "a").join(heads.toDF("b", "hb"), "b").filter("ha <> hb").select(F.col("ha").alias("a"), F.col("hb").alias("b")).distinct())
+    joined = components(between).toDF("head", "component")
+    return heads.join(joined, "head", "left").select("name", F.coalesce("component", "head").alias("component"))
+
+
 def vector_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", similarity: float = 0.95, recall: float = 0.99) -> DataFrame:
     """(key, n_links, component_id, kept) of every row."""
     ready = stored(packed(df, key, vector, unit))
     nodes = stored(ready.groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")))
     links = find_links(nodes.select("node"), similarity, recall)
-    both = links.union(links.select(F.col("b"), F.col("a"))).toDF("node", "other")
-    linked = (both.join(nodes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(F.sum("copies").alias("others")))
-    member = components(links).select("node", "component")
-    of_node = (nodes.join(linked, "node", "left").join(member, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    small = stored(_named(nodes).select("name", "least", "copies"))
+    both = links.union(links.select(F.col("b"), F.col("a"))).toDF("name", "other")
+    linked = (both.join(small.select(F.col("name").alias("other"), "copies"), "other").groupBy("name").agg(F.sum("copies").alias("others")))
+    of_node = (small.join(linked, "name", "left").join(_components(links), "name", "left").withColumn("component", F.coalesce("component", "name")))
     least = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = of_node.join(least, "component").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
-    found = ready.join(known, "node").select(F.col("id").alias(key), "n_links", "component_id")
+    known = of_node.join(least, "component").select("name", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
+    found = _named(ready).select("id", "name").join(known, "name").select(F.col("id").alias(key), "n_links", "component_id")
     rest = df.filter(~_linkable(vector)).select(F.col(key), F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"))
     return found.union(rest).withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
