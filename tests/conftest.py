@@ -3,8 +3,13 @@ import sys
 import tempfile
 
 import pytest
+from pyspark import cloudpickle
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+
+import stubs  # noqa: E402
+
+cloudpickle.register_pickle_by_value(stubs)  # workers do not see this folder
 
 SF = "/root/testdata/sf0.001"
 

@@ -132,3 +132,35 @@ def test_approx_quantiles_close_to_exact(spark):
     approx = P.describe_length(df, approx=True).first()
     for k in ("p25", "p50", "p75"):
         assert abs(exact[k] - approx[k]) <= 2.0
+
+
+@pytest.mark.parametrize("kind", ["spread", "copies", "two", "few", "empty"])
+def test_exact_quantiles_of_any_distribution(spark, monkeypatch, kind):
+    from textlabel.operators import profile as P
+    monkeypatch.setattr(P, "SMALL", 50)  # so that bounds are narrowed in passes
+    rng = np.random.default_rng(2)
+    values = {"spread": np.sign(rng.normal(size=20_000)) * 10.0 ** rng.uniform(-300, 300, 20_000), "copies": rng.integers(0, 9, 20_000).astype(float),
+              "two": np.array([0.0] * 9000 + [5.0] + [1e9] * 9000), "few": np.array([3.0, 1.0]), "empty": np.array([])}[kind]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(7)
+    got = P.exact_quantiles(df, "v", [0.0, 0.25, 0.5, 0.77, 1.0]).first()
+    if not len(values):
+        assert tuple(got) == (None,) * 5
+    else:
+        assert np.allclose(list(got), np.quantile(values, [0.0, 0.25, 0.5, 0.77, 1.0]), rtol=1e-12)
+
+
+def test_correlations_by_pairs_of_present_values(spark):
+    from textlabel.operators.moments import correlations
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 6)) + 1e8  # large means, small spread
+    x[:, 3] = x[:, 1] * 2 + rng.normal(size=500)
+    x[:, 4] = 7.0
+    rows = [tuple(None if rng.random() < 0.1 else float(v) for v in r) for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(6))).repartition(5)
+    got = correlations(df, {c: F.col(c) for c in df.columns})
+    table = pd.DataFrame(rows, columns=df.columns, dtype=float) - 1e8
+    assert np.allclose(np.nan_to_num(got, nan=9.0), np.nan_to_num(table.corr().values, nan=9.0), atol=1e-6)
+    assert got[1, 3] == pytest.approx(df.agg(F.corr("c1", "c3")).first()[0], abs=1e-6)
+    assert np.isnan(correlations(df.limit(0), {c: F.col(c) for c in df.columns})).all()
+    many = spark.range(300).select(*[(F.rand(i) + F.col("id") * (i % 3)).alias(f"m{i}") for i in range(200)])
+    assert correlations(many, {c: F.col(c) for c in many.columns}).shape == (200, 200)

@@ -111,3 +111,36 @@ def test_label_json_layout(spark):
     df = spark.createDataFrame([(1, 0)], "a int, b int")
     got = df.select(J.label_json([F.col("a"), F.col("b")], ["a", "b"], indent="  ")).first()[0]
     assert got == '  {\n      "a": 1,\n      "b": 0  \n  }'
+
+
+JSON_TEXTS = ['{"quality": 1, "toxic": 0}', '{ }', '{}', '{"a": 1,}', '{"a": 1} and {"b": 2}', '{"a": 1, "a": 2}', '{"a": NaN}', '{"a": [1, 2]}', '{"a": {"b": 1}}',
+              '{"a": "x{y"}', '{"a": "tab\\t"}', '{"a": "raw\ttab"}', '{"a": 01}', '{"a": -0}', '{"a": 1e400}', '{"a": 1e5}', '{"a": 12345678901234567890}',
+              "{'a': 1}", '{"a": tru}', '{"a": true}', '{"a" : null , "b":"x"}', '{"a": 1}}', '{"a": 1} }', '{"\\u0061": 1, "a": 2}', '{"a": 1.}', '{"a": .5}', '{"a": +1}',
+              '{"a":1\n,\r\n"b":2}', '{"a": 1\u00a0}', '{"a": "{\\"b\\": 1}"}', '{"a" 1}', '{"a": "unclosed}', '{"k: 1}', None]
+
+
+def test_flat_json_decides_as_python_does(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(JSON_TEXTS)], "i long, t string")
+    canonical, rest = J.flat_json("t")
+    for r in df.select("t", canonical.alias("c"), rest.alias("r")).collect():
+        if r["r"]:
+            continue  # left to Python
+        try:
+            want = json.loads(r["t"]) if r["t"] is not None else None
+        except ValueError:
+            want = None
+        assert (json.loads(r["c"]) if r["c"] is not None else None) == want, r
+    left = [r["t"] for r in df.filter(rest).collect()]
+    assert '{"quality": 1, "toxic": 0}' not in left and '{"a": 1} and {"b": 2}' not in left and '{"a": 01}' not in left
+    long = spark.createDataFrame([("{" + ", ".join(f'"k{i}": {i}' for i in range(20_000)) + "}",)], "t string")
+    assert long.select(J.flat_json("t")[1]).first()[0] is False
+
+
+def test_answers_decided_by_expressions_meet_no_python(spark):
+    from textlabel.operators import answers as A
+    raw = [(i, t) for i, t in enumerate(["Sure! {\"a\": 1} ok", "no", "{\"a\": true, \"note\": \"x\"}", "{\"a\": 1", "{\"a\": [1]}", "{\"a\": 0, \"a\": 1}"])]
+    out = A.parse_answers(spark.createDataFrame(raw, "doc_id long, raw string"), ["a"])
+    assert {r["doc_id"]: (r["parse_ok"], r["a"]) for r in out.collect()} == {0: (True, 1.0), 1: (False, None), 2: (True, 1.0), 3: (False, None), 4: (True, None), 5: (True, 1.0)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    told, asked = plan.split("\n:- ", 1)[1].split("\n+- ", 1)
+    assert "strict_json" not in told and "strict_json" in asked  # the branches of the union

@@ -2,10 +2,13 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from textlabel.operators import prompts as PR
-from textlabel.operators.inference import RuleStub, batch_infer, call_with_retry
+from stubs import Counted, RuleStub
+from textlabel.operators.inference import batch_infer, call_with_retry
 
 TRAITS2 = [("Quality", "quality"), ("Toxicity", "toxic")]
 
@@ -134,3 +137,52 @@ def test_batch_predictor(spark):
     rows = {r["doc_id"]: r for r in batch_infer(prompts, Batch, wait_min=0, wait_max=0).collect()}
     assert rows[1]["raw"] == '{"n": 2}' and rows[3]["raw"] == '{"n": 4}'
     assert rows[2]["status"] == "no_prompt" and rows[1]["attempts"] == 1
+
+
+def test_ledger_goes_on_after_a_killed_task(spark, tmp_path):
+    from collections import Counter
+
+    from textlabel.operators import ledger as LG
+    rows = [(i, "x" * i) for i in range(1, 200)] + [(5, "xxxxx"), (300, None), (None, "null key")]
+    prompts = spark.createDataFrame(rows, "doc_id long, prompt string")
+    store, folder = f"{tmp_path}/store", str(tmp_path)
+    ask = lambda df: LG.answer_all(df, lambda: Counted(folder), store, chunk_rows=20, max_attempts=1, wait_min=0, wait_max=0)
+    with pytest.raises(Exception):
+        ask(prompts)  # a local task is not tried again: the job fails with the task
+    first = Counter(open(f"{folder}/asked").read().split())
+    got = {(r["doc_id"], r["raw"], r["status"]) for r in ask(prompts).collect()}
+    assert got == {(k, None if p is None else str(len(p)), "no_prompt" if p is None else "ok") for k, p in rows}
+    calls = Counter(open(f"{folder}/asked").read().split())
+    again = [k for k, n in calls.items() if n > 1]
+    kept = LG.answers_in(spark, store).count()
+    assert kept == 201 and len(first) > 0 and len(again) <= 8 * 20  # at most the questions of the tasks under way
+    ask(prompts.union(spark.createDataFrame([(400, "new")], "doc_id long, prompt string"))).collect()
+    later = Counter(open(f"{folder}/asked").read().split())
+    assert later - calls == Counter({"400": 1})
+
+
+def test_ledger_asks_failed_rows_again(spark, tmp_path):
+    from textlabel.operators import ledger as LG
+
+    class Flaky:
+        def answer(self, key, prompt):
+            import os
+            mark = f"{tmp_path}/m{key}"
+            if key % 2 and not os.path.exists(mark):
+                open(mark, "w").close()
+                raise RuntimeError("busy")
+            return "fine"
+
+    prompts = spark.createDataFrame([(i, "p") for i in range(10)], "doc_id long, prompt string")
+    got = LG.answer_all(prompts, Flaky, f"{tmp_path}/store", max_attempts=1, wait_min=0, wait_max=0).collect()
+    assert len(got) == 10 and all(r["status"] == "ok" and r["attempts"] == 1 + r["doc_id"] % 2 for r in got)
+
+
+def test_fates_add_up_to_the_sample(spark):
+    from textlabel.plans import queries as Q
+    fates = Q.experiment_fates(spark, "/root/testdata/sf0.001").collect()
+    totals = {}
+    for r in fates:
+        totals[r["run"]] = totals.get(r["run"], 0) + r["n"]
+    n = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").count()
+    assert set(totals.values()) == {round(0.5 * n)} and {r["fate"] for r in fates} <= {"no_prompt", "failed", "unparsed", "kept"}

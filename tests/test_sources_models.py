@@ -32,6 +32,44 @@ def test_csv_mac_roman_multiline(spark, tmpdir_path):
     assert rows["a1"]["cOPN"] == "x" and rows["a2"]["cAGR"] is None
 
 
+ODD_CSV = ['a1,"Café ’quoted’ ""x""\nsecond line\n\n,""",y,n', "a2,plain,n,", '"a3","""","",""', "", 'a4,"\n\n""\n",x,y', "a5,,,"]
+ODD_CSV += [f'b{i},"{"line of text é" * (i % 40)}\n""{i}"" , end\n",{"yn"[i % 2]},n' for i in range(300)] + ['c,"' + "long\n" * 3000 + '",y,n']
+
+
+@pytest.mark.parametrize("splits", [1, 4, 17, 400])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_by_byte_ranges_equals_the_plain_reader(spark, tmpdir_path, splits, end):
+    p = os.path.join(tmpdir_path, "odd.csv")
+    body = ("id,TEXT,p,q\n" + "\n".join(ODD_CSV)).replace("\n", end)  # no line end behind the last record
+    with open(p, "wb") as f:
+        f.write(body.encode("mac_roman"))
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    plain = (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+             .option("encoding", "x-MacRoman").option("mode", "FAILFAST").csv(p))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        want = sorted(map(tuple, plain.collect()), key=repr)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(-(-os.path.getsize(p) // splits)))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        lines = spark.read.option("lineSep", "\n").text(p)
+        assert lines.rdd.getNumPartitions() >= min(splits, 8)
+        got = sorted(map(tuple, C.read_corpus_csv(spark, p).collect()), key=repr)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want and len(want) == len(ODD_CSV) - 1
+
+
+def test_csv_of_several_files_and_a_schema(spark, tmpdir_path):
+    for i in range(3):
+        _write_csv(os.path.join(tmpdir_path, f"part{i}.csv"), [f'a{i},"text\n{i}",y,n,y,n,x'])
+    schema = C.corpus_schema(extra=["#AUTHID"])
+    got = C.read_corpus_csv(spark, tmpdir_path, schema)
+    assert sorted((r["#AUTHID"], r["TEXT"]) for r in got.collect()) == [(f"a{i}", f"text\n{i}") for i in range(3)] and got.schema == schema
+    with pytest.raises(ValueError):
+        C.read_corpus_csv(spark, tmpdir_path, C.corpus_schema(extra=["OTHER"]))
+
+
 def test_missing_text_column_raises(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "bad.csv")
     _write_csv(p, ["a1,y"], header="#AUTHID,cEXT")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textlabel.operators import prompts as PR
 from textlabel.operators import sampling as S
 from textlabel.operators import sequences as SQ
-from textlabel.operators.inference import RuleStub
+from stubs import RuleStub
 from textlabel.plans import pipelines as PL
 from textlabel.sources import corpus as C
 

@@ -1,9 +1,9 @@
 """Answer-to-JSON expressions (JSN1-JSN4).
 
-Native paths: brace extraction (both cutting rules) and typed key lookup on a VARIANT.
-Strict validation needs Python's ``json`` grammar (Spark's readers accept trailing text
-after the first object, and NaN / duplicate keys differ), so ``strict_json`` is one
-Arrow-batched pandas UDF that only validates and canonicalises the extracted text.
+Native paths: brace extraction (both cutting rules), the strict grammar of flat objects and typed key lookup on a VARIANT.
+Spark's readers accept trailing text after the first object, and NaN / duplicate keys differ from Python's ``json``. So
+``flat_json`` decides every answer that is a flat object or cannot be one by expressions; only what is left (nested values, escapes,
+NaN, very long numbers, repeated keys) needs ``strict_json``, an Arrow-batched pandas UDF.
 """
 
 from __future__ import annotations
@@ -66,17 +66,34 @@ def strict_json(s: pd.Series) -> pd.Series:
     return s.map(_canonical)
 
 
-def lenient_json(c) -> Column:
-    """Native alternative to ``strict_json``: Spark's own (more lenient) JSON parser."""
-    v = F.try_parse_json(_col(c))
-    return F.when(v.isNotNull(), F.to_json(v))
+_WS = r"[ \t\n\r]*+"
+_PLAIN_STRING = r'"[^"\\\x00-\x1f]*+"'
+_NUMBER = r"-?+(?:0|[1-9]\d{0,14}+)(?:\.\d{1,15}+)?+(?:[eE][+-]?+\d{1,2}+)?+"
+_PAIR = f"{_PLAIN_STRING}{_WS}:{_WS}(?:{_PLAIN_STRING}|{_NUMBER}|true|false|null){_WS}"
+#: a flat object without escapes, with numbers that a double holds; possessive, so that it takes one pass and no stack
+FLAT = rf"\A\{{{_WS}(?:{_PAIR}(?:,{_WS}{_PAIR})*+)?+\}}{_WS}\z"
+#: what Python may read and FLAT does not: escapes, nesting, NaN and infinities, long numbers
+BEYOND = r"(?s)[\\\[]|.\{|NaN|Infinity|\d{16}|[eE][+-]?\d{3}"
+#: strings aside, a flat object that closes before the text ends: no JSON, whatever follows
+TRAILED = r"(?s)\A\{[^{}\[\]]*+\}.*[^ \t\n\r]"
 
 
-def parse_answer(raw, strict: bool = True, cut: str = "greedy") -> Column:
-    """JSN3 front half: strip, cut out the object, validate -> canonical JSON text or null."""
+def flat_json(c) -> tuple[Column, Column]:
+    """(canonical JSON or null, whether only Python's grammar can tell) of an extracted object."""
+    c = _col(c)
+    flat = c.rlike(FLAT)
+    keys = F.regexp_extract_all(c, F.lit(rf'"([^"]*+)"{_WS}:'), 1)
+    again = F.size(F.array_distinct(keys)) < F.size(keys)
+    bare = F.regexp_replace(c, r'"[^"]*+"', '""')
+    trailed = ~c.contains("\\") & bare.rlike(TRAILED)
+    rest = F.coalesce(F.when(flat, again).otherwise(c.rlike(BEYOND) & ~trailed), F.lit(False))
+    return F.when(flat, F.when(F.size(keys) == 0, "{}").otherwise(c)), rest
+
+
+def cut_answer(raw, cut: str = "greedy") -> Column:
+    """JSN3 front half: strip, cut out the object."""
     trimmed = strip(_col(raw))
-    extracted = extract_braces(trimmed) if cut == "greedy" else extract_braces_split(trimmed)
-    return strict_json(extracted) if strict else lenient_json(extracted)
+    return extract_braces(trimmed) if cut == "greedy" else extract_braces_split(trimmed)
 
 
 def parse_ok(canonical) -> Column:

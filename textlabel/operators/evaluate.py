@@ -96,6 +96,23 @@ def bce_with_logits(x, y) -> F.Column:
     return F.greatest(x, F.lit(0.0)) - x * y + F.log1p(F.exp(-F.abs(x)))
 
 
+def bce_losses(cells: DataFrame, logit: str = "logit") -> DataFrame:
+    """AG21 both ways in one pass: (bce, bce_double_sigmoid)."""
+    x = F.col(logit).cast("double")
+    return cells.agg(F.avg(bce_with_logits(x, F.col("actual"))).alias("bce"),
+                     F.avg(bce_with_logits(F.lit(1.0) / (F.lit(1.0) + F.exp(-x)), F.col("actual"))).alias("bce_double_sigmoid"))
+
+
+def accuracy_rollup(cells: DataFrame, key: str = "doc_id") -> DataFrame:
+    """AG13, AG14, AG19 in one pass: (trait, accuracy, n_rows) for every trait and for ``all``; n_rows counts distinct keys."""
+    hit = F.when(F.col("actual") == F.col("predicted"), 1.0).otherwise(0.0)
+    per_row = cells.groupBy(key, "trait").agg(F.sum(hit).alias("_hits"), F.count(F.lit(1)).alias("_cells"))
+    per_key = per_row.groupBy(key).agg(F.collect_list(F.struct("trait", "_hits", "_cells")).alias("_t"), F.sum("_hits").alias("_hits"), F.sum("_cells").alias("_cells"))
+    both = F.concat("_t", F.array(F.struct(F.lit("all").alias("trait"), "_hits", "_cells")))  # a key has as many entries as there are traits
+    rows = per_key.select(F.explode(both).alias("t")).select("t.*")
+    return rows.groupBy("trait").agg((F.sum("_hits") / F.sum("_cells")).alias("accuracy"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def bce_loss(cells: DataFrame, logit: str = "logit", double_sigmoid: bool = False,
              by: list[str] | None = None) -> DataFrame:
     """AG21: mean BCE-with-logits over cells; ``double_sigmoid`` feeds sigmoid(logit) as the

@@ -93,3 +93,27 @@ def with_contraction_prefix(df: DataFrame) -> DataFrame:
     arr = F.array(*[F.lit(p) for p in CONTRACTION_PREFIXES])
     pick = F.element_at(arr, (F.col("doc_id") % len(CONTRACTION_PREFIXES) + 1).cast("int"))
     return df.withColumn("text", F.concat(pick, F.col("text")))
+
+
+def ruled_answers(prompts: DataFrame, by: tuple = ()) -> DataFrame:
+    """(by, doc_id, raw, status, attempts): answers to parse, as a plain rule on the prompt's length and the key. The layout goes by
+    doc_id mod 7 (no object, an unclosed one, one in prose, a clean one, a string value, two objects, a boolean and a further key); every
+    13th key has no answer."""
+    n, key = F.length("prompt"), F.col("doc_id")
+    a, b = F.when(n >= 2000, "1").otherwise("0"), F.when(n % 3 == 0, "1").otherwise("0")
+    first, second = F.concat(F.lit('"quality": '), a), F.concat(F.lit('"toxic": '), b)
+    words = F.concat(F.lit('"quality": '), F.when(a == "1", "true").otherwise("false"))
+    layouts = [
+        F.lit("I am not able to tell from this essay."),
+        F.concat(F.lit("Result: {"), first, F.lit(", "), second),
+        F.concat(F.lit("Sure!\n{"), first, F.lit(",\n "), second, F.lit("} ok")),
+        F.concat(F.lit("{"), first, F.lit(", "), second, F.lit("}")),
+        F.concat(F.lit('{"quality": "'), a, F.lit('", '), second, F.lit("}")),
+        F.concat(F.lit("{"), first, F.lit("} and {"), second, F.lit("}")),
+        F.concat(F.lit("  {"), words, F.lit(", "), second, F.lit(', "note": "x"}  ')),
+    ]
+    down = key % 13 == 0
+    raw = F.when(n.isNotNull() & ~down, F.element_at(F.array(*layouts), (key % 7 + 1).cast("int")))
+    status = F.when(n.isNull(), "no_prompt").when(down, "failed").otherwise("ok")
+    attempts = F.when(n.isNull(), 0).when(down, 3).when(key % 11 == 0, 2).otherwise(1)
+    return prompts.select(*by, "doc_id", raw.alias("raw"), status.alias("status"), attempts.cast("int").alias("attempts"))

@@ -193,7 +193,7 @@ STUB = """
 
 
 def stub_sql(prompts: str, passthrough: str = "") -> str:
-    """Answers of the rule stub (inference.RuleStub) for a relation with doc_id, p."""
+    """Answers of the rule on columns (``inputs.ruled_answers``) for a relation with doc_id, p."""
     return f"""stubl AS (SELECT {passthrough} doc_id, p,
     CASE WHEN length(p) >= 2000 THEN '1' ELSE '0' END AS sq,
     CASE WHEN length(p) % 3 = 0 THEN '1' ELSE '0' END AS st FROM {prompts}),
@@ -218,10 +218,17 @@ def typed_sql(j: str, key: str) -> str:
             f"WHEN json_type({j}, {path}) IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN json_extract({j}, {path})::DOUBLE END)")
 
 
-def parsed_sql(ans: str, passthrough: str = "") -> str:
-    return f"""pj AS (SELECT {passthrough} doc_id, CASE WHEN json_valid(j) THEN j END AS j FROM
-    (SELECT {passthrough} doc_id, {greedy_sql('raw')} AS j FROM {ans})),
-parsed AS (SELECT {passthrough} doc_id, coalesce(j IS NOT NULL AND len(json_keys(j)) > 0, false) AS parse_ok,
+def split_sql(x: str) -> str:
+    s = strip_sql(x)
+    rest = f"regexp_extract({s}, '(?s)\\{{(.*)', 1)"
+    return (f"CASE WHEN strpos({s}, '{{') > 0 THEN '{{' || (CASE WHEN strpos({rest}, '}}') > 0 THEN regexp_extract({rest}, '(?s)^(.*)\\}}', 1) "
+            f"ELSE {rest} END) || '}}' END")
+
+
+def parsed_sql(ans: str, passthrough: str = "", cut: str = "greedy") -> str:
+    return f"""pj AS (SELECT {passthrough} doc_id, status, CASE WHEN json_valid(j) THEN j END AS j FROM
+    (SELECT {passthrough} doc_id, status, {greedy_sql('raw') if cut == "greedy" else split_sql('raw')} AS j FROM {ans})),
+parsed AS (SELECT {passthrough} doc_id, status, coalesce(j IS NOT NULL AND len(json_keys(j)) > 0, false) AS parse_ok,
     CASE WHEN j IS NOT NULL THEN {typed_sql('j', 'quality')} END AS quality,
     CASE WHEN j IS NOT NULL THEN {typed_sql('j', 'toxic')} END AS toxic FROM pj)"""
 
@@ -416,25 +423,58 @@ _add("answers_missed", _PARSED + "SELECT doc_id, quality, toxic FROM lab WHERE d
 _add("miss_rate", _PARSED + f"""SELECT count(CASE WHEN NOT parse_ok THEN 1 END)::BIGINT AS n_missed, count(*)::BIGINT AS n_total,
   round(count(CASE WHEN NOT parse_ok THEN 1 END){D} / count(*), 6) AS miss_rate FROM parsed""")
 
-_EXP = w(
-    LAB_YN,
-    f"smp AS (SELECT doc_id, text, quality, toxic FROM ({rank_sql('lab', 42)}) WHERE pos <= round_even(0.5{D} * n, 0))",
-    f"runs AS (SELECT range AS run FROM range({I.N_RUNS}))",
-    """exr AS (SELECT * FROM (SELECT r.run, s.*, md5(r.run::VARCHAR || ':' || s.doc_id::VARCHAR) AS ok_key,
-        row_number() OVER (PARTITION BY r.run ORDER BY md5(r.run::VARCHAR || ':' || s.doc_id::VARCHAR), s.doc_id) AS rn
-      FROM smp s, runs r) WHERE rn <= 1)""",
-    f"""exb AS (SELECT run, string_agg(b, '' ORDER BY ok_key, doc_id) AS ex_text, sum(bt) AS ex_tok, count(*) AS n_ex
-      FROM (SELECT run, ok_key, doc_id, {example_sql('chat')} AS b, {tok_count(example_sql('chat'))} AS bt FROM exr) GROUP BY run)""",
-    f"""fsr AS (SELECT exb.run, s.doc_id, CASE WHEN NOT (exb.n_ex > 0 AND {tok_count(CHAT_HEADER)} + exb.ex_tok + {tok_count(TARGET)} > 16000)
-        THEN {CHAT_HEADER} || exb.ex_text || ({TARGET}) END AS p FROM smp s, exb)""",
-    stub_sql("fsr", "run,"),
-    parsed_sql("ans", "run,"),
-    """ecells AS (SELECT p.run, p.doc_id, 'quality' AS trait, (CASE WHEN s.quality = 'y' THEN 1 ELSE 0 END)::DOUBLE AS actual, p.quality AS predicted
-        FROM parsed p JOIN smp s ON p.doc_id = s.doc_id WHERE p.parse_ok
-      UNION ALL SELECT p.run, p.doc_id, 'toxic', (CASE WHEN s.toxic = 'y' THEN 1 ELSE 0 END)::DOUBLE, p.toxic
-        FROM parsed p JOIN smp s ON p.doc_id = s.doc_id WHERE p.parse_ok)""",
-    metrics_sql("ecells"))
-_add("prompt_experiment", _EXP + "SELECT metric, trait, round(avg(value), 6) AS value, count(DISTINCT run)::BIGINT AS n_runs FROM mt GROUP BY metric, trait")
+
+
+def experiment_sql(frac: float, runs: int, budget: int | None = 16000, style: str = "chat", cut: str = "greedy") -> str:
+    header = CHAT_HEADER if style == "chat" else RULES_HEADER
+    over = "false" if budget is None else f"exb.n_ex > 0 AND {tok_count(header)} + exb.ex_tok + {tok_count(TARGET)} > {budget}"
+    return w(
+        LAB_YN,
+        f"smp AS (SELECT doc_id, text, quality, toxic FROM ({rank_sql('lab', 42)}) WHERE pos <= round_even({frac}{D} * n, 0))",
+        f"runs AS (SELECT range AS run FROM range({runs}))",
+        """exr AS (SELECT * FROM (SELECT r.run, s.*, md5(r.run::VARCHAR || ':' || s.doc_id::VARCHAR) AS ok_key,
+            row_number() OVER (PARTITION BY r.run ORDER BY md5(r.run::VARCHAR || ':' || s.doc_id::VARCHAR), s.doc_id) AS rn
+          FROM smp s, runs r) WHERE rn <= 1)""",
+        f"""exb AS (SELECT run, string_agg(b, '' ORDER BY ok_key, doc_id) AS ex_text, sum(bt) AS ex_tok, count(*) AS n_ex
+          FROM (SELECT run, ok_key, doc_id, {example_sql(style)} AS b, {tok_count(example_sql(style))} AS bt FROM exr) GROUP BY run)""",
+        f"fsr AS (SELECT exb.run, s.doc_id, CASE WHEN NOT ({over}) THEN {header} || exb.ex_text || ({TARGET}) END AS p FROM smp s, exb)",
+        stub_sql("fsr", "run,"),
+        parsed_sql("ans", "run,", cut),
+        """fates AS (SELECT run, doc_id, CASE WHEN status = 'no_prompt' THEN 'no_prompt' WHEN status <> 'ok' THEN 'failed' WHEN parse_ok THEN 'kept' ELSE 'unparsed' END AS fate
+            FROM parsed)""",
+        """ecells AS (SELECT p.run, p.doc_id, 'quality' AS trait, (CASE WHEN s.quality = 'y' THEN 1 ELSE 0 END)::DOUBLE AS actual, p.quality AS predicted
+            FROM parsed p JOIN smp s ON p.doc_id = s.doc_id WHERE p.parse_ok
+          UNION ALL SELECT p.run, p.doc_id, 'toxic', (CASE WHEN s.toxic = 'y' THEN 1 ELSE 0 END)::DOUBLE, p.toxic
+            FROM parsed p JOIN smp s ON p.doc_id = s.doc_id WHERE p.parse_ok)""",
+        metrics_sql("ecells"))
+
+
+_MEAN = "SELECT metric, trait, round(avg(value), 6) AS value, count(DISTINCT run)::BIGINT AS n_runs FROM mt GROUP BY metric, trait"
+_add("sequence_dataset", f"""SELECT n.doc_id, n.cube_md5, l.label_vec, s.split FROM ({ORACLE_SQL["numericalize"]}) n
+JOIN ({ORACLE_SQL["label_vector"]}) l ON n.doc_id = l.doc_id JOIN ({ORACLE_SQL["split_exact"]}) s ON n.doc_id = s.doc_id""")
+_add("prompt_experiment", experiment_sql(0.5, I.N_RUNS) + _MEAN)
+_add("rules_experiment", experiment_sql(0.15, 5, None, "rules", "split") + _MEAN)
+_add("experiment_fates", experiment_sql(0.5, I.N_RUNS, 500) + f"""SELECT run::BIGINT AS run, fate, count(*)::BIGINT AS n,
+  round(count(*){D} / (SELECT count(*) FROM smp), 6) AS share FROM fates GROUP BY run, fate""")
+_add("experiment_missed", experiment_sql(0.15, 5, None, "rules", "split") + "SELECT run::BIGINT AS run, doc_id, fate FROM fates WHERE fate <> 'kept'")
+
+
+def _vote_sql(label: str) -> str:
+    return f"""(round((ln((o_{label} + 1){D} / (n_{label} + 2)) - ln((c - o_{label} + 1){D} / (n - n_{label} + 2))) * 1000000))::BIGINT AS v_{label}"""
+
+
+_add("batch_infer_model", w(
+    LAB_INT,
+    "tot AS (SELECT count(*) AS n, sum(quality) AS n_quality, sum(toxic) AS n_toxic FROM labi)",
+    """lw AS (SELECT word, count(*) AS c, sum(quality) AS o_quality, sum(toxic) AS o_toxic FROM
+      (SELECT doc_id, quality, toxic, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}'))) AS word FROM labi) GROUP BY word)""",
+    f"vt AS (SELECT word, {_vote_sql('quality')}, {_vote_sql('toxic')} FROM (SELECT * FROM lw ORDER BY c DESC, word ASC LIMIT 2000), tot)",
+    """dw AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}'))) AS word FROM documents)""",
+    "sums AS (SELECT doc_id, sum(v_quality) AS sq, sum(v_toxic) AS st FROM dw JOIN vt ON dw.word = vt.word GROUP BY doc_id)")
+    + f"""SELECT d.doc_id,
+  '{{"quality": ' || (CASE WHEN coalesce(s.sq, 0) + round(ln((n_quality + 1){D} / (n - n_quality + 1)) * 1000000) > 0 THEN 1 ELSE 0 END)::VARCHAR ||
+  ', "toxic": ' || (CASE WHEN coalesce(s.st, 0) + round(ln((n_toxic + 1){D} / (n - n_toxic + 1)) * 1000000) > 0 THEN 1 ELSE 0 END)::VARCHAR || '}}' AS raw,
+  'ok' AS status, 1::INTEGER AS attempts FROM documents d LEFT JOIN sums s ON d.doc_id = s.doc_id CROSS JOIN tot""")
 _add("embed_lookup", w(WHOLE, FREQ, VOCAB, WORDVEC) + """SELECT token, idx, known, round(list_sum(vector), 4) + 0.0 AS vec_sum,
   round(vector[1], 6) + 0.0 AS vec_first FROM wv""")
 _add("embed_normalize", w(WHOLE, FREQ, VOCAB, WORDVEC, NORM) + """SELECT token, idx,

@@ -58,13 +58,13 @@ def embedding_search(emb: DataFrame, actual: DataFrame, label_cols: list[str], n
                            label_cols, n_trials=n_trials, seed=seed, key=key)
 
 
-def prompt_experiment(df: DataFrame, traits, label_cols: list[str], predictor_factory,
-                      frac: float = 0.001, runs: int = 1, example_count: int = 1,
-                      budget: int | None = PR.DEFAULT_BUDGET, key: str = "doc_id",
-                      **infer_kw) -> DataFrame:
-    """3.3 / ML7, all runs in one plan: exact seeded sample; per run r the k examples drawn
-    with seed r (top-k each); prompts for every (run, row); one ``mapInPandas`` pass over
-    all of them; parse; keep successes; per-run metrics; mean over runs."""
+def experiment_ledger(df: DataFrame, traits, label_cols: list[str], answerer, frac: float = 0.001, runs: int = 1, example_count: int = 1,
+                      budget: int | None = PR.DEFAULT_BUDGET, style: str = "chat", cut: str = "greedy", key: str = "doc_id") -> DataFrame:
+    """3.3, AG18: the fate of every sampled row in every run, stored: (run, key, fate, <label> as answered, actual__<label>).
+
+    Exact seeded sample; per run r the k examples drawn with seed r; prompts for every (run, row) in the chat or the rules form;
+    ``answerer(prompts)`` gives (run, key, raw, status, attempts); answers are cut (greedy or split), parsed and joined by key. A row's fate
+    is ``no_prompt`` (over budget or no text), ``failed`` (no answer), ``unparsed`` or ``kept``; no row is left out."""
     ensure_checkpoint_dir(df.sparkSession)
     # stored once: every run's examples, the prompts and the actual labels read it
     sample = S.sample_fraction(df.select(key, "text", *label_cols), frac, key, seed=42).checkpoint(eager=True)
@@ -74,15 +74,39 @@ def prompt_experiment(df: DataFrame, traits, label_cols: list[str], predictor_fa
             one = (S.sample_examples(sample, example_count, key, seed=r)
                    .withColumn("run", F.lit(r)).withColumn("_order", md5_key(r, key)))
             ex = one if ex is None else ex.unionByName(one)
-        prompts = PR.few_shot_prompts(sample, ex, traits, label_cols, key=key, budget=budget, by=["run"])
+        prompts = PR.few_shot_prompts(sample, ex, traits, label_cols, key=key, budget=budget, style=style, by=["run"])
     else:
         prompts = PR.zero_shot_prompts(sample, traits, key=key).crossJoin(
             sample.sparkSession.range(runs).select(F.col("id").cast("int").alias("run")))
-    answers = batch_infer(prompts, predictor_factory, key=key, passthrough=["run"], **infer_kw)
-    # Store the answers once: the metric table reads them through several aggregations,
-    # and a recomputation (or a lost executor) must not call the predictor again.
-    answers = answers.checkpoint(eager=True)
-    parsed = A.parse_answers(answers, label_cols).filter("parse_ok")
-    actual = sample.select(key, *[L.encode_lenient(c).alias(c) for c in label_cols])
-    cells = E.long_cells(actual, parsed.select("run", key, *label_cols), label_cols, key, run="run")
-    return E.run_average_metrics(E.metric_table(cells))
+    # stored once: a recomputation (or a lost executor) must not ask again
+    parsed = A.parse_answers(answerer(prompts.select("run", key, "prompt")).checkpoint(eager=True), label_cols, cut=cut)
+    fate = (F.when(F.col("status") == "no_prompt", "no_prompt").when(F.col("status") != "ok", "failed")
+            .when(F.col("parse_ok"), "kept").otherwise("unparsed"))
+    actual = sample.select(key, *[L.encode_lenient(c).alias(f"actual__{c}") for c in label_cols])
+    return parsed.select("run", key, fate.alias("fate"), *label_cols).join(actual, key).checkpoint(eager=True)
+
+
+def experiment_metrics(ledger: DataFrame, label_cols: list[str], key: str = "doc_id") -> DataFrame:
+    """Per-run metrics of the kept rows, averaged over the runs."""
+    cells = [F.struct(F.lit(c).alias("trait"), F.col(f"actual__{c}").cast("double").alias("actual"), F.col(c).alias("predicted")) for c in label_cols]
+    return E.run_average_metrics(E.metric_table(ledger.filter("fate = 'kept'").select("run", key, F.explode(F.array(*cells)).alias("c")).select("run", key, "c.*")))
+
+
+def experiment_fates(ledger: DataFrame) -> DataFrame:
+    """AG18: (run, fate, n, share) of all sampled rows; the counts of a run add up to the sample."""
+    counts = ledger.groupBy("run", "fate").agg(F.count(F.lit(1)).alias("n"))
+    total = ledger.groupBy("run").agg(F.count(F.lit(1)).alias("total"))
+    return counts.join(total, "run").select("run", "fate", "n", (F.col("n") / F.col("total")).alias("share"))
+
+
+def missed_rows(ledger: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows without a usable answer, by run, with the cause."""
+    return ledger.filter("fate <> 'kept'").select("run", key, "fate")
+
+
+def prompt_experiment(df: DataFrame, traits, label_cols: list[str], predictor_factory=None, frac: float = 0.001, runs: int = 1,
+                      example_count: int = 1, budget: int | None = PR.DEFAULT_BUDGET, key: str = "doc_id", answerer=None,
+                      style: str = "chat", cut: str = "greedy", **infer_kw) -> DataFrame:
+    """3.3 / ML7: the metrics of an experiment whose prompts go to a predictor, or to any ``answerer``."""
+    answerer = answerer or (lambda prompts: batch_infer(prompts, predictor_factory, key=key, passthrough=["run"], **infer_kw))
+    return experiment_metrics(experiment_ledger(df, traits, label_cols, answerer, frac, runs, example_count, budget, style, cut, key), label_cols, key)

@@ -21,8 +21,7 @@ from ..operators import prompts as PR
 from ..operators import sampling as S
 from ..operators import sequences as SQ
 from ..operators import vocab as V
-from ..operators.inference import RuleStub, batch_infer
-from ..sources.corpus import read_table
+from ..sources.corpus import read_table, read_word_vectors
 from . import inputs as I
 
 LABELS = I.LABELS
@@ -183,8 +182,10 @@ def top_words(spark, d):
 
 
 def _encode_inputs(spark, d):
-    # vocabulary over the whole texts; each document is then cut to max_length - 2 tokens
-    docs = I.documents(spark, d).select("doc_id", T.basic_english_tokens("text").alias("tok"))
+    # vocabulary over the whole texts; each document is then cut to max_length - 2 tokens. Tokenised once
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    docs = I.documents(spark, d).select("doc_id", T.basic_english_tokens("text").alias("tok")).checkpoint(eager=True)
     vocab = V.build_vocabulary(docs.select(F.col("tok").alias("tokens")),
                                specials=("<unk>", "<pad>", "[CLS]", "[SEP]"))
     ids = V.index_tokens(docs.select("doc_id", F.array(F.slice("tok", 1, 510)).alias("tokens")), vocab)
@@ -200,6 +201,16 @@ def encode_fixed(spark, d):
         F.size(F.filter("mask", lambda x: x == 0)).cast("long").alias("n_pad"))
 
 
+def sequence_dataset(spark, d):
+    """Raw text to the padded cube of ids, with the label vector and the exact split of the labelled rows."""
+    vocab, cube = SQ.sequence_features(I.documents(spark, d))
+    lab = I.labelled_int(spark, d)
+    vec = F.array_join(L.label_vector(LABELS).cast("array<string>"), ",")
+    split = S.exact_split(lab.select("doc_id"), "doc_id", seed=42, rule="halves")
+    return (cube.join(lab.select("doc_id", vec.alias("label_vec")), "doc_id").join(split, "doc_id")
+            .select("doc_id", _md5_nested(F.col("cube")).alias("cube_md5"), "label_vec", "split"))
+
+
 # ---- bag of words ------------------------------------------------------------------------------
 
 def _bow_split(spark, d):
@@ -301,12 +312,8 @@ def drop_last_accuracy(spark, d):
     test = S.exact_split(lab, "doc_id", seed=42, rule="halves").filter(F.col("split") == "test")
     kept = S.batch_positions(test.select("doc_id"), batch_size=32, seed=7, drop_last=True)
     cells = I.run_cells(spark, d).filter(F.col("run") == 1).join(kept.select("doc_id"), "doc_id", "left_semi")
-    per = E.trait_accuracy(cells).select("trait", "accuracy")
-    overall = E.micro_accuracy(cells).select(F.lit("all").alias("trait"), "accuracy")
-    n = cells.groupBy("trait").agg(F.countDistinct("doc_id").alias("n_rows"))
-    n_all = cells.agg(F.countDistinct("doc_id").alias("n_rows")).select(F.lit("all").alias("trait"), "n_rows")
-    return per.unionByName(overall).join(n.unionByName(n_all), "trait").select(
-        "trait", _r("accuracy").alias("accuracy"), F.col("n_rows").cast("long"))
+    out = E.accuracy_rollup(cells)
+    return out.select("trait", _r("accuracy").alias("accuracy"), F.col("n_rows").cast("long"))
 
 
 def batch_mean_loss(spark, d):
@@ -316,12 +323,8 @@ def batch_mean_loss(spark, d):
 
 
 def bce_loss(spark, d):
-    c = I.scored_cells(spark, d)
-    x = F.col("logit")
-    xs = L.sigmoid(x)
-    return c.agg(F.avg(E.bce_with_logits(x, F.col("actual"))).alias("bce"),
-                 F.avg(E.bce_with_logits(xs, F.col("actual"))).alias("bce_double_sigmoid")).select(
-        _r("bce").alias("bce"), _r("bce_double_sigmoid").alias("bce_double_sigmoid"))
+    out = E.bce_losses(I.scored_cells(spark, d))
+    return out.select(_r("bce").alias("bce"), _r("bce_double_sigmoid").alias("bce_double_sigmoid"))
 
 
 def best_epoch_trace(spark, d):
@@ -399,13 +402,22 @@ def label_json(spark, d):
 
 # ---- inference and answers -----------------------------------------------------------------------
 
-def _stub_factory():
-    return RuleStub(keys=LABELS)
+def batch_infer_stub(spark, d):
+    """Answers by a rule on columns, for the queries that parse answers."""
+    return I.ruled_answers(zeroshot_prompt(spark, d))
+
 
+def batch_infer_model(spark, d):
+    """ML4, ML5, UDF5: a model that Spark fits on the labelled texts answers for every document, through a store that can be resumed."""
+    from uuid import uuid4
 
-def batch_infer_stub(spark, d):
-    prompts = zeroshot_prompt(spark, d)
-    return batch_infer(prompts, _stub_factory, max_attempts=3, wait_min=0.0, wait_max=0.0)
+    from ..operators import ledger, wordvotes
+    from ..session import ensure_checkpoint_dir
+    train = I.labelled_int(spark, d).select(T.bow_tokens("text").alias("tokens"), *LABELS)
+    votes, priors = wordvotes.word_votes(train, LABELS)
+    asked = I.documents(spark, d).select("doc_id", F.array_distinct(T.bow_tokens("text")).alias("words"))
+    store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/answers-{uuid4().hex}"
+    return ledger.answer_all(asked, lambda: wordvotes.WordVotes(votes, priors, LABELS), store, prompt="words", wait_min=0.0, wait_max=0.0)
 
 
 def answer_json(spark, d):
@@ -439,14 +451,40 @@ def miss_rate(spark, d):
                                    _r("miss_rate").alias("miss_rate"))
 
 
-def prompt_experiment(spark, d, frac: float = 0.5, runs: int = 3, k: int = 1):
-    """ML7: sample -> per run: examples, prompts, stub answers, parse, keep -> metrics -> mean."""
-    from .pipelines import prompt_experiment as run_experiment
-    out = run_experiment(I.labelled_yn(spark, d), I.TRAITS, LABELS, _stub_factory, frac=frac,
-                         runs=runs, example_count=k, max_attempts=3, wait_min=0.0, wait_max=0.0)
+def _experiment(spark, d, **kw):
+    from .pipelines import experiment_ledger
+    return experiment_ledger(I.labelled_yn(spark, d), I.TRAITS, LABELS, lambda p: I.ruled_answers(p, by=("run",)), **kw)
+
+
+def _metrics(ledger):
+    from .pipelines import experiment_metrics
+    out = experiment_metrics(ledger, LABELS)
     return out.select("metric", "trait", _r("value").alias("value"), F.col("n_runs").cast("long"))
 
 
+def prompt_experiment(spark, d, frac: float = 0.5, runs: int = 3, k: int = 1):
+    """ML7: sample -> per run: examples, prompts, answers, parse, keep -> metrics -> mean."""
+    return _metrics(_experiment(spark, d, frac=frac, runs=runs, example_count=k))
+
+
+def rules_experiment(spark, d):
+    """ML7 in the rules form: 15 % of the rows, five runs, answers cut by the split rule."""
+    return _metrics(_experiment(spark, d, frac=0.15, runs=5, style="rules", cut="split"))
+
+
+def experiment_fates(spark, d):
+    """AG18: what became of every sampled row in every run, with a budget that some prompts exceed."""
+    from .pipelines import experiment_fates as fates
+    out = fates(_experiment(spark, d, frac=0.5, runs=3, budget=500))
+    return out.select(F.col("run").cast("long"), "fate", F.col("n").cast("long"), _r("share").alias("share"))
+
+
+def experiment_missed(spark, d):
+    """Every row of the rules form without a usable answer, by run, with the cause."""
+    from .pipelines import missed_rows
+    return missed_rows(_experiment(spark, d, frac=0.15, runs=5, style="rules", cut="split")).select(F.col("run").cast("long"), "doc_id", "fate")
+
+
 # ---- word vectors and embeddings ----------------------------------------------------------------------
 
 EMB_DIM = 64
@@ -465,10 +503,15 @@ def embed_lookup(spark, d):
 
 
 def embed_by_word(spark, d):
-    """Word vectors found by the word itself, as a vector file is read (word, vector)."""
+    """Word vectors found by the word itself, read from a vector file (word, vector)."""
+    from uuid import uuid4
+
+    from ..session import ensure_checkpoint_dir
     vocab = V.build_vocabulary(_whole(spark, d))
     emb = read_table(spark, d, "embeddings")
-    words = vocab.join(emb, vocab["idx"] == emb["vec_id"]).select(F.col("token").alias("word"), F.col("embedding").alias("vector"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/word-vectors-{uuid4().hex}"
+    vocab.join(emb, vocab["idx"] == emb["vec_id"]).select(F.col("token").alias("word"), F.col("embedding").alias("vector")).write.parquet(path)
+    words = read_word_vectors(spark, path)
     wv = FE.word_vectors(vocab, words, EMB_DIM, vec_key="word", vec_col="vector", on="word")
     total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
     return wv.select("token", F.col("idx").cast("long"), "known", _r(total, 4).alias("vec_sum"),
@@ -548,6 +591,7 @@ QUERIES = {
     "shape_maxima": shape_maxima,
     "top_words": top_words,
     "encode_fixed": encode_fixed,
+    "sequence_dataset": sequence_dataset,
     "bow_counts": bow_counts,
     "bow_scale_stats": bow_scale_stats,
     "frame_info": frame_info,
@@ -588,6 +632,10 @@ QUERIES = {
     "answers_missed": answers_missed,
     "miss_rate": miss_rate,
     "prompt_experiment": prompt_experiment,
+    "rules_experiment": rules_experiment,
+    "experiment_fates": experiment_fates,
+    "experiment_missed": experiment_missed,
+    "batch_infer_model": batch_infer_model,
     "embed_lookup": embed_lookup,
     "embed_by_word": embed_by_word,
     "embed_normalize": embed_normalize,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sequences import prepare_documents
+from ..operators.vocab import index_tokens
 
 DOCUMENT_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
@@ -33,7 +34,7 @@ def prepared_stream(stream: DataFrame, n_sentences: int = 12, max_words: int = 2
 
 def indexed_stream(prepared: DataFrame, vocab: DataFrame, unk_idx: int = 0,
                    max_vocab_rows: int = 2_000_000) -> DataFrame:
-    """Token ids through a fixed vocabulary, as a stream-static map lookup per row.
+    """Token ids through a small fixed vocabulary, as a stream-static map lookup per row; ``write_indexed_stream`` takes any size.
 
     The vocabulary becomes one broadcast map row, so its size is checked first; unknown
     tokens map to ``unk_idx``.
@@ -47,6 +48,16 @@ def indexed_stream(prepared: DataFrame, vocab: DataFrame, unk_idx: int = 0,
             s, lambda t: F.coalesce(F.element_at(F.col("_vocab"), t), F.lit(unk_idx)).cast("int"))).alias("ids"))
 
 
+def write_indexed_stream(prepared: DataFrame, vocab: DataFrame, path: str, checkpoint: str, key: str = "doc_id", unk_idx: int = 0, trigger_once: bool = True):
+    """Token ids through a vocabulary of any size: each micro-batch is looked up by blocks of documents (``operators.lookup``) and written
+    under its batch number, so that a batch that is run again replaces itself."""
+    def write(batch: DataFrame, number: int) -> None:
+        index_tokens(batch, vocab, key, unk_idx=unk_idx).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+    w = prepared.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if trigger_once else w).start()
+
+
 def write_stream(df: DataFrame, path: str, checkpoint: str, trigger_once: bool = True):
     """Parquet sink with its own checkpoint folder (exactly-once file sink)."""
     w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
