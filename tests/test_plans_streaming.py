@@ -55,7 +55,7 @@ def _windows(df):
 
 
 @pytest.mark.parametrize("name", ["split_exact", "sample_fraction", "vocabulary", "best_epoch_trace",
-                                  "drop_last_accuracy", "length_describe"])
+                                  "drop_last_accuracy"])
 def test_no_unpartitioned_window_over_rows(spark, name):
     """A window without PARTITION BY runs in one task: allowed only over an aggregated
     (bounded) table such as bucket counts or a value histogram."""
@@ -65,6 +65,27 @@ def test_no_unpartitioned_window_over_rows(spark, name):
         assert partitioned or "HashAggregate" in subtree, (name, subtree[:300])
 
 
+@pytest.mark.parametrize("name", ["length_describe", "length_boxplot"])
+def test_quantiles_need_no_window(spark, name):
+    assert not _windows(Q.QUERIES[name](spark, SF))
+
+
+def test_no_action_of_the_fits_returns_more_than_a_row_a_partition(spark, monkeypatch):
+    """Dictionary, blocks and passes of the bag-of-words fit: rows and vectors of the vocabulary's length stay on the executors, but for the
+    weights, which come as slices."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from textlabel.functions import text as TX
+    from textlabel.operators import linear as LN
+    from textlabel.operators import models as M
+    from textlabel.plans import inputs as I
+    seen, one = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: (lambda rows: seen.append((len(rows), self.columns)) or rows)(one(self)))
+    train = I.labelled_int(spark, SF).select("doc_id", TX.bow_tokens("text").alias("tokens"), *I.LABELS)
+    model = M.fit_bag_of_words(train, I.LABELS)
+    slices = -(-2 * (model.n_terms + 2) // LN.SLICE)
+    assert seen and all(n <= slices and c == ["slice", "sums"] for n, c in seen if n > 1), seen[:5]
+
+
 def test_streaming_prepare_equals_batch(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "in")
     spark.read.parquet(f"{SF}/documents.parquet").write.parquet(src)
