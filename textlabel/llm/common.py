@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,12 +22,6 @@ def stored(df: DataFrame, few: bool = False) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` on the executors' disks, for tables that are read again and follow, row by row, from stored ones: what a lost executor held is
-    made anew."""
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
 def id_and(df: DataFrame, key: str, *cols) -> DataFrame:
     """Only the key and the columns an operator reads: further columns, whatever their names, cannot clash."""
     return df.select(F.col(key), *[F.col(c) for c in cols])
