@@ -44,7 +44,7 @@ SPACE = "▁"
 #: a segment longer than this is relaxed with a heap instead of side by side with others
 LONG = 48
 #: bytes of distinct segments and their ids that a worker remembers, in each of two generations
-REMEMBERED = 64 << 20
+REMEMBERED = 112 << 20
 #: characters of new segments that are indexed at once; bytes of texts, and ids, that are worked on at once
 INDEXED, SLICE, IDS = 1 << 18, 1 << 21, 1 << 18
 
