@@ -13,7 +13,7 @@ from textlabel.streaming import prepare as ST
 
 SF = "/root/testdata/sf0.001"
 #: block lookups and the ledger run Arrow functions; the answers that expressions cannot decide go to Python
-PYTHON_QUERIES = {"answer_parse", "answers_kept", "answers_missed", "miss_rate", "batch_infer_model", "bow_logreg"}
+PYTHON_QUERIES = {"answer_parse", "answers_kept", "answers_missed", "miss_rate", "batch_infer_model", "bow_logreg", "sequence_scores"}
 MODEL_QUERIES = {"bow_pipeline_metrics", "embed_logreg", "random_search"}
 
 

@@ -36,12 +36,24 @@ class WordVotes:
     def __init__(self, votes: dict, priors: list[int], label_cols: list[str]):
         self.votes, self.priors, self.labels = votes, priors, label_cols
 
+    def sums(self, words) -> list[int]:
+        """The prior and the votes of the distinct words, for each label, in millionths."""
+        sums = list(self.priors)
+        for w in set(words):
+            for j, v in enumerate(self.votes.get(w, ())):
+                sums[j] += v
+        return sums
+
+    def answer_batch(self, keys, inputs):
+        return [json.dumps({c: int(s > 0) for c, s in zip(self.labels, self.sums(words))}) for words in inputs]
+
+
+class SequenceVotes(WordVotes):
+    """Scores encoded sequences: of (ids, mask) the ids that the mask keeps, from ``first`` on, vote; the answer is the list of sums."""
+
+    def __init__(self, votes: dict, priors: list[int], label_cols: list[str], first: int = 4):
+        super().__init__(votes, priors, label_cols)
+        self.first = first
+
     def answer_batch(self, keys, inputs):
-        out = []
-        for words in inputs:
-            sums = list(self.priors)
-            for w in set(words):
-                for j, v in enumerate(self.votes.get(w, ())):
-                    sums[j] += v
-            out.append(json.dumps({c: int(s > 0) for c, s in zip(self.labels, sums)}))
-        return out
+        return [json.dumps(self.sums(str(i) for i, m in zip(ids, mask) if m and i >= self.first)) for ids, mask in inputs]

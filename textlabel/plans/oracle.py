@@ -307,7 +307,7 @@ _add("numericalize", w(PREP, FREQ, VOCAB, INDEXED,
 _add("shape_maxima", w(PREP, FREQ, VOCAB, INDEXED) + """SELECT max(len(ids))::BIGINT AS max_sentences,
   max(list_max(list_transform(ids, lambda s: len(s))))::BIGINT AS max_tokens FROM indexed""")
 _add("top_words", w(WHOLE, FREQ) + "SELECT token AS word, n::BIGINT AS n FROM freq WHERE token <> '<pad>' ORDER BY n DESC, token ASC LIMIT 50")
-_add("encode_fixed", w(
+_ENCODED = (
     f"eall AS (SELECT doc_id, {basic_tokens('text')} AS tk FROM documents)",
     "etok AS (SELECT doc_id, tk[1:510] AS tk FROM eall)",
     "efreq AS (SELECT t AS token, count(*) AS n FROM (SELECT unnest(tk) AS t FROM eall) GROUP BY t)",
@@ -317,6 +317,7 @@ _add("encode_fixed", w(
     """eids AS (SELECT d.doc_id, coalesce(list(coalesce(v.idx, 0) ORDER BY c.ti) FILTER (WHERE c.ti IS NOT NULL), []) AS ids
       FROM documents d LEFT JOIN ecells c ON d.doc_id = c.doc_id LEFT JOIN evocab v ON c.token = v.token GROUP BY d.doc_id)""",
     """eseq AS (SELECT doc_id, list_filter(list_concat([2], ids[1:510], [3]), lambda x: x <> 1) AS body FROM eids)""")
+_add("encode_fixed", w(*_ENCODED)
     + """SELECT doc_id, md5(array_to_string(list_concat(list_transform(range(512 - len(body)), lambda i: 1), body), ' ')) AS ids_md5,
   md5(array_to_string(list_concat(list_transform(range(512 - len(body)), lambda i: 0), list_transform(range(len(body)), lambda i: 1)), '')) AS mask_md5,
   (512 - len(body))::BIGINT AS n_pad FROM eseq""")
@@ -463,6 +464,23 @@ def _vote_sql(label: str) -> str:
     return f"""(round((ln((o_{label} + 1){D} / (n_{label} + 2)) - ln((c - o_{label} + 1){D} / (n - n_{label} + 2))) * 1000000))::BIGINT AS v_{label}"""
 
 
+_add("sequence_scores", w(
+    LAB_INT, *_ENCODED, EXACT_SPLIT,
+    "sq AS (SELECT l.doc_id, l.quality, l.toxic, list_distinct(list_filter(q.body, lambda x: x >= 4)) AS ids, es.pos, es.n, es.ntr FROM labi l JOIN eseq q ON l.doc_id = q.doc_id JOIN es ON l.doc_id = es.doc_id)",
+    "tr AS (SELECT * FROM sq WHERE pos <= ntr)",
+    "tot AS (SELECT count(*) AS n, sum(quality) AS n_quality, sum(toxic) AS n_toxic FROM tr)",
+    "lw AS (SELECT word, count(*) AS c, sum(quality) AS o_quality, sum(toxic) AS o_toxic FROM (SELECT doc_id, quality, toxic, unnest(ids)::VARCHAR AS word FROM tr) GROUP BY word)",
+    f"vt AS (SELECT word, {_vote_sql('quality')}, {_vote_sql('toxic')} FROM (SELECT * FROM lw ORDER BY c DESC, word ASC LIMIT 2000), tot)",
+    "tst AS (SELECT doc_id FROM sq WHERE pos > ntr + floor((n - ntr) / 2.0))",
+    f"kept AS (SELECT doc_id FROM ({rank_sql('tst', 7)}) WHERE pos - 1 < floor(n / 32) * 32)",
+    "sums AS (SELECT d.doc_id, sum(v_quality) AS sq_, sum(v_toxic) AS st_ FROM (SELECT doc_id, unnest(ids)::VARCHAR AS word FROM sq) d JOIN vt ON d.word = vt.word GROUP BY d.doc_id)",
+    f"""pr AS (SELECT s.doc_id, s.quality, s.toxic,
+      (coalesce(u.sq_, 0) + round(ln((n_quality + 1){D} / (tot.n - n_quality + 1)) * 1000000) >= 0)::INTEGER AS pq,
+      (coalesce(u.st_, 0) + round(ln((n_toxic + 1){D} / (tot.n - n_toxic + 1)) * 1000000) >= 0)::INTEGER AS pt
+      FROM sq s LEFT JOIN sums u ON s.doc_id = u.doc_id CROSS JOIN tot WHERE s.doc_id IN (SELECT doc_id FROM kept))""",
+    """sc AS (SELECT doc_id, 'quality' AS trait, (quality = pq)::INTEGER AS hit FROM pr UNION ALL SELECT doc_id, 'toxic', (toxic = pt)::INTEGER FROM pr)""")
+    + f"""SELECT trait, round(avg(hit){D}, 6) AS accuracy, count(DISTINCT doc_id)::BIGINT AS n_rows FROM sc GROUP BY trait
+UNION ALL SELECT 'all', round(avg(hit){D}, 6), count(DISTINCT doc_id)::BIGINT FROM sc""")
 _add("batch_infer_model", w(
     LAB_INT,
     "tot AS (SELECT count(*) AS n, sum(quality) AS n_quality, sum(toxic) AS n_toxic FROM labi)",

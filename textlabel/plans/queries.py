@@ -316,6 +316,30 @@ def drop_last_accuracy(spark, d):
     return out.select("trait", _r("accuracy").alias("accuracy"), F.col("n_rows").cast("long"))
 
 
+def sequence_scores(spark, d):
+    """Encoded sequences scored by a fitted model, row by row through ``batch_infer``: logits, threshold, accuracy of the full test batches."""
+    from ..operators import wordvotes
+    from ..operators.inference import batch_infer
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    ids = _encode_inputs(spark, d)
+    front, mask = SQ.encode_fixed(F.col("ids"), max_length=512, cls_id=2, sep_id=3, pad_id=1)
+    lab = I.labelled_int(spark, d).select("doc_id", *LABELS)
+    rows = ids.select("doc_id", front.alias("input_ids"), mask.alias("mask")).join(lab, "doc_id")
+    rows = rows.join(S.exact_split(lab.select("doc_id"), "doc_id", seed=42, rule="halves"), "doc_id").checkpoint(eager=True)
+    words = F.filter("input_ids", lambda x: x >= 4).cast("array<string>")
+    votes, priors = wordvotes.word_votes(rows.filter("split = 'train'").select(words.alias("tokens"), *LABELS), LABELS)
+    test = rows.filter("split = 'test'")
+    kept = S.batch_positions(test.select("doc_id"), batch_size=32, seed=7, drop_last=True)
+    asked = test.join(kept.select("doc_id"), "doc_id", "left_semi")
+    answers = batch_infer(asked, lambda: wordvotes.SequenceVotes(votes, priors, LABELS), prompt=["input_ids", "mask"], wait_min=0.0, wait_max=0.0)
+    sums = F.from_json("raw", "array<long>")
+    cells = [F.struct(F.lit(c).alias("trait"), F.col(c).cast("double").alias("actual"),
+                      L.threshold(L.sigmoid(sums[j] / F.lit(1e6))).cast("double").alias("predicted")) for j, c in enumerate(LABELS)]
+    out = E.accuracy_rollup(answers.join(asked.select("doc_id", *LABELS), "doc_id").select("doc_id", F.explode(F.array(*cells)).alias("c")).select("doc_id", "c.*"))
+    return out.select("trait", _r("accuracy").alias("accuracy"), F.col("n_rows").cast("long"))
+
+
 def batch_mean_loss(spark, d):
     out = E.batch_mean_loss(I.batch_log(spark, d), ["run", "epoch"])
     return out.select(F.col("run").cast("long"), F.col("epoch").cast("long"),
@@ -592,6 +616,7 @@ QUERIES = {
     "top_words": top_words,
     "encode_fixed": encode_fixed,
     "sequence_dataset": sequence_dataset,
+    "sequence_scores": sequence_scores,
     "bow_counts": bow_counts,
     "bow_scale_stats": bow_scale_stats,
     "frame_info": frame_info,
