@@ -34,7 +34,7 @@ from .common import id_and, slices, stored, texts_of
 #: buckets that the documents of one length are dealt to before they are ranked
 BUCKETS = 64
 #: words and pre-tokens that a worker remembers before it starts anew
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 #: bytes of the texts that are tokenised at a time, but for a longer one
 SLICE = 1 << 20
 #: longer words are not remembered
