@@ -190,6 +190,27 @@ def test_bag_of_words_fits_reach_the_newton_optimum_together(spark, monkeypatch)
     assert np.allclose([got[r["doc_id"]]["p__p1"] for r in rows], want) and all(got[r["doc_id"]]["p"] == (x > 0.5) for r, x in zip(rows, want))
 
 
+def test_wide_fit_is_the_dense_fit_and_sends_vectors_over_the_rows_only(spark, monkeypatch):
+    """50,000 features of 60 rows: no vector of the features' length comes to the driver or leaves it."""
+    from textlabel.operators import linear as LN
+    rng = np.random.default_rng(5)
+    rows = [(i, [f"t{i}_{k}" for k in range(830)] + ["a"] * int(rng.integers(0, 4)) + ["b"] * int(rng.integers(0, 3)), int(rng.integers(0, 2))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>, t int").repartition(4, "doc_id")
+    terms = TM.fit_terms(df, len(rows)).checkpoint(eager=True)
+    n = terms.count()
+    blocks = TM.term_blocks(df, terms, ["t"])
+    want, = LN.fit(blocks, n, [LN.Problem(0, 1 / 60)], 1e-8)
+    sent, one = [], LN._pass
+    monkeypatch.setattr(LN, "_pass", lambda *a: (lambda sums: sent.append(len(sums)) or sums)(one(*a)))
+    monkeypatch.setattr(LN, "LEAST", 1000)  # several partitions
+    (got,), table = LN.fit_wide(blocks, n, [LN.Problem(0, 1 / 60)], 1e-8)
+    w = np.zeros(n)
+    for r in table.collect():
+        w[r["idx"]] = r["w"][0]
+    assert table.count() == n > 49_000 and got.converged and max(sent) < 1000
+    assert np.allclose(w, want.weights, atol=1e-6) and abs(got.intercept - want.intercept) < 1e-6 and abs(got.loss - want.loss) < 1e-9
+
+
 def test_saved_model_scores_raw_text_in_a_fresh_session(spark, tmpdir_path):
     df = _some_texts(spark, 120)
     model = M.fit_bag_of_words(df.withColumn("tokens", TX.bow_tokens("text")), ["p", "q"])

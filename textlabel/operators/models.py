@@ -10,8 +10,6 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -23,10 +21,10 @@ from ..functions import text as TX
 from ..functions.labels import sigmoid
 from . import terms as TM
 from .evaluate import long_cells, metric_table
-from .linear import Fit, Problem, dense_blocks, fit
+from .linear import Fit, Problem, dense_blocks, fit, fit_wide
 from .ranking import md5_key, md5_unit
 
-#: rows that a fit reads at most, unless told otherwise: it bounds the weights, which the optimiser holds on the driver
+#: rows that a fit reads at most, unless told otherwise: it bounds the vectors over the rows, which the optimiser holds on the driver
 FIT_ROWS = 2_000_000
 
 
@@ -155,18 +153,12 @@ def fit_bag_of_words(train: DataFrame, label_cols: list[str], key: str = "doc_id
     terms = TM.fit_terms(rows, n_rows, tokens, key).checkpoint(eager=True)
     n_terms = terms.count()
     blocks = TM.term_blocks(rows, terms, label_cols, tokens)
-    found = fit(blocks, n_terms, [Problem(j, 1.0 / (C * n_rows)) for j in range(len(label_cols))], tol, max_iter)
-    weights = terms.join(weight_table(train.sparkSession, found), "idx").select("token", "idx", "scale", "w").checkpoint(eager=True)
+    found, w = fit_wide(blocks, n_terms, [Problem(j, 1.0 / (C * n_rows)) for j in range(len(label_cols))], tol, max_iter)
+    none = F.array_repeat(F.lit(0.0), len(label_cols))  # of a term that is in no block
+    weights = terms.join(w, "idx", "left").select("token", "idx", "scale", F.coalesce("w", none).alias("w")).checkpoint(eager=True)
     return BagOfWordsModel(weights, {c: LabelModel.of(f) for c, f in zip(label_cols, found)}, key, text, n_terms)
 
 
-def weight_table(spark: SparkSession, found: list[Fit]) -> DataFrame:
-    """(idx, w: array<double>) from the optimiser's weights, to be joined with terms by number."""
-    w = np.stack([f.weights for f in found], axis=1)
-    flat = pa.FixedSizeListArray.from_arrays(pa.array(w.ravel()), len(found)).cast(pa.list_(pa.float64()))
-    return spark.createDataFrame(pa.table([pa.array(np.arange(len(w))), flat], names=["idx", "w"]))
-
-
 # ---- search -----------------------------------------------------------------------------------------
 
 def search_trials(spark: SparkSession, n_trials: int, seed: int = 42) -> list[dict]:
