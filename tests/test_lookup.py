@@ -58,3 +58,23 @@ def test_document_embedding_is_the_mean_of_sentence_means(spark):
             want.append((k, *np.mean(means, axis=0).round(9)))
     got = [(r["doc_id"], *np.round(r["embedding"], 9)) for r in FE.doc_embeddings(df, vocab, vectors, 3).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_packed_vectors_are_the_normalised_doubles_at_half_the_width(spark):
+    """A vector that goes to a block is 32 bits a component, and comes out as the very doubles that Spark normalises."""
+    import pyarrow as pa
+    dim = 64
+    words = ["<unk>", "<pad>", *[f"word{i}" for i in range(300)]]
+    vocab = spark.createDataFrame(list(zip(words, range(len(words)))), "token string, idx long")
+    rng = np.random.default_rng(2)
+    vectors = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=dim)] if i != 4 else [0.0] * dim) for i in range(0, 90, 2)], "vec_id long, embedding array<float>")
+    wv = FE.word_vectors(vocab, vectors, dim)
+    packed = FE.packed_vectors(wv, "array<float>")
+    assert dict(packed.dtypes) == {"token": "string", "given": "array<float>", "hashed": "array<int>", "norm": "double"}
+    assert FE.EMBED_ROWS >= 8 * LK.ROWS
+    rows = packed.orderBy("token").toArrow()
+    want = wv.orderBy("token").select(FE.l2_normalize(F.col("vector")).alias("v")).collect()
+    got = FE.unpacked(rows, dim, np.ones(dim))
+    assert (got[:-1] == np.array([r["v"] for r in want])).all() and (got[-1] == 1).all()
+    only = rows.filter(pa.compute.is_valid(rows.column("given")))  # no hash vector among them
+    assert FE.unpacked(only, dim, np.ones(dim)).shape == (45 + 1, dim)

@@ -14,6 +14,10 @@ from .ranking import md5_key, md5_unit
 
 #: (document, word) pairs of a block that are multiplied with their vectors at a time
 PAIRS = 1 << 14
+#: rows of a block that meets word vectors, a power of two: a vector is a few hundred bytes, and wider blocks share more of them
+EMBED_ROWS = 2048
+#: range of the hash vectors
+LOW, HIGH = -0.25, 0.25
 
 
 # ---- bag of words -----------------------------------------------------------------------
@@ -52,7 +56,7 @@ def bow_scale_stats(counts: DataFrame, n_rows) -> DataFrame:
 
 # ---- word vectors ----------------------------------------------------------------------
 
-def hash_vector(word: Column, dim: int, seed: int = 7, low: float = -0.25, high: float = 0.25) -> Column:
+def hash_vector(word: Column, dim: int, seed: int = 7, low: float = LOW, high: float = HIGH) -> Column:
     """A repeatable U(low, high) vector per word from md5(seed:word:d): the same on every
     partitioning and in SQL (stands in for the reference's unseeded random init)."""
     span = high - low
@@ -86,18 +90,42 @@ def word_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 7,
             .select("token", "idx", F.col("_vec").isNotNull().alias("known"), vec.alias("vector")))
 
 
+def packed_vectors(wv: DataFrame, kind: str) -> DataFrame:
+    """(token, given, hashed, norm) of ``word_vectors``, half as wide to send as normalised doubles: a known vector as it was given (``kind``), a hash
+    vector by its 32-bit numbers, and the divisor of ``l2_normalize``. Nothing is rounded: ``unpacked`` gives the same doubles."""
+    number = lambda x: ((x - F.lit(LOW)) / F.lit(HIGH - LOW) * F.lit(2.0 ** 32) - F.lit(2.0 ** 31)).cast("int")
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    return wv.select("token", F.when(F.col("known"), F.col("vector").cast(kind)).alias("given"),
+                     F.when(~F.col("known"), F.transform("vector", number)).alias("hashed"), F.greatest(norm, F.lit(1e-12)).alias("norm"))
+
+
+def unpacked(entries: pa.Table, dim: int, last: np.ndarray) -> np.ndarray:
+    """The normalised vectors of ``packed_vectors`` rows, and ``last`` below them."""
+    given, hashed = (entries.column(c).combine_chunks() for c in ("given", "hashed"))
+    known = given.is_valid().to_numpy(zero_copy_only=False)
+    norm = entries.column("norm").to_numpy()[:, None]
+    table = np.empty((entries.num_rows + 1, dim))
+    table[:-1][known] = given.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) / norm[known]
+    number = hashed.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) + 2.0 ** 31
+    table[:-1][~known] = (LOW + (HIGH - LOW) * number / 4294967296.0) / norm[~known]
+    table[-1] = last
+    return table
+
+
 def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, dim: int,
                    key: str = "doc_id", tokens: str = "tokens", seed: int = 7, unk_idx: int = 0) -> DataFrame:
     """ML3 features: (key, embedding), the mean over the sentences of a document of the mean of its L2-normalised word vectors.
 
     The mean of means is one weighted mean: a token of a sentence of n tokens weighs 1 / (non-empty sentences x n). Documents lie in
-    blocks; a vector comes to a block once for each distinct word of it (``operators.lookup``), and the block's (document, word) weights
+    blocks; a vector comes to a block once for each distinct word of it (``operators.lookup``), packed, and the block's (document, word) weights
     are multiplied with its vectors, a few thousand pairs at a time. Documents without a word are not in the result.
     """
-    wv = word_vectors(vocab, vectors, dim, seed).select("token", "idx", l2_normalize(F.col("vector")).alias("v"))
-    unknown = wv.filter(F.col("idx") == unk_idx).select("v").first()  # one row: the vector of words outside the vocabulary
-    unk = np.array(unknown["v"] if unknown else [0.0] * dim)
-    laid = LK.in_blocks(tokens_df.select(F.col(key), LK.nested(tokens_df, tokens).alias("_tokens")))
+    wv = word_vectors(vocab, vectors, dim, seed)
+    # one row: the vector of words outside the vocabulary
+    unknown = wv.filter(F.col("idx") == unk_idx).select(l2_normalize(F.col("vector")).alias("v")).first()
+    unk = np.array(unknown["v"] if unknown else [0.0] * dim, dtype=np.float64)
+    packed = packed_vectors(wv, "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>")
+    laid = LK.in_blocks(tokens_df.select(F.col(key), LK.nested(tokens_df, tokens).alias("_tokens")), EMBED_ROWS)
     kind = laid.schema[key].dataType.simpleString()
 
     def fold(documents: pa.Table, entries: pa.Table) -> pa.Table:
@@ -106,7 +134,7 @@ def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, d
         sentence_row = np.repeat(np.arange(n), per_row)
         sentences = np.bincount(sentence_row, per_sentence > 0, n)
         share = 1.0 / np.maximum(sentences[sentence_row] * per_sentence, 1)
-        table = np.vstack([entries.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim), unk])
+        table = unpacked(entries, dim, unk)
         at = LK.places(words, entries)
         at[at < 0] = len(table) - 1
         pair, which = np.unique(np.repeat(sentence_row, per_sentence) * len(table) + at, return_inverse=True)
@@ -121,4 +149,4 @@ def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, d
         embedding = LK.lists(pa.array(sums[full].ravel()), np.full(int(full.sum()), dim))
         return pa.table([documents.column(key).filter(pa.array(full)), embedding], names=[key, "embedding"])
 
-    return LK.look_up(laid, "_tokens", wv.select("token", "v"), fold, f"`{key}` {kind}, embedding array<double>")
+    return LK.look_up(laid, "_tokens", packed, fold, f"`{key}` {kind}, embedding array<double>")
