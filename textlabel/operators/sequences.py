@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import ensure_checkpoint_dir
 from .vocab import build_vocabulary, index_tokens
 
 
@@ -54,14 +55,17 @@ def numericalize(indexed: DataFrame, ids: str = "ids", pad_idx: int = 1,
 
 
 def sequence_features(df: DataFrame, text: str = "text", key: str = "doc_id",
-                      n_sentences: int = 12, max_words: int = 20, fit_on: DataFrame | None = None):
+                      n_sentences: int = 12, max_words: int = 20, fit_on: DataFrame | None = None, only: DataFrame | None = None):
     """Pipeline 3.2 front half: documents -> (vocabulary, padded id cube per document).
 
-    ``fit_on``: build the vocabulary on these prepared rows only (quirk Q5); default all rows.
+    ``fit_on``: build the vocabulary on these prepared rows only (quirk Q5); default all rows. ``only``: cubes of the documents with these keys only;
+    vocabulary and maxima are still those of all rows.
     """
-    prepared = prepare_documents(df, text, key, n_sentences, max_words)
+    ensure_checkpoint_dir(df.sparkSession)
+    # prepared once: the vocabulary, the maxima and the lookup read it
+    prepared = prepare_documents(df, text, key, n_sentences, max_words).select(key, "tokens").checkpoint(eager=True)
     vocab = build_vocabulary(fit_on if fit_on is not None else prepared)
-    indexed = index_tokens(prepared, vocab, key)
+    indexed = index_tokens(prepared if only is None else prepared.join(only.select(key), key, "left_semi"), vocab, key)
     return vocab, numericalize(indexed, maxima=shape_maxima(prepared, "tokens"))
 
 

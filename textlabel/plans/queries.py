@@ -203,8 +203,8 @@ def encode_fixed(spark, d):
 
 def sequence_dataset(spark, d):
     """Raw text to the padded cube of ids, with the label vector and the exact split of the labelled rows."""
-    vocab, cube = SQ.sequence_features(I.documents(spark, d))
     lab = I.labelled_int(spark, d)
+    vocab, cube = SQ.sequence_features(I.documents(spark, d), only=lab.select("doc_id"))
     vec = F.array_join(L.label_vector(LABELS).cast("array<string>"), ",")
     split = S.exact_split(lab.select("doc_id"), "doc_id", seed=42, rule="halves")
     return (cube.join(lab.select("doc_id", vec.alias("label_vec")), "doc_id").join(split, "doc_id")
