@@ -17,6 +17,7 @@ an id have a null id in the result. Other columns are not read.
 from __future__ import annotations
 
 import json
+import string
 import unicodedata
 import zlib
 from array import array
@@ -33,12 +34,14 @@ from .common import id_and, slices, stored, texts_of
 
 #: buckets that the documents of one length are dealt to before they are ranked
 BUCKETS = 64
-#: words and pre-tokens that a worker remembers before it starts anew
+#: words and pre-tokens that a worker remembers, in each of two generations
 REMEMBERED = 250_000
 #: bytes of the texts that are tokenised at a time, but for a longer one
 SLICE = 1 << 20
 #: longer words are not remembered
 LONGEST = 60
+#: ASCII's printable characters that are neither letters nor digits: a run of them is one pre-token
+PUNCTUATION = string.punctuation
 
 
 def word_path(path: str | None = None) -> str:
@@ -56,10 +59,12 @@ def word_encoder(path: str) -> "WordEncoder":
 
 class WordEncoder(dict):
     """The library's ids, found word by word. Blanks and line ends always separate pre-tokens, so a text's ids are
-    those of its words one after the other; the encoder is the dictionary of the words that a worker has met.
+    those of its words one after the other; the encoder is the dictionary of the words and pre-tokens that a worker has met
+    lately, and ``older`` that of the generation before.
 
     A new word of plain letters (where lower case and NFC act on each character alone) is cut with the file's own
-    pattern and only its unknown pre-tokens go to the library's model; any other word goes through the whole library.
+    pattern, which leaves letters alone whole, and only its unknown pre-tokens go to the library's model; any other word
+    goes through the whole library. A pre-token that is a word has the ids of that word, so one dictionary holds both.
     """
 
     def __init__(self, path: str):
@@ -80,33 +85,47 @@ class WordEncoder(dict):
         self.plain = regex.compile("[" + "".join(map(regex.escape, plain)) + "]*").fullmatch
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelt = {c: level.pre_tokenize_str(c)[0][0] for c in {p.lower() for p in plain}}
-        self.tokens: dict[str, bytes] = {}
+        self.has_special = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)").search
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if len(word) > LONGEST:
             return self.whole(word)
-        plain = (word.isascii() and word.isprintable()) or self.plain(word)
-        if plain and not any(s in word for s in self.special):
-            tokens = self.tokens
-            ids = b"".join([tokens.get(p) or self.token(p) for p in self.cut(word.lower())])
-        else:
-            ids = self.whole(word)
+        ids = self.older.get(word)
+        if ids is None:
+            low = word.lower()
+            if word.isascii():
+                letters = low.rstrip(PUNCTUATION)
+                if letters.isalpha() and not self.has_special(word):  # a word as most are, and the marks after it
+                    tail = low[len(letters):]
+                    ids = (self.token(low) if low == word else self[low]) if not tail else self[letters] + self[tail]
+                elif word.isprintable() and not self.has_special(word):
+                    ids = self.joined(low, word)
+                else:
+                    ids = self.whole(word)
+            elif self.plain(word) and not self.has_special(word):
+                ids = self.joined(low, word)
+            else:
+                ids = self.whole(word)
         self[word] = ids
         return ids
 
+    def joined(self, low: str, word: str) -> bytes:
+        cut = [low] if low.isalpha() else self.cut(low)
+        return b"".join([self.token(p) if p == word else self[p] for p in cut])
+
     def token(self, pre: str) -> bytes:
         spelt = pre if pre.isascii() else "".join([self.spelt[c] for c in pre])
-        ids = self.tokens[pre] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
-        return ids
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
     def whole(self, word: str) -> bytes:
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Little-endian uint32 ids of a text."""
-        if len(self) > REMEMBERED:
+        if len(self) > REMEMBERED:  # what has not been met again by the next time is forgotten
+            self.older = dict(self)
             self.clear()
-            self.tokens.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
