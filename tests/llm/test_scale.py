@@ -1,8 +1,9 @@
 """What the operators of textlabel.llm make or keep along the way, on tables built here."""
 
+import numpy as np
 import tokenizers
 
-from textlabel.llm import packing
+from textlabel.llm import neardup, packing
 
 
 def test_frequent_words_outlive_a_generation(monkeypatch):
@@ -25,3 +26,38 @@ def test_words_with_marks_have_the_library_s_ids():
     for text in ["Word, word. WORD?! don't 's 'tis <|endoftext|> a<|startoftext|>, <|x e-mail x9. (so) \x1cab\x7f, naïve, Ñandú! ǅ İ ½ a½, é", "", " , ", "it's", "ab'S."]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert encoder.encode(text) == b"".join(i.to_bytes(4, "little") for i in ids)
+
+
+def test_bounds_of_pairs_are_never_too_small():
+    rng = np.random.default_rng(1)
+    x = np.r_[0.0, rng.random(2000) * 10.0 ** rng.integers(-9, 5, 2000), 70000.0]
+    half = neardup._half_above(x)
+    assert (half >= x).all() and (half[1:-1].astype(float) <= x[1:-1] * 1.001 + 1e-7).all()
+
+
+def test_blocks_are_crossed_whole(monkeypatch):
+    rng = np.random.default_rng(2)
+    for pairs in (1, 7, 64, 10_000):
+        monkeypatch.setattr(neardup, "PAIRS", pairs)
+        n, m = rng.integers(1, 9, 30), rng.integers(1, 40, 30)
+        left, right = np.r_[0, np.cumsum(n)], np.r_[0, np.cumsum(m)]
+        got = [tuple(map(int, t)) for row, a, b in neardup._crossed(left, right) for t in zip(row, a, b)]
+        assert len(got) == len(set(got)) and set(got) == {(r, a, b) for r in range(30) for a in range(left[r], left[r + 1]) for b in range(right[r], right[r + 1])}
+    assert list(neardup._crossed(np.zeros(1, int), np.zeros(1, int))) == []
+
+
+def test_texts_beside_a_group_are_not_compared_one_by_one(spark, monkeypatch):
+    """Texts that share a bucket and their changes with others, but are similar to few: their pairs with the group do not leave the blocks."""
+    rng = np.random.default_rng(3)
+    base = [f"w{rng.integers(10 ** 6)}" for _ in range(160)]
+    changes = [(12 * i + 3, f"c{i}") for i in range(13)]
+    texts = [" ".join(w if k != 5 + 2 * i else f"n{i}" for k, w in enumerate(base)) for i in range(60)]
+    for _ in range(60):
+        change = dict(changes[i] for i in rng.choice(13, 6, replace=False))
+        texts.append(" ".join(change.get(k, w) for k, w in enumerate(base)))
+    compared = []
+    verified = neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {got[i] for i in range(60)} == {0} and len(got) == 120
+    assert sum(compared) < 900
