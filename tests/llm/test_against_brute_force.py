@@ -139,6 +139,65 @@ def test_op3_united_lists(spark):
     assert sorted(found.tolist()) == [0, 1, 2]
 
 
+def near_the_limit(n=300, width=64):
+    """Pairs of vectors with cosines a little below and above 0.95."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(n, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = rng.normal(size=(n, width))
+    aside -= (aside * x).sum(axis=1, keepdims=True) * x
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cos = 0.95 + rng.uniform(-0.004, 0.004, size=(n, 1))
+    y = cos * x + np.sqrt(1 - cos * cos) * aside
+    return np.concatenate([x, y / np.linalg.norm(y, axis=1, keepdims=True)])
+
+
+def test_op3_codes_bound_every_dot_product():
+    x = near_the_limit()
+    near, off, names = vector_graph.decoded(vector_graph.coded(x, vector_graph._names([v.tobytes() for v in x])), 64)
+    assert (np.abs(x @ near.T - x @ x.T) <= off).all() and off.max() < 0.02
+    assert names == vector_graph._names([v.tobytes() for v in x])
+
+
+def test_op3_parts_hold_a_vector_once(spark):
+    """A neighbour that is in another part comes as a code, not as a vector."""
+    x = near_the_limit(3, 64)[[0, 3, 1, 4]]
+    rows = [(0, 0, [0, 1, 2]), (1, 0, [1, 2, 3])]
+    built = spark.createDataFrame([(s, p, [bytearray(x[i].tobytes()) for i in m], [0, 1], [1, 2]) for s, p, m in rows],
+                                  "shard int, part long, members array<binary>, a array<long>, b array<long>")
+    for part, own, other in zip(vector_graph._united(built).orderBy("shard").collect(), ([0, 1, 2], [1, 2, 3]), (3, 0)):
+        assert [bytes(m) for m in part["members"]] == [x[i].tobytes() for i in own]
+        assert [len(c) for c in part["codes"]] == [20 + 64] and bytes(part["codes"][0][:12]) == vector_graph._names([x[other].tobytes()])[0]
+        links = {tuple(sorted([*own, other][k] for k in link)) for link in zip(part["a"], part["b"])}
+        assert links == {(0, 1), (1, 2), (2, 3)}
+
+
+def test_op3_small_parts_lose_and_add_nothing(spark, monkeypatch):
+    """Many parts, each node in one, so that half of what is found is found by codes; every pair is near the limit."""
+    for name, value in (("SHARD", 30), ("SIDE_BY_SIDE", 16), ("LANE", 2)):
+        monkeypatch.setattr(vector_graph, name, value)
+    fetched = []
+    verified = vector_graph._verified
+    monkeypatch.setattr(vector_graph, "_verified", lambda pairs, *more: fetched.append(pairs.count()) or verified(pairs, *more))
+    x = near_the_limit()
+    names = vector_graph._names([v.tobytes() for v in x])
+    want = {tuple(sorted((names[i], names[j]))) for i, j in zip(*np.nonzero(x @ x.T >= 0.95)) if i < j}
+    got = [(bytes(r["a"]), bytes(r["b"])) for r in vector_graph.find_links(as_nodes(spark, x), 0.95, 0.99, probes=2).collect()]
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.99 * len(want) and sum(fetched) > 0
+
+
+def test_op3_goes_on_with_the_shards_not_asked_yet(spark, monkeypatch):
+    monkeypatch.setattr(vector_graph, "SHARD", 30)
+    asked, shares, links = [], iter([0.0, 0.0, 1.0]), vector_graph._links
+    monkeypatch.setattr(vector_graph, "_links", lambda found, nodes, shared, first, probes, s: asked.append((first, probes)) or links(found, nodes, shared, first, probes, s))
+    monkeypatch.setattr(vector_graph, "audit", lambda *_: next(shares))
+    x = near_the_limit()
+    names = vector_graph._names([v.tobytes() for v in x])
+    want = {tuple(sorted((names[i], names[j]))) for i, j in zip(*np.nonzero(x @ x.T >= 0.95)) if i < j}
+    got = [(bytes(r["a"]), bytes(r["b"])) for r in vector_graph.find_links(as_nodes(spark, x), 0.95, 0.99, probes=3).collect()]
+    assert asked == [(0, 3), (3, 6), (6, 12)] and len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.99 * len(want)
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 

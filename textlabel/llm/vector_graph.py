@@ -5,13 +5,16 @@
    ``SHARD`` nodes are dealt to parts, and a centre's share of the nodes only changes their number.
 3. Build: in each part every node's nearest nodes are robust-pruned to at most ``DEGREE`` neighbours: a candidate is dropped if a kept
    neighbour is, by a factor, nearer to it than the node is. The adjacency lists that a node has in all its parts are united, links
-   both ways, and each part has the united lists of its members: neighbours from other parts are added to its nodes.
+   both ways, and each part has the united lists of its members: neighbours from other parts are added to its nodes. A part sends
+   each other part what their common members have in it; the neighbours themselves go as codes, a byte a component and the length of
+   what the rounding takes off, which bounds the error of every dot product.
 4. Search: each node is looked for in its ``PROBES`` nearest shards, all parts of them. From the medoids of the graph's components (a
    group of near copies may have no link to the rest) a greedy search goes to the neighbours nearest to the query, a beam at a time;
    it then expands the range: neighbours of all nodes within the range are visited until no new node is in range.
-5. Verify: a pair is linked if the dot product of the unit vectors in double precision is >= ``similarity``.
+5. Verify: a pair is linked if the dot product of the unit vectors in double precision is >= ``similarity``; where a code's bound
+   leaves this open, the pair's vectors are fetched.
 6. ``true_links``: all links of a hash sample of nodes, against all nodes; the sample grows until it holds ``AUDIT_LINKS`` links or
-   every node. If the search has found less than ``recall`` of them it is repeated in twice as many shards, at last in all of
+   every node. If the search has found less than ``recall`` of them it goes on to twice as many shards, at last to all of
    them; if that is not enough either, each node is compared with all nodes of its width, block by block.
 
 ``vector_duplicates``: one row for each row of the table. n_links counts rows, copies included. A vector that is null, empty, zero
@@ -45,6 +48,8 @@ BEAM = 24
 SLACK = 0.05
 #: queries that walk a part side by side
 SIDE_BY_SIDE = 1024
+#: blocks of queries that a shard takes in one task; a shard that is asked by more has its parts in several
+LANE = 8
 #: the audit starts with so many nodes, and goes on, at most AUDIT_BLOCK nodes at once, until they have so many true links
 AUDIT_NODES, AUDIT_LINKS, AUDIT_BLOCK = 200, 500, 4096
 
@@ -108,9 +113,11 @@ def medoids(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     return np.array([own[(x[own] @ x[own].mean(axis=0)).argmax()] for own in np.split(order, heads[1:])])
 
 
-def range_search(x: np.ndarray, table: np.ndarray, q: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, node, dot product) within the range, found from the medoids of the graph's components."""
+def range_search(x: np.ndarray, table: np.ndarray, q: np.ndarray, similarity: float, off: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, node, dot product) within the range, found from the medoids of the graph's components. ``off`` bounds the error of
+    each node's dot products: what may be in the range is in it."""
     n, m = len(x), len(q)
+    off = np.zeros(n) if off is None else off
     starts = medoids(x, table)
     seen = np.zeros((m, n), dtype=bool)
     seen[:, starts] = True
@@ -157,20 +164,20 @@ def range_search(x: np.ndarray, table: np.ndarray, q: np.ndarray, similarity: fl
         score = np.take_along_axis(all_score, top, axis=1)
     # the range grows from every node inside it, whether walked before or not
     a, b, s = (np.concatenate(v) for v in zip(*found))
-    inside = s >= similarity - SLACK
+    inside = s >= similarity - SLACK - off[b]
     a, b = a[inside], b[inside]
     while len(a):
         parts = [visit(a[i: i + 20_000], b[i: i + 20_000]) for i in range(0, len(a), 20_000)]
         a, b, s = (np.concatenate(v) for v in zip(*parts))
-        inside = s >= similarity - SLACK
+        inside = s >= similarity - SLACK - off[b]
         a, b = a[inside], b[inside]
     a, b, s = (np.concatenate(v) for v in zip(*found))
-    hit = s >= similarity
+    hit = s >= similarity - off[b]
     return a[hit], b[hit], s[hit]
 
 
-def _routes(nodes: DataFrame, centres, count: int, parts: dict) -> DataFrame:
-    """(node, shard, nearest first place) for the ``count`` nearest shards of each node."""
+def _routes(nodes: DataFrame, centres, count: int, first: int = 0) -> DataFrame:
+    """(node, shard) for the ``count`` nearest shards of each node, but for the ``first`` nearest."""
 
     def run(batches):
         for batch in batches:
@@ -179,7 +186,7 @@ def _routes(nodes: DataFrame, centres, count: int, parts: dict) -> DataFrame:
             for w in np.unique(widths):
                 at = column.take(pa.array(np.flatnonzero(widths == w)))
                 names, points = centres.value[int(w)]
-                near = np.argsort(-(matrix(at) @ points.T), axis=1, kind="stable")[:, :count]
+                near = np.argsort(-(matrix(at) @ points.T), axis=1, kind="stable")[:, first:count]
                 yield pa.RecordBatch.from_arrays([at.take(pa.array(np.repeat(np.arange(len(at)), near.shape[1]))), pa.array(names[near.ravel()])], names=["node", "shard"])
 
     return nodes.select("node").mapInArrow(run, "node binary, shard int")
@@ -193,45 +200,6 @@ def _built(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": group["shard"].iloc[0], "part": group["part"].iloc[0], "members": [group["node"].tolist()], "a": [a.tolist()], "b": [b.tolist()]})
 
 
-def _united(built: DataFrame) -> DataFrame:
-    """The parts with the united lists of their members. Neighbours from other parts come after a part's own members."""
-    schema = "shard int, part long, id binary, other binary"
-
-    def listed(parts):
-        for batch in parts:
-            shard, part, members, a, b = (batch.column(batch.schema.get_field_index(c)) for c in ("shard", "part", "members", "a", "b"))
-            for i in range(batch.num_rows):
-                ids = pa.array([hashlib.md5(v).digest() for v in members[i].values.to_pylist()], pa.binary())
-                u, v = ids.take(a[i].values), ids.take(b[i].values)
-                for x, y in ((u, v), (v, u)):
-                    yield pa.RecordBatch.from_arrays([pa.array([shard[i].as_py()] * len(x), pa.int32()), pa.array([part[i].as_py()] * len(x), pa.int64()), x, y],
-                                                     names=["shard", "part", "id", "other"])
-
-    vectors = built.select("shard", "part", F.explode("members").alias("node")).withColumn("id", F.unhex(F.md5("node")))
-    own = vectors.select("shard", "part", "id")
-    lists = built.mapInArrow(listed, schema).toDF("from_shard", "from_part", "id", "other")
-    # what a member has in its other parts
-    brought = stored(own.join(lists, "id").filter("shard != from_shard or part != from_part").select("shard", "part", "id", "other").distinct())
-    beyond = brought.select("shard", "part", F.col("other").alias("id")).distinct().join(own, ["shard", "part", "id"], "left_anti")
-    more = beyond.join(vectors.select("id", "node").dropDuplicates(["id"]), "id").groupBy("shard", "part").agg(F.collect_list("node").alias("more"))
-    links = brought.groupBy("shard", "part").agg(F.collect_list(F.struct("id", "other")).alias("links"))
-    rows = (built.join(more, ["shard", "part"], "left").join(links, ["shard", "part"], "left")
-            .select("shard", "part", "members", "a", "b", F.coalesce("more", F.array().cast("array<binary>")).alias("more"),
-                    F.coalesce("links.id", F.array().cast("array<binary>")).alias("u"), F.coalesce("links.other", F.array().cast("array<binary>")).alias("v")))
-
-    def merged(parts):
-        for batch in parts:
-            for i in range(batch.num_rows):
-                shard, part, members, a, b, more, u, v = (batch.column(k)[i] for k in range(8))
-                nodes = members.values.to_pylist() + more.values.to_pylist()
-                place = {hashlib.md5(x).digest(): k for k, x in enumerate(nodes)}
-                a, b = (x.values.to_pylist() + [place[y] for y in z.values.to_pylist()] for x, z in ((a, u), (b, v)))
-                yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()], pa.int32()), pa.array([part.as_py()], pa.int64()), pa.array([nodes], pa.list_(pa.binary())),
-                                                  pa.array([a], pa.list_(pa.int64())), pa.array([b], pa.list_(pa.int64()))], names=["shard", "part", "members", "a", "b"])
-
-    return rows.mapInArrow(merged, built.schema)
-
-
 def _names(nodes: list[bytes]) -> list[bytes]:
     """What a node is called in links: 12 bytes of the md5 of its vector, as ``_named`` has it."""
     return [hashlib.md5(v).digest()[:12] for v in nodes]
@@ -241,6 +209,92 @@ def _named(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("name", F.unhex(F.substring(F.md5("node"), 1, 24)))
 
 
+def code_type(width: int) -> np.dtype:
+    """A neighbour from another part: name, step of a component, the length of what rounding takes off (rounded up), components in steps."""
+    return np.dtype([("name", "u1", 12), ("step", "<f4"), ("off", "<f4"), ("x", "i1", width)])
+
+
+def coded(x: np.ndarray, names: list[bytes]) -> list[bytes]:
+    """Codes of unit vectors."""
+    out = np.zeros(len(x), code_type(x.shape[1]))
+    out["name"] = np.frombuffer(b"".join(names), np.uint8).reshape(len(x), 12)
+    out["step"] = np.abs(x).max(axis=1) / 127
+    step = out["step"].astype(float)[:, None]
+    out["x"] = np.clip(np.rint(x / step), -127, 127)
+    out["off"] = np.nextafter(np.sqrt(((x - out["x"] * step) ** 2).sum(axis=1)).astype("<f4"), np.float32(np.inf))
+    return [r.tobytes() for r in out]
+
+
+def decoded(codes: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(vectors, bounds of the error of their dot products with unit vectors, names) of codes."""
+    out = np.frombuffer(b"".join(codes), code_type(width))
+    return out["x"] * out["step"].astype(float)[:, None], out["off"].astype(float), [r.tobytes() for r in out["name"]]
+
+
+def _united(built: DataFrame) -> DataFrame:
+    """The parts with the united lists of their members. Neighbours from other parts come after a part's own members: as codes, after
+    those that are members, or as members themselves where a vector is no longer than its code."""
+    own = _named(built.select("shard", "part", F.explode("members").alias("node"))).select("name", F.struct("shard", "part").alias("home"))
+    homes = own.groupBy("name").agg(F.collect_list("home").alias("homes")).filter(F.size("homes") > 1)
+    common = (homes.select("name", "homes", F.explode("homes").alias("home")).groupBy("home.shard", "home.part")
+              .agg(F.collect_list(F.struct("name", "homes")).alias("common")))
+
+    def sent(parts):
+        """For each other part: the links of the members that both have; what it does not have comes with a vector or code."""
+        for batch in parts:
+            for i in range(batch.num_rows):
+                shard, part, members, a, b, shared = (batch.column(k)[i] for k in range(6))
+                nodes, a, b = members.values.to_pylist(), a.values.to_numpy(), b.values.to_numpy()
+                names = _names(nodes)
+                place = {v: k for k, v in enumerate(names)}
+                targets: dict[tuple, list[int]] = {}
+                for one in shared.as_py():
+                    for at in one["homes"]:
+                        targets.setdefault((at["shard"], at["part"]), []).append(place[one["name"]])
+                targets.pop((shard.as_py(), part.as_py()), None)
+                width = len(nodes[0]) // 8
+                wanted = coded(matrix(members.values), names) if code_type(width).itemsize < 8 * width else nodes
+                for (to_shard, to_part), known in targets.items():
+                    both = np.zeros(len(nodes), bool)
+                    both[known] = True
+                    link = both[a] | both[b]
+                    ends, at = np.unique(np.r_[a[link], b[link]], return_inverse=True)
+                    if len(ends):
+                        yield pa.RecordBatch.from_pylist([{"shard": to_shard, "part": to_part, "names": b"".join(names[k] for k in ends),
+                                                           "nodes": [None if both[k] else wanted[k] for k in ends],
+                                                           "ends": at.astype("<i4").tobytes()}], schema=rows)
+
+    rows = pa.schema([("shard", pa.int32()), ("part", pa.int64()), ("names", pa.binary()), ("nodes", pa.list_(pa.binary())), ("ends", pa.binary())])
+    brought = (built.join(common, ["shard", "part"]).select("shard", "part", "members", "a", "b", "common")
+               .mapInArrow(sent, "shard int, part long, names binary, nodes array<binary>, ends binary")
+               .groupBy("shard", "part").agg(F.collect_list(F.struct("names", "nodes", "ends")).alias("brought")))
+
+    def merged(parts):
+        for batch in parts:
+            for i in range(batch.num_rows):
+                shard, part, members, a, b, brought_ = (batch.column(k)[i] for k in range(6))
+                nodes = members.values.to_pylist()
+                n, width = len(nodes), len(nodes[0])
+                place = {v: k for k, v in enumerate(_names(nodes))}
+                a, b = [a.values.to_numpy()], [b.values.to_numpy()]
+                for one in brought_.as_py() or []:
+                    names = [one["names"][k: k + 12] for k in range(0, len(one["names"]), 12)]
+                    for name, node in zip(names, one["nodes"]):
+                        if name not in place:  # a neighbour may come from several parts
+                            place[name] = len(nodes)
+                            nodes.append(node)
+                    ends = np.array([place[v] for v in names])[np.frombuffer(one["ends"], "<i4")]
+                    a.append(ends[: len(ends) // 2])
+                    b.append(ends[len(ends) // 2:])
+                n = n if len(nodes) > n and len(nodes[n]) != width else len(nodes)
+                yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()], pa.int32()), pa.array([part.as_py()], pa.int64()), pa.array([nodes[:n]], pa.list_(pa.binary())),
+                                                  pa.array([np.concatenate(a)], pa.list_(pa.int64())), pa.array([np.concatenate(b)], pa.list_(pa.int64())),
+                                                  pa.array([nodes[n:]], pa.list_(pa.binary()))], names=["shard", "part", "members", "a", "b", "codes"])
+
+    return (built.join(brought, ["shard", "part"], "left").select("shard", "part", "members", "a", "b", "brought")
+            .mapInArrow(merged, "shard int, part long, members array<binary>, a array<long>, b array<long>, codes array<binary>"))
+
+
 def _pairs(left: list[bytes], right: list[bytes], a: np.ndarray, b: np.ndarray):
     """The distinct pairs (smaller name, larger name) of left[a] and right[b], a slice at a time; a node is not linked with itself."""
     names = sorted({*left, *right})
@@ -253,24 +307,51 @@ def _pairs(left: list[bytes], right: list[bytes], a: np.ndarray, b: np.ndarray):
         yield pa.RecordBatch.from_arrays([names.take(pa.array(x)) for x in (some // len(names), some % len(names))], names=["a", "b"])
 
 
-def _links(found: DataFrame, nodes: DataFrame, shared, probes: int, similarity: float) -> DataFrame:
-    """Distinct linked pairs (a < b, by name) of nodes found by looking in ``probes`` shards for each node."""
+def _links(found: DataFrame, nodes: DataFrame, shared, first: int, probes: int, similarity: float) -> DataFrame:
+    """Distinct linked pairs (a < b, by name) of nodes found by looking in the ``probes`` nearest shards of each node, but for the ``first`` nearest."""
     block = F.pmod(F.shiftright(F.xxhash64("node"), 7), F.col("blocks"))
-    routes = _routes(nodes, shared, probes, {})
-    blocks = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SIDE_BY_SIDE).alias("blocks"))  # at most CENTRES a width
-    asked = routes.join(F.broadcast(blocks), "shard").groupBy("shard", block.alias("block")).agg(F.collect_list("node").alias("queries"))
-    rows = asked.join(found, "shard").select("members", "a", "b", "queries")
+    routes = _routes(nodes, shared, probes, first)
+    sizes = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SIDE_BY_SIDE).alias("blocks")).withColumn("lanes", F.ceil(F.col("blocks") / LANE))  # at most CENTRES a width
+    # a vector moves once for each shard that it asks; its block is made where the shard's parts are
+    asked = (routes.join(F.broadcast(sizes), "shard").select("shard", "node", block.alias("block"), F.pmod(block, F.col("lanes")).alias("lane"))
+             .repartition("shard", "lane").groupBy("shard", "lane", "block").agg(F.collect_list("node").alias("queries")))
+    there = found.join(F.broadcast(sizes.select("shard", "lanes")), "shard").withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)))
+    rows = asked.join(there, ["shard", "lane"]).select("members", "a", "b", "codes", "queries")
 
     def run(parts):
         for batch in parts:
             for i in range(batch.num_rows):
-                members, asked_ = batch.column(0)[i].values, batch.column(3)[i].values
-                x, q = matrix(members), matrix(asked_)
+                members, codes, asked_ = (batch.column(k)[i].values for k in (0, 3, 4))
+                x, q, names = matrix(members), matrix(asked_), _names(members.to_pylist())
+                off = np.zeros(len(x))
+                if len(codes):
+                    near, error, called = decoded(codes.to_pylist(), x.shape[1])
+                    x, off, names = np.concatenate([x, near]), np.r_[off, error], names + called
                 table = neighbour_table(len(x), batch.column(1)[i].values.to_numpy(), batch.column(2)[i].values.to_numpy())
-                a, b, _ = range_search(x, table, q, similarity)
-                yield from _pairs(_names(asked_.to_pylist()), _names(members.to_pylist()), a, b)
+                a, b, s = range_search(x, table, q, similarity, off)
+                sure = s >= similarity + off[b]
+                for these in (True, False):
+                    for pairs in _pairs(_names(asked_.to_pylist()), names, a[sure == these], b[sure == these]):
+                        yield pairs.append_column("sure", pa.array([these] * len(pairs)))
 
-    return rows.mapInArrow(run, "a binary, b binary").distinct()
+    pairs = stored(rows.mapInArrow(run, "a binary, b binary, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure")))
+    return pairs.filter("sure").select("a", "b").union(_verified(pairs.filter("not sure"), nodes, similarity))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b, by name) that are linked, by their vectors."""
+    named = _named(nodes).select("name", "node")
+    both = pairs.join(named.toDF("a", "x"), "a").join(named.toDF("b", "y"), "b").select("a", "b", "x", "y")
+
+    def run(parts):
+        for batch in parts:
+            widths = np.array([len(v) for v in batch.column(2).to_pylist()])
+            for w in np.unique(widths):
+                some = batch.take(pa.array(np.flatnonzero(widths == w)))
+                linked = np.einsum("ij,ij->i", matrix(some.column(2)), matrix(some.column(3))) >= similarity
+                yield some.select(["a", "b"]).filter(pa.array(linked))
+
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def _compared(built: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -348,19 +429,21 @@ def find_links(nodes: DataFrame, similarity: float, recall: float, probes: int =
         centres[w] = (np.arange(total, total + len(rows), dtype=np.int32), matrix(pa.array(rows, pa.binary())))
         total += len(rows)
     shared = nodes.sparkSession.sparkContext.broadcast(centres)  # at most CENTRES vectors a width
-    routes = _routes(nodes, shared, COPIES, {})
+    routes = _routes(nodes, shared, COPIES)
     sizes = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / (2 * SHARD)).alias("parts"))
     dealt = routes.join(F.broadcast(sizes), "shard").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).select("shard", "part", "node")
     built = stored(dealt.groupBy("shard", "part").applyInPandas(_built, "shard int, part long, members array<binary>, a array<long>, b array<long>"))
     united = stored(_united(built))
     truth = true_links(nodes, similarity)
+    links, looked = None, 0
     while True:
-        links = stored(_links(united, nodes, shared, probes, similarity))
+        more = _links(united, nodes, shared, looked, probes, similarity)
+        links = stored(links.union(more).distinct() if links is not None else more)
         if audit(links, truth) >= recall:
             return links
         if probes >= total:
             return stored(_compared(built, nodes, similarity))
-        probes = min(total, 2 * probes)
+        looked, probes = probes, min(total, 2 * probes)
 
 
 def _linkable(vector: str):
