@@ -1,6 +1,7 @@
 """What the operators of textlabel.llm make or keep along the way, on tables built here."""
 
 import numpy as np
+import pyarrow as pa
 import tokenizers
 
 from textlabel.llm import neardup, packing
@@ -28,6 +29,23 @@ def test_words_with_marks_have_the_library_s_ids():
         assert encoder.encode(text) == b"".join(i.to_bytes(4, "little") for i in ids)
 
 
+def test_a_word_of_a_slice_is_looked_up_once():
+    """Repeated words, marks after them and capitals cost no further call of the model, in ASCII or not."""
+    encoder = packing.WordEncoder(packing.word_path())
+    library = tokenizers.Tokenizer.from_file(packing.word_path())
+    asked, looked = [], []
+    model_ids, found = encoder.token, encoder.found
+    encoder.token = lambda pre: asked.append(pre) or model_ids(pre)
+    encoder.found = lambda word: looked.append(word) or found(word)
+    texts = ["Zürich zürich, zürich!\nblorft Blorft, BLORFT.", None, "", "zürich. blorft blorft,", " zürich  \n", "<|endoftext|>, don't 'llx'm Ž9 a×b"] * 3
+    ids, ends = encoder.encode_all(pa.array(texts))
+    assert ends.tolist()[0] == 0 and len(ends) == len(texts) + 1 and ends[-1] == len(ids)
+    for text, first, last in zip(texts, ends, ends[1:]):
+        assert ids[first:last].tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert asked.count("zürich") == asked.count("blorft") == 1 and len(looked) == len(set(looked))
+    assert encoder.encode_all(pa.array([], pa.string()))[1].tolist() == [0]
+
+
 def test_bounds_of_pairs_are_never_too_small():
     rng = np.random.default_rng(1)
     x = np.r_[0.0, rng.random(2000) * 10.0 ** rng.integers(-9, 5, 2000), 70000.0]

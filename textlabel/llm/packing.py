@@ -26,18 +26,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and, slices, stored, texts_of
+from .common import id_and, slices, stored
 
 #: buckets that the documents of one length are dealt to before they are ranked
 BUCKETS = 64
 #: words and pre-tokens that a worker remembers, in each of two generations
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 #: bytes of the texts that are tokenised at a time, but for a longer one
-SLICE = 1 << 20
+SLICE = 1 << 22
 #: longer words are not remembered
 LONGEST = 60
 #: ASCII's printable characters that are neither letters nor digits: a run of them is one pre-token
@@ -80,12 +81,13 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cut = regex.compile(patterns[0]).findall
-        plain = [chr(c) for c in [*range(0x21, 0x7F), *range(0xC0, 0x180)]
-                 if len(chr(c).lower()) == 1 and unicodedata.is_normalized("NFC", chr(c))]
-        self.plain = regex.compile("[" + "".join(map(regex.escape, plain)) + "]*").fullmatch
+        self.plain = {chr(c) for c in [*range(0x21, 0x7F), *range(0xC0, 0x180)]
+                      if len(chr(c).lower()) == 1 and unicodedata.is_normalized("NFC", chr(c))}
         level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.spelt = {c: level.pre_tokenize_str(c)[0][0] for c in {p.lower() for p in plain}}
+        self.spelt = {c: level.pre_tokenize_str(c)[0][0] for c in {p.lower() for p in self.plain}}
         self.has_special = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)").search
+        #: all special texts have letters after a mark, so none lies in letters with marks after them
+        self.apart = all(any(c.isalpha() for c in t.lstrip("".join(filter(str.isalpha, t)))) for t in self.special)
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
@@ -93,29 +95,32 @@ class WordEncoder(dict):
             return self.whole(word)
         ids = self.older.get(word)
         if ids is None:
-            low = word.lower()
-            if word.isascii():
-                letters = low.rstrip(PUNCTUATION)
-                if letters.isalpha() and not self.has_special(word):  # a word as most are, and the marks after it
-                    tail = low[len(letters):]
-                    ids = (self.token(low) if low == word else self[low]) if not tail else self[letters] + self[tail]
-                elif word.isprintable() and not self.has_special(word):
-                    ids = self.joined(low, word)
-                else:
-                    ids = self.whole(word)
-            elif self.plain(word) and not self.has_special(word):
-                ids = self.joined(low, word)
-            else:
-                ids = self.whole(word)
+            ids = self.found(word)
         self[word] = ids
         return ids
 
+    def found(self, word: str) -> bytes:
+        """The ids of a word that is not remembered."""
+        low = word.lower()
+        letters = low.rstrip(PUNCTUATION)
+        simple = word.isascii() or self.plain.issuperset(word)
+        if letters.isalpha() and simple and (self.apart or not self.has_special(word)):  # a word as most are, and the marks after it
+            if letters == word:
+                return self.token(word)
+            ids = self.get(letters) or self.older.get(letters)
+            if ids is None:
+                ids = self[letters] = self.token(letters)
+            return ids if letters == low else ids + self[low[len(letters):]]
+        if simple and word.isprintable() and not self.has_special(word):
+            return self.joined(low, word)
+        return self.whole(word)
+
     def joined(self, low: str, word: str) -> bytes:
         cut = [low] if low.isalpha() else self.cut(low)
         return b"".join([self.token(p) if p == word else self[p] for p in cut])
 
     def token(self, pre: str) -> bytes:
-        spelt = pre if pre.isascii() else "".join([self.spelt[c] for c in pre])
+        spelt = pre if pre.isascii() else "".join(map(self.spelt.__getitem__, pre))
         return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
     def whole(self, word: str) -> bytes:
@@ -123,10 +128,24 @@ class WordEncoder(dict):
 
     def encode(self, text: str) -> bytes:
         """Little-endian uint32 ids of a text."""
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts one after the other, null as empty, and the places where each of them begins and the last ends. A word
+        that they repeat is looked up once."""
         if len(self) > REMEMBERED:  # what has not been met again by the next time is forgotten
             self.older = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        met = words.values.dictionary_encode()
+        ids = list(map(self.__getitem__, met.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, code = np.cumsum(size) - size, met.indices.to_numpy()
+        each = size[code]
+        end = np.cumsum(each)
+        places = np.repeat(first[code] - end + each, each)
+        places += np.arange(len(places))
+        return np.frombuffer(b"".join(ids), "<u4")[places], np.r_[0, end][words.offsets.to_numpy()]
 
 
 def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
@@ -142,10 +161,12 @@ def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
     def run(parts):
         encoder = word_encoder(path)
         for batch in parts:
-            for rows in slices(batch, SLICE, rows=1000):
+            for rows in slices(batch, SLICE):
                 owner, piece, start, cuts = [], [], [], []
-                for i, ids in enumerate(map(encoder.encode, texts_of(rows))):
-                    ids += end
+                found, ends = encoder.encode_all(rows.column(1))
+                found, ends = found.tobytes(), (4 * ends).tolist()
+                for i, (first, last) in enumerate(zip(ends, ends[1:])):
+                    ids = found[first:last] + end
                     for k, at in enumerate(range(0, len(ids), 4 * limit)):
                         owner.append(i)
                         piece.append(k)
