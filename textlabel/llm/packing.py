@@ -36,9 +36,9 @@ from .common import id_and, slices, stored
 #: buckets that the documents of one length are dealt to before they are ranked
 BUCKETS = 64
 #: words and pre-tokens that a worker remembers, in each of two generations
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: bytes of the texts that are tokenised at a time, but for a longer one
-SLICE = 1 << 22
+SLICE = 1 << 21
 #: longer words are not remembered
 LONGEST = 60
 #: ASCII's printable characters that are neither letters nor digits: a run of them is one pre-token
