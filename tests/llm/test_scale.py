@@ -1,10 +1,15 @@
 """What the operators of textlabel.llm make or keep along the way, on tables built here."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import tokenizers
+from pyspark.sql import types as T
 
-from textlabel.llm import neardup, packing
+from textlabel.llm import common, neardup, packing
 
 
 def test_frequent_words_outlive_a_generation(monkeypatch):
@@ -79,3 +84,50 @@ def test_texts_beside_a_group_are_not_compared_one_by_one(spark, monkeypatch):
     got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert {got[i] for i in range(60)} == {0} and len(got) == 120
     assert sum(compared) < 900
+
+
+def test_a_worker_gives_back_what_arrow_no_longer_uses():
+    """Of batches that are done with, only the last is still there."""
+    code = """
+import re, pyarrow as pa, pyarrow.compute as pc
+from textlabel.llm.common import slices
+
+def taken():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"Pss_Anon:\\s+(\\d+)", f.read())[1]) >> 10
+
+def batches(n, rows):
+    for i in range(n):
+        yield pa.record_batch({"key": pa.array(range(rows)), "text": pa.array([f"{i} " + "some words, " * 80] * rows)})
+
+for batch in batches(1, 10):
+    list(slices(batch, 1 << 20))
+before = taken()
+for batch in batches(4, 20_000):
+    for rows in slices(batch, 1 << 21):
+        words = pc.split_pattern(rows.column(1), " ")
+        met = words.values.dictionary_encode()
+        del words, met, rows
+print(taken() - before)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, check=True, cwd=Path(packing.__file__).parents[2])
+    print(done.stdout)
+    assert int(done.stdout) < 45
+
+
+def test_words_go_when_another_operator_begins(spark):
+    common.forget()
+    encoder = packing.word_encoder(packing.word_path())
+    encoder.encode("words that are remembered")
+    assert packing.word_encoder(packing.word_path()) is encoder and len(encoder) == 4  # from task to task
+    assert common.held("other", list) == [] and packing.word_encoder(packing.word_path()) is not encoder
+    class Frame:  # gives the function that would run on the workers
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("_text", T.StringType())])
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    encoder = packing.word_encoder(packing.word_path())
+    batch = pa.record_batch({"doc_id": [1, 2], "_text": ["abc", None]})
+    run = common.map_texts(Frame(), "doc_id", "text", [T.StructField("n", T.LongType())], lambda texts: (pa.array(map(len, texts)),))
+    assert [b.column(1).to_pylist() for b in run([batch])] == [[3, 0]]
+    assert packing.word_encoder(packing.word_path()) is not encoder

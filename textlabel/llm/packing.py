@@ -22,7 +22,6 @@ import unicodedata
 import zlib
 from array import array
 from bisect import bisect_left, insort
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and, slices, stored
+from .common import held, id_and, slices, stored
 
 #: buckets that the documents of one length are dealt to before they are ranked
 BUCKETS = 64
@@ -53,9 +52,9 @@ def word_path(path: str | None = None) -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@lru_cache(maxsize=2)
 def word_encoder(path: str) -> "WordEncoder":
-    return WordEncoder(path)
+    """A worker's encoder, with the words it has met; other operators' tasks free it."""
+    return held(("words", path), lambda: WordEncoder(path))
 
 
 class WordEncoder(dict):
