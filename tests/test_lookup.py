@@ -78,3 +78,42 @@ def test_packed_vectors_are_the_normalised_doubles_at_half_the_width(spark):
     assert (got[:-1] == np.array([r["v"] for r in want])).all() and (got[-1] == 1).all()
     only = rows.filter(pa.compute.is_valid(rows.column("given")))  # no hash vector among them
     assert FE.unpacked(only, dim, np.ones(dim)).shape == (45 + 1, dim)
+
+
+def test_embeddings_store_less_than_the_text_and_send_an_entry_once_to_a_shelf(spark, monkeypatch):
+    """Words that no vector is given for go without one; blocks that lie together share their entries; nothing is rounded."""
+    rng = random.Random(3)
+    rows = [(i, [[f"word{int(3000 * rng.random() ** 3)}" for _ in range(20)] for _ in range(12)]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<array<string>>").repartition(4, "doc_id")
+    monkeypatch.setattr(LK, "SPARE", 0.25)  # shelves of several blocks although the table is small
+    packed = LK.pack(df, "doc_id", "tokens", 256)
+    size = packed.blocks.agg(F.sum(F.length("documents") + F.length("numbers") + F.length("words")).alias("n")).first()["n"]
+    assert size < 0.5 * sum(len(w) for _, text in rows for s in text for w in s)
+    shelf = packed.blocks.select("_block", LK.shelves(packed).alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("_block").alias("a"), F.max("_block").alias("b"))
+    assert 1 < max(r["n"] for r in shelf.collect()) <= LK.SHELF
+    want = Counter(w for _, text in rows for s in text for w in s)
+    assert {r["token"]: r["n"] for r in V.token_counts(packed).collect()} == want
+    vocab = V.build_vocabulary(packed)
+    rng = np.random.default_rng(2)
+    vectors = spark.createDataFrame([(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(0, 900, 2)], "vec_id long, embedding array<float>")
+    unit = {r["token"]: np.array(r["u"]) for r in FE.word_vectors(vocab, vectors, 8).select("token", FE.l2_normalize(F.col("vector")).alias("u")).collect()}
+    got = {r["doc_id"]: r["embedding"] for r in FE.doc_embeddings(packed, vocab, vectors, 8).collect()}
+    assert len(got) == 6000 and all(np.allclose(got[i], np.mean([np.mean([unit[w] for w in s], axis=0) for s in text], axis=0), rtol=0, atol=1e-12) for i, text in rows[::50])
+    plan = FE.doc_embeddings(packed, vocab, vectors, 8)._jdf.queryExecution().toString()
+    assert "md5" not in plan
+
+
+def test_hash_vectors_made_where_they_are_used_are_the_very_doubles(spark):
+    words = ["<unk>", "", "é", "x", "日本", "a" * 90]
+    vocab = spark.createDataFrame(list(zip(words, range(len(words)))), "token string, idx long")
+    vectors = spark.createDataFrame([(3, [1.0] * 16)], "vec_id long, embedding array<float>")
+    want = FE.word_vectors(vocab, vectors, 16).orderBy("idx").select(FE.l2_normalize(F.col("vector")).alias("v")).collect()
+    sent = FE.packed_vectors(FE.word_vectors(vocab, vectors, 16, hashed=False), "array<float>").select("token", "given", "norm")
+    sent = sent.join(vocab, "token").orderBy("idx").drop("idx").toArrow()
+    assert (FE.unpacked(FE.with_hashes(sent, 16, 7), 16, np.zeros(16))[:-1] == np.array([r["v"] for r in want])).all()
+
+
+def test_packed_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(LK, "PACKED", 100_000)
+    df = spark.createDataFrame([(i, [["long" * 50 + str(i)] * 20]) for i in range(2000)], "doc_id long, tokens array<array<string>>").coalesce(1)
+    assert LK.pack(df, "doc_id", "tokens", 2048).blocks.count() > 5

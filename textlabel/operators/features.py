@@ -3,8 +3,11 @@ and sentence -> document embeddings (ML3 features)."""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,16 +77,16 @@ def l2_normalize(v: Column, eps: float = 1e-12) -> Column:
 
 def word_vectors(vocab: DataFrame, vectors: DataFrame, dim: int, seed: int = 7,
                  vec_key: str = "vec_id", vec_col: str = "embedding",
-                 zero_tokens: tuple = (), on: str = "idx") -> DataFrame:
+                 zero_tokens: tuple = (), on: str = "idx", hashed: bool = True) -> DataFrame:
     """JN2: (token, idx, known, vector) — the vector row whose key equals the vocabulary
     index (``on="idx"``) or the word itself (``on="word"``, the form of a vector file), else a hash vector. ``zero_tokens`` (e.g. ``("<pad>",)``) get zero vectors
-    instead (option for quirk Q14, where specials get random vectors)."""
+    instead (option for quirk Q14, where specials get random vectors). Not ``hashed``: null in place of hash vectors."""
     if on not in ("idx", "word"):
         raise ValueError(f"vectors are found by idx or by word, not by {on}")
     side = "idx" if on == "idx" else "token"
     v = vectors.select(F.col(vec_key).cast("long" if on == "idx" else "string").alias(side),
                        F.col(vec_col).cast("array<double>").alias("_vec"))
-    vec = F.coalesce("_vec", hash_vector(F.col("token"), dim, seed))
+    vec = F.coalesce("_vec", hash_vector(F.col("token"), dim, seed)) if hashed else F.col("_vec")
     if zero_tokens:
         vec = F.when(F.col("token").isin(*zero_tokens), F.array_repeat(F.lit(0.0), dim)).otherwise(vec)
     return (vocab.select("token", "idx").join(v, side, "left")
@@ -112,31 +115,107 @@ def unpacked(entries: pa.Table, dim: int, last: np.ndarray) -> np.ndarray:
     return table
 
 
-def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, dim: int,
+#: MD5: the start, the constant of each step, its shift, the word of the message that it reads
+_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+_STEPS = [(np.uint32(int(abs(np.sin(i + 1)) * 2 ** 32)), np.uint32(((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))[i // 16][i % 4]),
+           (i, 5 * i + 1, 3 * i + 5, 7 * i)[i // 16] % 16) for i in range(64)]
+
+
+def md5_heads(messages: np.ndarray) -> np.ndarray:
+    """The first 32 bits, big-endian, of the MD5 of messages of one block each: (n, 64) bytes, padded as MD5 pads them."""
+    m = np.ascontiguousarray(messages.view("<u4").T)
+    a, b, c, d = (np.full(m.shape[1], x, np.uint32) for x in _START)
+    f, t = np.empty_like(a), np.empty_like(a)
+    for i, (k, shift, word) in enumerate(_STEPS):
+        if i < 16:
+            np.bitwise_xor(c, d, out=f), np.bitwise_and(f, b, out=f), np.bitwise_xor(f, d, out=f)
+        elif i < 32:
+            np.bitwise_xor(b, c, out=f), np.bitwise_and(f, d, out=f), np.bitwise_xor(f, c, out=f)
+        elif i < 48:
+            np.bitwise_xor(b, c, out=f), np.bitwise_xor(f, d, out=f)
+        else:
+            np.invert(d, out=f), np.bitwise_or(f, b, out=f), np.bitwise_xor(f, c, out=f)
+        f += a
+        f += m[word]
+        f += k
+        np.left_shift(f, shift, out=t)
+        np.right_shift(f, np.uint32(32) - shift, out=f)
+        t |= f
+        np.add(t, b, out=a)
+        a, b, c, d = d, a, b, c
+    return (a + np.uint32(_START[0])).byteswap()
+
+
+def hash_numbers(words: pa.Array, dim: int, seed: int) -> np.ndarray:
+    """The 32-bit numbers of ``hash_vector``, a row a word. Words of a length are hashed together, about ``PAIRS`` numbers at a time."""
+    out = np.empty((len(words), dim), np.uint32)
+    data = words.cast(pa.binary())
+    lengths = pc.binary_length(data).to_numpy(zero_copy_only=False)
+    ends = [b":%d" % d for d in range(dim)]
+    start = b"%d:" % seed
+    order = np.argsort(lengths, kind="stable")
+    cuts = np.flatnonzero(np.diff(lengths[order])) + 1
+    for some in np.split(order, cuts):
+        if not len(some):
+            continue
+        n = len(start) + int(lengths[some[0]])
+        if n + max(map(len, ends)) > 55:  # more than one block
+            for i in some:
+                out[i] = [int.from_bytes(hashlib.md5(start + data[int(i)].as_py() + e).digest()[:4], "big") for e in ends]
+            continue
+        shape = np.zeros((dim, 64), np.uint8)  # of the messages, but for the word
+        for d, e in enumerate(ends):
+            shape[d, :len(start)] = np.frombuffer(start, np.uint8)
+            shape[d, n:n + len(e) + 1] = np.frombuffer(e + b"\x80", np.uint8)
+            shape[d, 56:58] = np.frombuffer((8 * (n + len(e))).to_bytes(2, "little"), np.uint8)
+        for i in range(0, len(some), max(1, PAIRS // dim)):
+            at = some[i:i + max(1, PAIRS // dim)]
+            messages = np.repeat(shape[None], len(at), axis=0)
+            messages[:, :, len(start):n] = np.frombuffer(b"".join(data.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), 1, -1)
+            out[at] = md5_heads(messages.reshape(-1, 64)).reshape(len(at), dim)
+    return out
+
+
+def with_hashes(entries: pa.Table, dim: int, seed: int) -> pa.Table:
+    """(token, given, hashed, norm) as ``packed_vectors`` has them, of rows (token, given, norm) without hash vectors."""
+    token, given, norm = (entries.column(c).combine_chunks() for c in ("token", "given", "norm"))
+    new = given.is_null().to_numpy(zero_copy_only=False)
+    number = hash_numbers(token.filter(pa.array(new)), dim, seed)
+    norm = norm.to_numpy(zero_copy_only=False).copy()
+    total = np.zeros(len(number))
+    for d in range(dim):  # in the order of Spark's sum
+        x = LOW + (HIGH - LOW) * number[:, d] / 4294967296.0
+        total += x * x
+    norm[new] = np.maximum(np.sqrt(total), 1e-12)
+    ends = pa.array(np.append(0, np.cumsum(new) * dim).astype(np.int32), mask=np.append(~new, False))
+    hashed = pa.ListArray.from_arrays(ends, pa.array((number ^ np.uint32(1 << 31)).view(np.int32).ravel()))
+    return pa.table([token, given, hashed, pa.array(norm)], names=["token", "given", "hashed", "norm"])
+
+
+def doc_embeddings(tokens_df: DataFrame | LK.Packed, vocab: DataFrame, vectors: DataFrame, dim: int,
                    key: str = "doc_id", tokens: str = "tokens", seed: int = 7, unk_idx: int = 0) -> DataFrame:
     """ML3 features: (key, embedding), the mean over the sentences of a document of the mean of its L2-normalised word vectors.
 
     The mean of means is one weighted mean: a token of a sentence of n tokens weighs 1 / (non-empty sentences x n). Documents lie in
-    blocks; a vector comes to a block once for each distinct word of it (``operators.lookup``), packed, and the block's (document, word) weights
-    are multiplied with its vectors, a few thousand pairs at a time. Documents without a word are not in the result.
+    packed blocks; an entry comes once to a shelf of blocks for each distinct word of it (``operators.lookup``), a known vector as it was given, a hash
+    vector as its word only, made where it is used. The block's (document, word) weights are multiplied with its vectors, a few thousand pairs at a time.
+    Documents without a word are not in the result.
     """
-    wv = word_vectors(vocab, vectors, dim, seed)
     # one row: the vector of words outside the vocabulary
-    unknown = wv.filter(F.col("idx") == unk_idx).select(l2_normalize(F.col("vector")).alias("v")).first()
+    unknown = word_vectors(vocab, vectors, dim, seed).filter(F.col("idx") == unk_idx).select(l2_normalize(F.col("vector")).alias("v")).first()
     unk = np.array(unknown["v"] if unknown else [0.0] * dim, dtype=np.float64)
-    packed = packed_vectors(wv, "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>")
-    laid = LK.in_blocks(tokens_df.select(F.col(key), LK.nested(tokens_df, tokens).alias("_tokens")), EMBED_ROWS)
-    kind = laid.schema[key].dataType.simpleString()
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    dictionary = packed_vectors(word_vectors(vocab, vectors, dim, seed, hashed=False), kind).select("token", "given", "norm")
+    laid = tokens_df if isinstance(tokens_df, LK.Packed) else LK.pack(tokens_df, key, tokens, EMBED_ROWS)
 
-    def fold(documents: pa.Table, entries: pa.Table) -> pa.Table:
-        words, per_sentence, per_row = LK.flat_words(documents.column("_tokens"))
+    def fold(keys: pa.ChunkedArray, per_row: np.ndarray, per_sentence: np.ndarray, numbers: np.ndarray, words: pa.Array, entries: pa.Table) -> pa.Table:
         n = len(per_row)
         sentence_row = np.repeat(np.arange(n), per_row)
         sentences = np.bincount(sentence_row, per_sentence > 0, n)
         share = 1.0 / np.maximum(sentences[sentence_row] * per_sentence, 1)
-        table = unpacked(entries, dim, unk)
-        at = LK.places(words, entries)
-        at[at < 0] = len(table) - 1
+        found = LK.places(words, entries)
+        table = unpacked(entries.take(pa.array(found[found >= 0])), dim, unk)  # of this block's words
+        at = np.where(found >= 0, np.cumsum(found >= 0) - 1, len(table) - 1)[numbers]
         pair, which = np.unique(np.repeat(sentence_row, per_sentence) * len(table) + at, return_inverse=True)
         weight = np.bincount(which, np.repeat(share, per_sentence), len(pair))
         row, term = pair // len(table), pair % len(table)
@@ -147,6 +226,6 @@ def doc_embeddings(tokens_df: DataFrame, vocab: DataFrame, vectors: DataFrame, d
             sums[r[starts]] += np.add.reduceat(weight[i:i + PAIRS, None] * table[term[i:i + PAIRS]], starts)
         full = sentences > 0
         embedding = LK.lists(pa.array(sums[full].ravel()), np.full(int(full.sum()), dim))
-        return pa.table([documents.column(key).filter(pa.array(full)), embedding], names=[key, "embedding"])
+        return pa.table([keys.filter(pa.array(full)), embedding], names=[key, "embedding"])
 
-    return LK.look_up(laid, "_tokens", packed, fold, f"`{key}` {kind}, embedding array<double>")
+    return LK.look_up_shelves(laid, dictionary, lambda entries: with_hashes(entries, dim, seed), fold, f"`{key}` {laid.kind}, embedding array<double>")

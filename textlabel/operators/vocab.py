@@ -14,12 +14,14 @@ from .ranking import sorted_index
 SPECIALS = ("<unk>", "<pad>")
 
 
-def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """AG8: (token, n) over all sentences. ``tokens`` is array<array<string>> or array<string>.
+def token_counts(df: DataFrame | LK.Packed, tokens: str = "tokens") -> DataFrame:
+    """AG8: (token, n) over all sentences. ``tokens`` is array<array<string>> or array<string>; of packed documents, those they hold.
 
     The count is a partial (map-side) + final aggregate, so frequent tokens are combined
     before the shuffle and cannot skew it.
     """
+    if isinstance(df, LK.Packed):
+        return df.word_counts().groupBy("token").agg(F.sum("n").alias("n"))
     col = F.col(tokens)
     dtype = df.schema[tokens].dataType.simpleString()
     flat = F.flatten(col) if dtype.startswith("array<array") else col
@@ -27,7 +29,7 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
             .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
 
 
-def build_vocabulary(df: DataFrame, tokens: str = "tokens", specials=SPECIALS,
+def build_vocabulary(df: DataFrame | LK.Packed, tokens: str = "tokens", specials=SPECIALS,
                      min_freq: int = 1, max_tokens: int | None = None) -> DataFrame:
     """AG9: specials first (0, 1, …), then tokens by frequency desc, token asc.
 

@@ -16,6 +16,7 @@ from ..functions import text as T
 from ..operators import answers as A
 from ..operators import evaluate as E
 from ..operators import features as FE
+from ..operators import lookup as LK
 from ..operators import profile as P
 from ..operators import prompts as PR
 from ..operators import sampling as S
@@ -117,12 +118,6 @@ def _whole(spark, d):
     return SQ.prepare_documents(I.documents(spark, d), n_sentences=None).drop("sentences")
 
 
-def _whole_once(spark, d):
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    return _whole(spark, d).checkpoint(eager=True)
-
-
 def pad_truncate(spark, d):
     p = _prepared(spark, d)
     return p.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
@@ -550,7 +545,7 @@ def embed_normalize(spark, d):
 
 
 def _doc_embeddings(spark, d):
-    p = _whole_once(spark, d)
+    p = LK.pack(_whole(spark, d), "doc_id", "tokens", FE.EMBED_ROWS)  # tokenised once
     vocab = V.build_vocabulary(p)
     return FE.doc_embeddings(p, vocab, read_table(spark, d, "embeddings"), EMB_DIM)
 
