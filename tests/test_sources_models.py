@@ -246,6 +246,25 @@ def test_random_search_runs_all_trials_in_one_fit(spark):
     assert [t["reg_param"] for t in M.search_trials(spark, 3)] == [r["reg_param"] for r in sorted(out, key=lambda r: r["trial"])]
 
 
+@pytest.mark.parametrize("search", [False, True])
+def test_embeddings_are_made_once(spark, search):
+    """The split, the fit and the scores read stored embeddings."""
+    from textlabel.plans import pipelines
+    rng = np.random.default_rng(1)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, [float(v) for v in rng.normal(size=3)], int(rng.integers(0, 2))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, embedding array<double>, a int")
+    emb = df.select("doc_id", "embedding").mapInArrow(count, "doc_id long, embedding array<double>")
+    out = (pipelines.embedding_search if search else pipelines.embedding_classifier)(emb, df.select("doc_id", "a"), ["a"])
+    assert out.count() and made.value == 200
+
+
 def test_bow_counts_use_training_vocabulary_only(spark):
     from textlabel.operators import features as FE
     df = spark.createDataFrame([(1, "train", ["a", "b", "a"]), (2, "test", ["b", "c"])],

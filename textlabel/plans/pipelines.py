@@ -39,8 +39,9 @@ def bag_of_words(df: DataFrame, label_cols: list[str], key: str = "doc_id", **kw
 def embedding_classifier(emb: DataFrame, actual: DataFrame, label_cols: list[str],
                          test_size: float = 0.2, seed: int = 42, key: str = "doc_id") -> DataFrame:
     """ML3: document embeddings -> one logistic regression per label -> test metrics."""
-    data = emb.select(key, F.col("embedding").alias("features")).join(actual, key)
-    ensure_checkpoint_dir(data.sparkSession)
+    ensure_checkpoint_dir(emb.sparkSession)
+    # stored once: the split reads the keys several times, each time the embeddings would be made anew
+    data = emb.select(key, F.col("embedding").alias("features")).join(actual, key).checkpoint(eager=True)
     sp = S.train_test_split(data, key, seed, test_size).checkpoint(eager=True)
     train = sp.filter(F.col("split") == "train")
     test = sp.filter(F.col("split") == "test")
@@ -51,8 +52,9 @@ def embedding_classifier(emb: DataFrame, actual: DataFrame, label_cols: list[str
 def embedding_search(emb: DataFrame, actual: DataFrame, label_cols: list[str], n_trials: int = 4,
                      seed: int = 42, key: str = "doc_id") -> DataFrame:
     """ML6 on the embedding features: train / val from the exact split."""
-    data = emb.select(key, F.col("embedding").alias("features")).join(actual, key)
-    ensure_checkpoint_dir(data.sparkSession)
+    ensure_checkpoint_dir(emb.sparkSession)
+    # stored once: the split reads the keys several times, each time the embeddings would be made anew
+    data = emb.select(key, F.col("embedding").alias("features")).join(actual, key).checkpoint(eager=True)
     sp = S.exact_split(data, key, seed, rule="fixed").checkpoint(eager=True)
     return M.random_search(sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "val"),
                            label_cols, n_trials=n_trials, seed=seed, key=key)
