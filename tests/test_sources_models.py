@@ -211,6 +211,39 @@ def test_wide_fit_is_the_dense_fit_and_sends_vectors_over_the_rows_only(spark, m
     assert np.allclose(w, want.weights, atol=1e-6) and abs(got.intercept - want.intercept) < 1e-6 and abs(got.loss - want.loss) < 1e-9
 
 
+def test_wide_fit_is_the_same_with_vectors_in_files(spark, monkeypatch):
+    """More rows than the driver has memory for: files, read by slices, and one problem at a time."""
+    from textlabel.operators import linear as LN
+    rng = np.random.default_rng(6)
+    rows = [(i, [f"w{int(v)}" for v in rng.integers(0, 40, 30)], int(rng.integers(0, 2)), int(rng.integers(0, 3) > 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>, t int, u int").repartition(4, "doc_id")
+    terms = TM.fit_terms(df, len(rows)).checkpoint(eager=True)
+    blocks = TM.term_blocks(df, terms, ["t", "u"])
+    problems = [LN.Problem(0, 0.01), LN.Problem(1, 0.02, 2.0)]
+    want, table = LN.fit_wide(blocks, terms.count(), problems, 1e-4)
+    weights = {r["idx"]: r["w"] for r in table.collect()}
+    rooms, one = [], LN._room
+    monkeypatch.setattr(LN, "_room", lambda n, in_files: (lambda v: rooms.append(type(v)) or v)(one(n, in_files)))
+    for name, value in (("IN_MEMORY", 0), ("HELD", 2000), ("CUT", 77)):
+        monkeypatch.setattr(LN, name, value)
+    got, table = LN.fit_wide(blocks, terms.count(), problems, 1e-4)
+    assert set(rooms) == {np.memmap} and all(f.converged for f in got)
+    assert all(abs(f.loss - g.loss) < 1e-5 and abs(f.intercept - g.intercept) < 0.05 for f, g in zip(want, got))
+    assert all(np.allclose(r["w"], weights[r["idx"]], atol=1e-2) for r in table.collect())
+
+
+def test_bag_of_words_is_fitted_on_all_rows(spark, monkeypatch):
+    """No sample, whatever the number of rows."""
+    import inspect
+    df = _some_texts(spark, 200).withColumn("tokens", TX.bow_tokens("text"))
+    monkeypatch.setattr(M, "sample_rows", lambda df, *a, **kw: df.limit(50))
+    fitted, one = [], M.fit_wide
+    monkeypatch.setattr(M, "fit_wide", lambda blocks, *a: fitted.append(blocks.agg(F.sum("n").alias("n")).first()["n"]) or one(blocks, *a))
+    model = M.fit_bag_of_words(df, ["p"])
+    assert fitted == [200] and model.n_terms == df.select(F.explode("tokens")).distinct().count()
+    assert "fit_rows" not in inspect.signature(M.fit_bag_of_words).parameters
+
+
 def test_saved_model_scores_raw_text_in_a_fresh_session(spark, tmpdir_path):
     df = _some_texts(spark, 120)
     model = M.fit_bag_of_words(df.withColumn("tokens", TX.bow_tokens("text")), ["p", "q"])

@@ -24,9 +24,6 @@ from .evaluate import long_cells, metric_table
 from .linear import Fit, Problem, dense_blocks, fit, fit_wide
 from .ranking import md5_key, md5_unit
 
-#: rows that a fit reads at most, unless told otherwise: it bounds the vectors over the rows, which the optimiser holds on the driver
-FIT_ROWS = 2_000_000
-
 
 @dataclass
 class LabelModel:
@@ -138,21 +135,21 @@ class _Reader(MLReader):
 
 
 def sample_rows(train: DataFrame, key: str, fit_rows: int, seed: int = 42) -> DataFrame:
-    """At most about ``fit_rows`` rows, the same in every layout: rows whose md5 of (seed, key) is in the first ``fit_rows / n`` of the range."""
+    """At most about ``fit_rows`` rows, the same in every layout: rows whose md5 of (seed, key) is in the first ``fit_rows / n`` of the range.
+    For callers that want a sample; no fit takes one."""
     n = train.count()
     if n <= fit_rows:
         return train
     return train.filter(md5_unit(md5_key(seed, key)) < F.lit(int(2 ** 32 * fit_rows / n)))
 
 
-def fit_bag_of_words(train: DataFrame, label_cols: list[str], key: str = "doc_id", text: str = "text", C: float = 1.0, fit_rows: int = FIT_ROWS,
+def fit_bag_of_words(train: DataFrame, label_cols: list[str], key: str = "doc_id", text: str = "text", C: float = 1.0,
                      tol: float = 1e-4, max_iter: int = 1000, tokens: str = "tokens") -> BagOfWordsModel:
-    """ML2 fit: dictionary and scales of the training rows, their blocks, one regression per label in shared scans. ``train`` has the tokens."""
-    rows = sample_rows(train, key, fit_rows)
-    n_rows = rows.count()
-    terms = TM.fit_terms(rows, n_rows, tokens, key).checkpoint(eager=True)
+    """ML2 fit: dictionary and scales of all training rows, their blocks, one regression per label in shared scans. ``train`` has the tokens."""
+    n_rows = train.count()
+    terms = TM.fit_terms(train, n_rows, tokens, key).checkpoint(eager=True)
     n_terms = terms.count()
-    blocks = TM.term_blocks(rows, terms, label_cols, tokens)
+    blocks = TM.term_blocks(train, terms, label_cols, tokens)
     found, w = fit_wide(blocks, n_terms, [Problem(j, 1.0 / (C * n_rows)) for j in range(len(label_cols))], tol, max_iter)
     none = F.array_repeat(F.lit(0.0), len(label_cols))  # of a term that is in no block
     weights = terms.join(w, "idx", "left").select("token", "idx", "scale", F.coalesce("w", none).alias("w")).checkpoint(eager=True)
